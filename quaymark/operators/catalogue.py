@@ -15,6 +15,7 @@ from quaymark.functions.expressions import (
     list_items,
 )
 from quaymark.operators.ranking import top_k
+from quaymark.session import materialize
 
 
 def total_of(df: DataFrame, column: str) -> Column:
@@ -172,36 +173,45 @@ def concentration_label(index: Column) -> Column:
     return first_below(index, L.CONCENTRATION_STEPS, L.CONCENTRATION_HIGHEST)
 
 
-def _market_share(items: DataFrame) -> Column:
-    total = F.floor(total_of(items, "owners_numeric"))
-    return exact_ratio(F.col("total_owners"), total, 4, times=100)
+def _with_market_share(grouped: DataFrame, label: str) -> DataFrame:
+    """Share of all owners per group.
+
+    The one-row-per-group table is written out, so the grand total is read
+    from it instead of from a second pass over the items.
+    """
+    stored = materialize(grouped, label)
+    total = F.floor(total_of(stored, "total_owners"))
+    return stored.withColumn(
+        "market_share_pct", exact_ratio(F.col("total_owners"), total, 4, times=100)
+    )
 
 
 def developer_totals(items: DataFrame) -> DataFrame:
-    """Per developer: items, owners, averages, distinct genre texts, market share."""
-    return (
-        items.groupBy(F.col("Developers").alias("developer"))
-        .agg(
-            F.count("*").alias("game_count"),
-            F.sum("owners_numeric").alias("total_owners"),
-            exact_avg(F.col("Price"), 2).alias("avg_price"),
-            exact_avg(F.col("Metacritic_score"), 1).alias("avg_metacritic"),
-            F.countDistinct("Genres").alias("genre_diversity"),
-        )
-        .withColumn("market_share_pct", _market_share(items))
+    """Per developer: items, owners, averages, distinct genre texts, platforms, market share.
+
+    Platform counts are averaged in the same aggregation, so items are grouped
+    once; a null developer has no platform figure, as an outer join on the
+    name would leave it.
+    """
+    grouped = items.groupBy(F.col("Developers").alias("developer")).agg(
+        F.count("*").alias("game_count"),
+        F.sum("owners_numeric").alias("total_owners"),
+        exact_avg(F.col("Price"), 2).alias("avg_price"),
+        exact_avg(F.col("Metacritic_score"), 1).alias("avg_metacritic"),
+        F.countDistinct("Genres").alias("genre_diversity"),
+        exact_avg(platform_count(), 1).alias("platform_diversity"),
     )
+    diversity = F.when(F.col("developer").isNotNull(), F.col("platform_diversity"))
+    return _with_market_share(grouped.withColumn("platform_diversity", diversity), "developers")
 
 
 def publisher_totals(items: DataFrame) -> DataFrame:
-    return (
-        items.groupBy(F.col("Publishers").alias("publisher"))
-        .agg(
-            F.count("*").alias("game_count"),
-            F.sum("owners_numeric").alias("total_owners"),
-            exact_avg(F.col("Price"), 2).alias("avg_price"),
-        )
-        .withColumn("market_share_pct", _market_share(items))
+    grouped = items.groupBy(F.col("Publishers").alias("publisher")).agg(
+        F.count("*").alias("game_count"),
+        F.sum("owners_numeric").alias("total_owners"),
+        exact_avg(F.col("Price"), 2).alias("avg_price"),
     )
+    return _with_market_share(grouped, "publishers")
 
 
 def publisher_ranking(items: DataFrame, k: int = 50) -> DataFrame:
@@ -232,27 +242,9 @@ def platform_count() -> Column:
 
 
 def developer_ecosystem(items: DataFrame, k: int = 50) -> DataFrame:
-    """Largest developers with platform diversity and the concentration of that list.
-
-    Platform counts are averaged in the same aggregation as the ranking, so
-    items are grouped once; a null developer keeps a null diversity, as the
-    outer join on the name would leave it.
-    """
+    """Largest developers with platform diversity and the concentration of that list."""
     ranked = top_k(
-        items.groupBy(F.col("Developers").alias("developer"))
-        .agg(
-            F.count("*").alias("game_count"),
-            F.sum("owners_numeric").alias("total_owners"),
-            exact_avg(F.col("Price"), 2).alias("avg_price"),
-            exact_avg(F.col("Metacritic_score"), 1).alias("avg_metacritic"),
-            F.countDistinct("Genres").alias("genre_diversity"),
-            exact_avg(platform_count(), 1).alias("platform_diversity"),
-        )
-        .withColumn("market_share_pct", _market_share(items)),
-        [F.desc("game_count"), F.asc_nulls_first("developer")],
-        k,
-    ).withColumn(
-        "platform_diversity", F.when(F.col("developer").isNotNull(), F.col("platform_diversity"))
+        developer_totals(items), [F.desc("game_count"), F.asc_nulls_first("developer")], k
     )
     share = F.col("market_share_pct").cast("decimal(12,4)")
     # At most k rows reach this unpartitioned sum.

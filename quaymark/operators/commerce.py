@@ -70,36 +70,36 @@ def category_sales_rank(
     )
 
 
-def rfm_base(valid: DataFrame) -> DataFrame:
-    """Per user: days since the last order (from the day after the latest one), orders, amount."""
-    latest = valid.agg(F.max("stat_date").alias("latest")).scalar()
+def user_activity(valid: DataFrame) -> DataFrame:
+    """Per user: date of the last order, number of orders, amount."""
     return valid.groupBy("user_id").agg(
-        F.max("stat_date").alias("_last"),
+        F.max("stat_date").alias("last_date"),
         F.countDistinct("order_id").alias("frequency"),
         F.sum("pay_amount").alias("monetary"),
-    ).select(
-        "user_id",
-        F.datediff(F.date_add(latest, 1), "_last").alias("recency_days"),
-        "frequency",
-        "monetary",
     )
 
 
+def with_recency(activity: DataFrame) -> DataFrame:
+    """Days from each user's last order to the day after the latest order of all."""
+    latest = activity.agg(F.max("last_date").alias("latest")).scalar()
+    days = F.datediff(F.date_add(latest, 1), "last_date")
+    return activity.withColumn("recency_days", days)
+
+
 def user_value(valid: DataFrame, users: DataFrame) -> DataFrame:
     """Quintile scores for recency, frequency and amount, and the level of their sum.
 
-    Equal values are ordered by user id, so scores are reproducible.
+    Equal values are ordered by user id, so scores are reproducible.  Orders
+    are scanned once: the first ranking (by last date, which sorts as
+    descending recency) stores the per-user table the later steps read.
     """
-    scored = rfm_base(valid)
-    for name, order in (
-        ("r_score", F.desc("recency_days")),
-        ("f_score", F.asc("frequency")),
-        ("m_score", F.asc("monetary")),
-    ):
-        scored = with_global_ntile(scored, [order, F.asc("user_id")], 5, name)
+    scored = user_activity(valid)
+    for name, column in (("r_score", "last_date"), ("f_score", "frequency"), ("m_score", "monetary")):
+        scored = with_global_ntile(scored, [F.asc(column), F.asc("user_id")], 5, name)
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     return (
-        scored.join(users.select("user_id", "province", "city", "member_level"), "user_id", "left")
+        with_recency(scored)
+        .join(users.select("user_id", "province", "city", "member_level"), "user_id", "left")
         .withColumn("total_score", total)
         .withColumn(
             "user_level",

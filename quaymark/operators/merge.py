@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from quaymark.functions import labels as L
+
 
 def merge_sums(old: DataFrame | None, new: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
     """Old and new partial sums added per key; NULL sums count as nothing."""
@@ -38,3 +40,12 @@ def with_mean(totals: DataFrame) -> DataFrame:
     return totals.select(
         "community", "number", F.expr("price_sum div number").alias("averageprice")
     )
+
+
+def watched_result(
+    means: DataFrame, district: str = L.WATCHED_DISTRICT, area: str = L.WATCHED_AREA_LABEL
+) -> DataFrame:
+    """Community means labelled with the district and area range they were filtered to."""
+    return means.select(
+        F.lit(district).alias("district"), F.lit(area).alias("area"), "community", "number", "averageprice"
+    )

@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from quaymark.session import materialize
+
 
 @dataclass(frozen=True)
 class Contract:
@@ -87,6 +89,78 @@ CONTRACTS = {
         },
         ("window_start", "window_end", "category"),
     ),
+    "area_price_analysis": Contract(
+        {
+            "area_range": "string",
+            "house_count": "bigint",
+            "avg_price_per_sqm": "int",
+            "min_price": "int",
+            "max_price": "int",
+            "median_price": "int",
+            "price_variance": "bigint",
+            "price_stddev": "bigint",
+            "avg_house_age": "int",
+            "price_level": "string",
+            "area_ratio": "decimal(5,2)",
+            "checkid": "int",
+        },
+        ("area_range", "checkid"),
+        nullable=("price_variance", "price_stddev", "avg_house_age"),
+    ),
+    "district_house_price_analysis": Contract(
+        {
+            "district": "string",
+            "avg_price_per_sqm": "int",
+            "house_count": "bigint",
+            "min_price": "int",
+            "max_price": "int",
+            "median_price": "int",
+            "price_variance": "bigint",
+            "std_price": "bigint",
+            "avg_house_age": "int",
+            "avg_area": "int",
+            "checkid": "int",
+        },
+        ("district", "checkid"),
+        nullable=("price_variance", "std_price", "avg_house_age"),
+    ),
+    "house_year_analysis": Contract(
+        {
+            "year_range": "string",
+            "house_count": "bigint",
+            "elevator_count": "bigint",
+            "small_layout_count": "bigint",
+            "medium_layout_count": "bigint",
+            "large_layout_count": "bigint",
+            "premium_decoration_count": "bigint",
+            "simple_decoration_count": "bigint",
+            "rough_decoration_count": "bigint",
+            "checkid": "int",
+        },
+        ("year_range", "checkid"),
+    ),
+    "community_price_analysis": Contract(
+        {
+            "checkid": "int",
+            "district": "string",
+            "community": "string",
+            "house_count": "bigint",
+            "avg_price_per_sqm": "int",
+            "build_year": "string",
+        },
+        ("checkid", "district", "community"),
+        nullable=("build_year",),
+    ),
+    "certain_analysis": Contract(
+        {
+            "district": "string",
+            "area": "string",
+            "community": "string",
+            "number": "bigint",
+            "averageprice": "int",
+        },
+        ("community",),
+    ),
 }
 
 
@@ -109,8 +183,11 @@ def violations(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def checked(df: DataFrame, contract: Contract) -> DataFrame:
-    """``conform``, raising when a key repeats or a required value is missing."""
-    fitted = conform(df, contract)
+    """``conform``, raising when a key repeats or a required value is missing.
+
+    The result is written out first, so checking does not compute it again.
+    """
+    fitted = materialize(conform(df, contract), "contract")
     bad = violations(fitted, contract).first()
     if bad is not None:
         raise ValueError(f"contract violated: {bad.asDict()}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType, StringType
 
 from quaymark.functions import labels as L
@@ -28,32 +28,36 @@ LISTINGS = (
 REJECTED = "_corrupt_record"
 
 
-def read_typed_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Headed UTF-8 CSV; rows that do not fit the schema are left out."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("encoding", "UTF-8")
-        .option("mode", "DROPMALFORMED")
-        .csv(path)
-    )
-
+def _parsed_csv(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, Column]:
+    """All rows with the text of unfitting ones in ``REJECTED``, and the test for fitting.
 
-def read_csv_with_rejects(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """The fitting rows of a headed CSV, and the raw text of the others."""
+    The test looks at every column.  Spark parses only the columns a query
+    asks for, so without it a bad value would go unnoticed by a query that
+    does not read that column, and counts would depend on the query.
+    """
     fields = StructType.fromDDL(schema)
-    wide = StructType([*fields.fields, StructField(REJECTED, StringType())])
     rows = (
-        spark.read.schema(wide)
+        spark.read.schema(StructType([*fields.fields, StructField(REJECTED, StringType())]))
         .option("header", True)
+        .option("encoding", "UTF-8")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", REJECTED)
         .csv(path)
     )
-    good = rows.filter(F.col(REJECTED).isNull()).drop(REJECTED)
-    # Asked for alone, the reject column would be pruned down to no parse at all.
-    bad = rows.filter(F.col(REJECTED).isNotNull()).select(REJECTED, *fields.names).select(REJECTED)
-    return good, bad
+    touched = F.length(F.concat_ws("", *[F.col(n).cast("string") for n in fields.names])) >= 0
+    return rows, F.col(REJECTED).isNull() & touched
+
+
+def read_typed_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Headed UTF-8 CSV; rows that do not fit the schema are left out."""
+    rows, fits = _parsed_csv(spark, path, schema)
+    return rows.filter(fits).drop(REJECTED)
+
+
+def read_csv_with_rejects(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """The fitting rows of a headed CSV, and the raw text of the others."""
+    rows, fits = _parsed_csv(spark, path, schema)
+    return rows.filter(fits).drop(REJECTED), rows.filter(~fits).select(REJECTED)
 
 
 def read_commerce(spark: SparkSession, root: str) -> dict[str, DataFrame]:
