@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quaymark.functions.expressions import exact_ratio, list_items
 from quaymark.operators.commerce import attach_category
@@ -11,11 +11,18 @@ from quaymark.session import materialize
 
 
 def order_baskets(valid: DataFrame, order_items: DataFrame, products: DataFrame) -> DataFrame:
-    """(order_id, category) of valid orders."""
+    """Distinct (order_id, category) of valid orders.
+
+    Repeats go before the join: an order with very many lines shrinks to its
+    few categories inside each map task instead of meeting in one join task.
+    (A semi join would be pushed below the distinct by the optimizer, so the
+    order ids are made unique and joined.)
+    """
     return (
         attach_category(order_items, products)
-        .join(valid.select("order_id"), "order_id", "left_semi")
         .select("order_id", F.col("final_category").alias("category"))
+        .distinct()
+        .join(valid.select("order_id").distinct(), "order_id")
     )
 
 
@@ -40,6 +47,7 @@ def pair_rules(
     min_confidence: float = 0.10,
     basket: str = "order_id",
     item: str = "category",
+    require_baskets: bool = False,
 ) -> DataFrame:
     """Ordered item pairs with support, confidence and lift.
 
@@ -48,8 +56,11 @@ def pair_rules(
     member, so items below ``min_support`` are dropped before pairs are formed.
     That is exact, and it bounds each set by the number of frequent items (at
     most mean basket size / min_support), however long a single basket is.
+    ``require_baskets`` raises when no basket has two items.
     """
     sets = materialize(basket_signatures(pairs, basket, item), "signatures")
+    if require_baskets and sets.isEmpty():
+        raise ValueError("no basket holds two different items")
     total = sets.agg(F.sum("baskets").alias("n")).scalar()
     singles = (
         sets.select(F.explode("items").alias("item"), "baskets")
@@ -79,9 +90,7 @@ def pair_rules(
     )
     right = frequent.select(F.col("item").alias("consequent"), F.col("n").alias("consequent_order_count"))
     confidence = exact_ratio(F.col("pair_order_count"), F.col("antecedent_order_count"), 6)
-    lift = exact_ratio_by_total(
-        F.col("confidence"), F.col("consequent_order_count"), F.col("total_basket_count")
-    )
+    lift = _lift(F.col("confidence"), F.col("consequent_order_count"), F.col("total_basket_count"))
     return (
         counted.join(left, "antecedent")
         .join(right, "consequent")
@@ -109,7 +118,7 @@ def pair_rules(
     )
 
 
-def exact_ratio_by_total(confidence, count, total):
+def _lift(confidence: Column, count: Column, total: Column) -> Column:
     """confidence / (count / total), rounded half up to six decimals."""
     scaled = confidence.cast("decimal(8,6)") * total.cast("decimal(18,0)")
     return F.round(F.try_divide(scaled.cast("decimal(26,6)"), count.cast("decimal(18,0)")), 6)
@@ -121,8 +130,10 @@ def category_rules(
     products: DataFrame,
     min_support: float = 0.005,
     min_confidence: float = 0.10,
+    require_baskets: bool = False,
 ) -> DataFrame:
-    return pair_rules(order_baskets(valid, order_items, products), min_support, min_confidence)
+    pairs = order_baskets(valid, order_items, products)
+    return pair_rules(pairs, min_support, min_confidence, require_baskets=require_baskets)
 
 
 def rule_links(rules: DataFrame) -> DataFrame:

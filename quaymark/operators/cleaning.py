@@ -16,6 +16,7 @@ from quaymark.functions.expressions import (
     word_safe,
 )
 from quaymark.operators.ranking import keep_first, with_global_position
+from quaymark.session import materialize
 
 
 def normalise_names(df: DataFrame) -> DataFrame:
@@ -115,8 +116,9 @@ def clean_listings(
     """
     rest = list(tie_break) or [c for c in raw.columns if c not in ("district", "community")]
     order = [F.col(c).asc() for c in ["district", "community", *rest]]
-    numbered = with_global_position(usable_listings(raw, batch_id, base_year), order, "_row")
-    return numbered.select(
+    # Written before the sort, which reads its input twice (once to sample ranges).
+    usable = materialize(usable_listings(raw, batch_id, base_year), "usable-listings")
+    return with_global_position(usable, order, "_row").select(
         F.concat_ws("_", "district", word_safe(F.col("community")), F.col("_row").cast("string")).alias("rowkey"),
         "district",
         "community",
@@ -134,11 +136,17 @@ def clean_listings(
     )
 
 
-def with_audit(df: DataFrame, batch_id: int | None = None, load_date: bool = False) -> DataFrame:
+def with_audit(
+    df: DataFrame,
+    times: Sequence[str] = ("update_time",),
+    dates: Sequence[str] = (),
+    batch_id: int | None = None,
+) -> DataFrame:
     """Load-time columns, added last so that results stay comparable without them."""
-    df = df.withColumn("update_time", F.current_timestamp())
+    for name in times:
+        df = df.withColumn(name, F.current_timestamp())
+    for name in dates:
+        df = df.withColumn(name, F.date_format(F.current_date(), L.DATE_FORMAT))
     if batch_id is not None:
         df = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    if load_date:
-        df = df.withColumn("load_date", F.date_format(F.current_date(), L.DATE_FORMAT))
     return df

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quaymark.functions import labels as L
 from quaymark.functions.expressions import exact_avg, first_reached
-from quaymark.operators.ranking import top_per_group, with_global_ntile
+from quaymark.operators.ranking import sorted_report, top_per_group, with_global_ntile
 
 
 def attach_category(order_items: DataFrame, products: DataFrame) -> DataFrame:
@@ -65,9 +65,8 @@ def category_sales_rank(
         )
     )
     order = [F.desc("amount_sum"), F.desc("quantity_sum"), F.asc("category")]
-    return top_per_group(daily, ["stat_date"], order, top_n, "category_rank").orderBy(
-        "stat_date", "category_rank"
-    )
+    best = top_per_group(daily, ["stat_date"], order, top_n, "category_rank")
+    return sorted_report(best, "stat_date", "category_rank")
 
 
 def user_activity(valid: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from quaymark.functions.expressions import (
     in_ranges,
     room_count,
 )
-from quaymark.operators.ranking import top_k
+from quaymark.operators.ranking import sorted_report, top_k
 
 
 def _usable(listings: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def area_price(listings: DataFrame, accuracy: int | None = None) -> DataFrame:
     stats = price_statistics(ranged, ["area_range", "checkid"], accuracy)
     # One row per range and batch reaches this unpartitioned total.
     everything = F.sum("house_count").over(Window.partitionBy())
-    return (
+    result = (
         stats.withColumn("area_ratio", exact_ratio(F.col("house_count"), everything, 2, times=100))
         .filter(F.col("area_range") != L.UNKNOWN)
         .withColumn(
@@ -100,17 +100,14 @@ def area_price(listings: DataFrame, accuracy: int | None = None) -> DataFrame:
             first_below(F.col("avg_price_per_sqm"), L.PRICE_LEVEL_STEPS, L.PRICE_LEVEL_HIGHEST),
         )
         .drop("avg_area")
-        .orderBy("area_range", "checkid")
     )
+    return sorted_report(result, "area_range", "checkid")
 
 
 def district_price(listings: DataFrame, accuracy: int | None = None) -> DataFrame:
     named = _usable(listings).filter("district <> ''")
-    return (
-        price_statistics(named, ["district", "checkid"], accuracy)
-        .withColumnRenamed("price_stddev", "std_price")
-        .orderBy("district", "checkid")
-    )
+    stats = price_statistics(named, ["district", "checkid"], accuracy)
+    return sorted_report(stats.withColumnRenamed("price_stddev", "std_price"), "district", "checkid")
 
 
 def year_layout(listings: DataFrame, multi_digit_rooms: bool = False) -> DataFrame:
@@ -118,7 +115,7 @@ def year_layout(listings: DataFrame, multi_digit_rooms: bool = False) -> DataFra
     year = F.col("build_year").try_cast("int")
     rooms = F.col("_rooms")
     decorated = F.col("decoration")
-    return (
+    result = (
         listings.withColumn(
             "year_range", in_ranges(year, L.YEAR_EDGES, L.YEAR_LABELS, last_inclusive=True)
         )
@@ -135,8 +132,8 @@ def year_layout(listings: DataFrame, multi_digit_rooms: bool = False) -> DataFra
             F.count_if(decorated == L.DECORATION_SIMPLE).alias("simple_decoration_count"),
             F.count_if(decorated == L.DECORATION_ROUGH).alias("rough_decoration_count"),
         )
-        .orderBy("year_range", "checkid")
     )
+    return sorted_report(result, "year_range", "checkid")
 
 
 def community_price(listings: DataFrame) -> DataFrame:

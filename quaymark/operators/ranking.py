@@ -32,6 +32,14 @@ def top_k(df: DataFrame, order_by: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order_by).limit(k)
 
 
+def sorted_report(df: DataFrame, *order_by: str) -> DataFrame:
+    """A result with few rows (one per label, day or batch) in one sorted partition.
+
+    A global sort would run the stage before it twice, once to sample ranges.
+    """
+    return df.repartition(1).sortWithinPartitions(*order_by)
+
+
 def bounded_limit(value: object, default: int, maximum: int) -> int:
     """Limit argument of a report: default when not a positive integer, never above maximum."""
     try:

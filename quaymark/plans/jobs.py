@@ -1,6 +1,6 @@
 """Batch and streaming jobs: read, clean, analyse, store.
 
-Run with ``spark-submit -m`` style: ``python -m quaymark.plans.jobs <job> [options]``.
+Run as ``python -m quaymark.plans.jobs <job> [options]``.
 A failing step raises and ends the job; later steps do not run.
 """
 
@@ -18,7 +18,7 @@ from quaymark.operators import baskets, catalogue, cleaning, commerce, listings
 from quaymark.plans import serving
 from quaymark.session import build_session, drop_scratch, materialize, shared_dir
 from quaymark.sinks import files as file_sinks, jdbc
-from quaymark.sinks.contracts import CONTRACTS, checked
+from quaymark.sinks.contracts import AUDIT_COLUMNS, CONTRACTS, checked
 from quaymark.sources import events, files, kafka
 from quaymark.streaming import aggregates, runner
 
@@ -38,38 +38,49 @@ def target_of(config: JobConfig) -> jdbc.JdbcTarget | None:
     return jdbc.JdbcTarget(config.jdbc_url, config.jdbc_user, config.jdbc_password, config.jdbc_driver)
 
 
-def store(config: JobConfig, name: str, df: DataFrame) -> None:
-    """Full refresh of one result table, in the database or below the output folder."""
+def prepared(name: str, df: DataFrame) -> DataFrame:
+    """Checked against its contract, if it has one, with the table's load-time columns."""
     if name in CONTRACTS:
         df = checked(df, CONTRACTS[name])
-    df = cleaning.with_audit(df)
+    times, dates = AUDIT_COLUMNS.get(name, (("update_time",), ()))
+    return cleaning.with_audit(df, times, dates)
+
+
+def _write(
+    config: JobConfig,
+    name: str,
+    df: DataFrame,
+    to_table: Callable[[DataFrame, jdbc.JdbcTarget], None],
+    to_folder: Callable[[DataFrame, str], None],
+) -> None:
+    df = prepared(name, df)
+    target = target_of(config)
     if config.dry_run:
         df.show(20, truncate=False)
-        return
-    target = target_of(config)
-    if target is not None:
-        jdbc.full_refresh(df, target, name, config.write_partitions)
+    elif target is not None:
+        to_table(df, target)
     elif config.output:
-        df.repartition(config.write_partitions).write.mode("overwrite").parquet(f"{config.output}/{name}")
+        to_folder(df, f"{config.output}/{name}")
     else:
         raise ValueError("give --output, --jdbc-url or --dry-run")
 
 
+def store(config: JobConfig, name: str, df: DataFrame) -> None:
+    """Full refresh of one result table, in the database or below the output folder."""
+    _write(
+        config,
+        name,
+        df,
+        lambda rows, target: jdbc.full_refresh(rows, target, name, config.write_partitions),
+        lambda rows, path: rows.repartition(config.write_partitions).write.mode("overwrite").parquet(path),
+    )
+
+
 def store_batch(config: JobConfig, name: str, df: DataFrame) -> None:
     """Replace the batches present in ``df``; a rerun leaves no duplicates."""
-    if name in CONTRACTS:
-        df = checked(df, CONTRACTS[name])
-    df = cleaning.with_audit(df, load_date=True)
-    if config.dry_run:
-        df.show(20, truncate=False)
-        return
-    target = target_of(config)
-    if target is not None:
-        jdbc.replace_batches(df, target, name)
-    elif config.output:
-        file_sinks.replace_batches(df, f"{config.output}/{name}")
-    else:
-        raise ValueError("give --output, --jdbc-url or --dry-run")
+    _write(
+        config, name, df, lambda rows, target: jdbc.replace_batches(rows, target, name), file_sinks.replace_batches
+    )
 
 
 def run_catalogue(spark: SparkSession, config: JobConfig) -> Timings:
@@ -116,9 +127,8 @@ def run_commerce(spark: SparkSession, config: JobConfig) -> Timings:
         "ads_sales_time_trend": lambda: commerce.sales_time_trend(valid),
         "ads_category_sales_rank": lambda: commerce.category_sales_rank(valid, items, products, config.top_n),
         "ads_user_value_level": lambda: commerce.user_value(valid, tables["users"]),
-        "ads_category_association_rules": lambda: files.require_non_empty(
-            baskets.category_rules(valid, items, products, config.min_support, config.min_confidence),
-            "rules of baskets with several categories",
+        "ads_category_association_rules": lambda: baskets.category_rules(
+            valid, items, products, config.min_support, config.min_confidence, require_baskets=True
         ),
     }
     for name, step in steps.items():
@@ -161,6 +171,9 @@ def _trigger(config: JobConfig) -> int | None:
     return None if config.drain else config.trigger_seconds
 
 
+WINDOW_KEYS = ("window_start", "window_end", "category")
+
+
 def start_category_stream(spark: SparkSession, config: JobConfig) -> StreamingQuery:
     """Sliding-window sales per category.
 
@@ -177,7 +190,7 @@ def start_category_stream(spark: SparkSession, config: JobConfig) -> StreamingQu
     elif config.output_mode == "complete":
         writer, mode = runner.snapshots(path), "complete"
     else:
-        writer, mode = runner.change_log(path), "update"
+        writer, mode = runner.change_log(path, WINDOW_KEYS, compact_every=100), "update"
     return runner.start(sales, writer, _checkpoint(spark, config), mode, _trigger(config))
 
 

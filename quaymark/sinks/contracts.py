@@ -164,6 +164,18 @@ CONTRACTS = {
 }
 
 
+# Load-time columns that differ from a plain update_time: (timestamps, dates as text).
+AUDIT_COLUMNS = {
+    "area_price_analysis": ((), ("load_date", "pt_date")),
+    "district_house_price_analysis": ((), ("load_date",)),
+    "house_year_analysis": (("analysis_time",), ("pt_date",)),
+    "community_price_analysis": (("sync_time",), ()),
+    "certain_analysis": (("sync_time",), ()),
+    "house_info_checkid": ((), ()),
+    "house_info_clean_checkid": ((), ()),
+}
+
+
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
     """Columns in contract order and type; a value that does not fit raises at run time."""
     return df.select(*[F.col(c).cast(t).alias(c) for c, t in contract.columns.items()])

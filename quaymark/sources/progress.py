@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quaymark.sinks.storage import child_names, exists
+from quaymark.sinks.storage import child_names, delete, exists
 
 _MARK = "last="
 
@@ -23,6 +23,9 @@ def save_processed(spark: SparkSession, path: str, batch_id: int) -> None:
     """Record a finished batch; saving the same id again changes nothing."""
     row = spark.range(1).select(F.lit(1).alias("id"), F.lit(batch_id).alias("last_checkid"))
     row.coalesce(1).write.mode("overwrite").parquet(f"{path}/{_MARK}{batch_id}")
+    for name in child_names(spark, path):
+        if name.startswith(_MARK) and int(name[len(_MARK):]) < batch_id:
+            delete(spark, f"{path}/{name}")
 
 
 def pull_batch(table: DataFrame, batch_id: int, column: str = "checkid") -> DataFrame:

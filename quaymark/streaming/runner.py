@@ -7,6 +7,7 @@ after a failure replaces its first attempt.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -41,18 +42,62 @@ def await_end(query: StreamingQuery, timeout: int | None = None) -> bool:
     return True
 
 
-def change_log(path: str) -> Callable[[DataFrame, int], None]:
-    """Batch writer for update mode: the changed rows of each micro-batch in its own folder."""
+def change_log(
+    path: str, keys: Sequence[str] | None = None, compact_every: int | None = None
+) -> Callable[[DataFrame, int], None]:
+    """Batch writer for update mode: the changed rows of each micro-batch in its own folder.
+
+    With ``keys`` and ``compact_every`` the folders are folded into one base
+    table every so many batches, so a long-running log stays short.
+    """
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if compact_every and keys and (batch_id + 1) % compact_every == 0:
+            compact(batch.sparkSession, path, keys)
 
     return save
 
 
+def _base(spark: SparkSession, path: str) -> int | None:
+    """Batch id up to which the log was folded into its base table."""
+    folded = [
+        int(name.split("=")[1])
+        for name in child_names(spark, f"{path}/_base")
+        if exists(spark, f"{path}/_base/{name}/_SUCCESS")
+    ]
+    return max(folded, default=None)
+
+
+def _log(spark: SparkSession, path: str) -> DataFrame:
+    base = _base(spark, path)
+    parts = [] if base is None else [spark.read.parquet(f"{path}/_base/upto={base}")]
+    recent = [b for b in _stored(spark, path) if base is None or b > base]
+    if recent:
+        folders = [f"{path}/batch_id={b}" for b in recent]
+        rows = spark.read.option("basePath", path).parquet(*folders)
+        parts.append(rows.withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def latest_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """Current row of every key in a change log, with the batch that wrote it."""
-    return keep_first(spark.read.parquet(path), keys, [F.desc("batch_id")])
+    return keep_first(_log(spark, path), keys, [F.desc("batch_id")])
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
+    """Fold all stored batches into the base table, then drop their folders.
+
+    The base is committed by its success marker before anything is removed;
+    call it from the log's only writer.
+    """
+    newest = _stored(spark, path)[-1]
+    latest_rows(spark, path, keys).write.mode("overwrite").parquet(f"{path}/_base/upto={newest}")
+    for old in [b for b in _stored(spark, path) if b <= newest]:
+        delete(spark, f"{path}/batch_id={old}")
+    for name in child_names(spark, f"{path}/_base"):
+        if int(name.split("=")[1]) < newest:
+            delete(spark, f"{path}/_base/{name}")
 
 
 def snapshots(path: str) -> Callable[[DataFrame, int], None]:

@@ -168,3 +168,10 @@ def test_level_reports_follow_the_fixed_order(spark, rows):
 def test_signatures_collapse_repeated_baskets(spark):
     pairs = spark.range(1000).select(F.col("id").alias("order_id"), F.explode(F.array(F.lit("x"), F.lit("y"))).alias("category"))
     assert [tuple(r) for r in baskets.basket_signatures(pairs, "order_id", "category").collect()] == [(["x", "y"], 1000)]
+
+
+def test_rules_need_baskets_of_two(spark):
+    alone = spark.createDataFrame([("o1", "a"), ("o2", "b")], "order_id string, category string")
+    assert baskets.pair_rules(alone).collect() == []
+    with pytest.raises(ValueError, match="two different"):
+        baskets.pair_rules(alone, require_baskets=True)

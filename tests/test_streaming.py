@@ -98,6 +98,21 @@ def test_later_batches_update_windows_and_late_orders_are_dropped(spark, box):
     assert got == {"10:00": 2, "11:00": 1, "11:30": 1, "11:31": 1}
 
 
+def test_a_compacted_log_gives_the_same_rows(spark, box):
+    folder, out, checkpoint = box
+    keys = ["window_start", "window_end", "category"]
+    for n in range(4):
+        put(folder, f"{n}.jsonl", [order(f"o{n}", "2025-01-01 10:00:10"), order(f"p{n}", f"2025-01-01 10:0{n}:10", "toys")])
+        drain(sales_stream(spark, folder, slide=None, watermark=None), runner.change_log(out, keys, compact_every=3), checkpoint)
+    got = runner.latest_rows(spark, out, keys)
+    assert len(list(Path(out).glob("batch_id=*"))) < 4 and (Path(out) / "_base").exists()
+    counts = {(r["window_start"].minute, r["category"]): r["order_count"] for r in got.collect()}
+    assert counts == {(0, "food"): 4, (0, "toys"): 1, (1, "toys"): 1, (2, "toys"): 1, (3, "toys"): 1}
+    runner.compact(spark, out, keys)
+    again = {(r["window_start"].minute, r["category"]): r["order_count"] for r in runner.latest_rows(spark, out, keys).collect()}
+    assert again == counts and len(list((Path(out) / "_base").glob("upto=*"))) == 1
+
+
 def test_complete_mode_keeps_every_window(spark, box):
     folder, out, checkpoint = box
     for name, when in (("a", "10:00:10"), ("b", "12:00:10"), ("c", "14:00:10")):
