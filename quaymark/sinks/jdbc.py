@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from quaymark.session import materialize
 from quaymark.sources.jdbc import read_table
@@ -57,9 +57,20 @@ def merged_batches(existing: DataFrame, new: DataFrame, batch: str = "checkid")
     return existing.join(replaced, batch, "left_anti").unionByName(new)
 
 
-def replace_batches(df: DataFrame, target: JdbcTarget, table: str, batch: str = "checkid") -> None:
-    """Rewrite the table so that the batches in ``df`` appear exactly once."""
-    existing = read_table(df.sparkSession, target.url, table, properties=target.properties())
-    rows = merged_batches(existing.select(*df.columns), df, batch).filter(F.col(batch).isNotNull())
+def replace_batches(
+    df: DataFrame,
+    target: JdbcTarget,
+    table: str,
+    batch: str = "checkid",
+    writers: int | None = None,
+    **read,
+) -> None:
+    """Rewrite the table so that the batches in ``df`` appear exactly once.
+
+    ``read`` takes the partitioning arguments of ``read_table``, for tables
+    too large to be read through one connection.
+    """
+    existing = read_table(df.sparkSession, target.url, table, properties=target.properties(), **read)
+    rows = merged_batches(existing.select(*df.columns), df, batch)
     # Written out first: the table is emptied before it is filled from itself.
-    full_refresh(materialize(rows, "jdbc-merge"), target, table)
+    full_refresh(materialize(rows, "jdbc-merge"), target, table, writers)
