@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from quaymark.functions import labels as L
 from quaymark.functions.expressions import (
@@ -82,12 +83,30 @@ def valid_orders(
     return df.filter(F.col(column).isin(*statuses))
 
 
+def unit_price(listings: DataFrame) -> Column:
+    """``price * 10000 / area`` rounded half up to a whole number.
+
+    With whole-number areas this is whole-number arithmetic: the quotient of
+    two integers below 2**53 is never rounded across the next integer, so its
+    floor is exact, and no decimal division is paid per row.
+    """
+    price, area = F.col("price"), F.col("area")
+    if isinstance(listings.schema["area"].dataType, IntegralType):
+        if isinstance(listings.schema["price"].dataType, IntegralType):
+            hundredths = price.cast("bigint") * 100
+        else:
+            hundredths = (price.cast(MONEY) * 100).cast("bigint")
+        whole = F.floor(F.try_divide(hundredths * 200 + area, area * 2))
+    else:
+        whole = F.round(F.try_divide(price.cast(MONEY) * 10000, area.cast("decimal(12,2)")), 0)
+    return whole.cast("int")
+
+
 def usable_listings(
     raw: DataFrame, batch_id: int | Column = 1, base_year: int = L.AGE_BASE_YEAR
 ) -> DataFrame:
     """Plausible listings with unit price, age and batch id; analyses need no more than this."""
     batch = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
-    unit_price = F.round(F.col("price").cast(MONEY) * 10000 / F.col("area").cast("decimal(12,2)"), 0)
     return (
         raw.filter(
             F.col("district").isNotNull()
@@ -97,7 +116,7 @@ def usable_listings(
             & F.col("build_year").rlike("^[0-9]{4}$")
         )
         .withColumn("elevator_int", F.when(F.col("elevator") == L.ELEVATOR_YES, 1).otherwise(0))
-        .withColumn("price_per_sqm", unit_price.cast("int"))
+        .withColumn("price_per_sqm", unit_price(raw))
         .withColumn("house_age", F.lit(base_year) - F.col("build_year").try_cast("int"))
         .withColumn("checkid", batch.cast("int"))
     )

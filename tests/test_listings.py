@@ -127,3 +127,17 @@ def test_weighted_merge(spark, rows):
     assert got == {"a": (3, 100), "b": (1, 7), "c": (4, 9)}
     labelled = rows(merge.watched_result(merge.weighted_merge(old, new)))
     assert labelled[0]["district"] == "海淀" and labelled[0]["area"] == "90-144㎡"
+
+
+@pytest.mark.parametrize("price_type", ["int", "decimal(18,2)"])
+@pytest.mark.parametrize("area_type", ["int", "decimal(12,2)"])
+def test_unit_price_rounds_half_up(spark, price_type, area_type):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    cases = [(1, 3), (1, 16000), (3, 20000), (5, 20000), (299, 37), (123456, 7), (2, 80000)]
+    df = spark.createDataFrame(cases, "price int, area int").select(
+        F.col("price").cast(price_type), F.col("area").cast(area_type)
+    )
+    got = [r[0] for r in df.select(cleaning.unit_price(df)).collect()]
+    want = [int((Decimal(p) * 10000 / a).quantize(Decimal(1), ROUND_HALF_UP)) for p, a in cases]
+    assert got == want
