@@ -41,6 +41,34 @@ def basket_signatures(pairs: DataFrame, basket: str, item: str) -> DataFrame:
     )
 
 
+def _pair_counts(sets: DataFrame) -> DataFrame:
+    """Baskets per ordered pair: each unordered pair is emitted once per set, then turned round."""
+    placed = sets.select("items", "baskets", F.posexplode("items").alias("_at", "first"))
+    later = F.slice("items", F.col("_at") + 2, F.size("items"))
+    unordered = (
+        placed.select("first", "baskets", F.explode(later).alias("second"))
+        .groupBy("first", "second")
+        .agg(F.sum("baskets").alias("pair_order_count"))
+    )
+    both = F.array(
+        F.struct(F.col("first").alias("antecedent"), F.col("second").alias("consequent")),
+        F.struct(F.col("second").alias("antecedent"), F.col("first").alias("consequent")),
+    )
+    return unordered.select(F.explode(both).alias("pair"), "pair_order_count").select(
+        "pair.*", "pair_order_count"
+    )
+
+
+def _without_rare(sets: DataFrame, frequent: DataFrame) -> DataFrame:
+    """The sets reduced to their frequent items."""
+    return (
+        sets.select("_set", "baskets", F.explode("items").alias("item"))
+        .join(frequent.select("item"), "item", "left_semi")
+        .groupBy("_set", "baskets")
+        .agg(F.array_sort(F.collect_list("item")).alias("items"))
+    )
+
+
 def pair_rules(
     pairs: DataFrame,
     min_support: float = 0.005,
@@ -58,9 +86,11 @@ def pair_rules(
     most mean basket size / min_support), however long a single basket is.
     ``require_baskets`` raises when no basket has two items.
     """
-    sets = materialize(basket_signatures(pairs, basket, item), "signatures")
+    numbered = basket_signatures(pairs, basket, item).withColumn("_set", F.monotonically_increasing_id())
+    sets = materialize(numbered, "signatures")
     if require_baskets and sets.isEmpty():
         raise ValueError("no basket holds two different items")
+    threshold = F.lit(str(min_support)).cast("decimal(12,6)")
     total = sets.agg(F.sum("baskets").alias("n")).scalar()
     singles = (
         sets.select(F.explode("items").alias("item"), "baskets")
@@ -68,21 +98,12 @@ def pair_rules(
         .agg(F.sum("baskets").alias("n"))
         .withColumn("total", total)
     )
-    threshold = F.lit(str(min_support)).cast("decimal(12,6)")
-    frequent = materialize(
-        singles.filter(exact_ratio(F.col("n"), F.col("total"), 6) >= threshold), "frequent-items"
-    )
-    kept = sets
-    if min_support > 0:
-        names = frequent.agg(F.collect_set("item").alias("names")).scalar()
-        kept = sets.withColumn("items", F.array_intersect("items", names))
-    counted = (
-        kept.select("items", "baskets", F.explode("items").alias("antecedent"))
-        .select("antecedent", "baskets", F.explode("items").alias("consequent"))
-        .filter("antecedent <> consequent")
-        .groupBy("antecedent", "consequent")
-        .agg(F.sum("baskets").alias("pair_order_count"))
+    singles = materialize(
+        singles.withColumn("is_frequent", exact_ratio(F.col("n"), F.col("total"), 6) >= threshold), "items"
     )
+    frequent = singles.filter("is_frequent")
+    if not singles.filter("not is_frequent").isEmpty():
+        sets = _without_rare(sets, frequent)
     left = frequent.select(
         F.col("item").alias("antecedent"),
         F.col("n").alias("antecedent_order_count"),
@@ -92,7 +113,8 @@ def pair_rules(
     confidence = exact_ratio(F.col("pair_order_count"), F.col("antecedent_order_count"), 6)
     lift = _lift(F.col("confidence"), F.col("consequent_order_count"), F.col("total_basket_count"))
     return (
-        counted.join(left, "antecedent")
+        _pair_counts(sets)
+        .join(left, "antecedent")
         .join(right, "consequent")
         .withColumn("support", exact_ratio(F.col("pair_order_count"), F.col("total_basket_count"), 6))
         .withColumn("confidence", confidence)
