@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import DoubleType, FloatType, IntegralType
 
 from quaymark.functions import labels as L
 from quaymark.functions.expressions import (
@@ -35,10 +35,13 @@ def clean_catalogue(
     df = normalise_names(raw).filter(
         F.col("AppID").isNotNull() & F.col("Name").isNotNull() & (F.col("Name") != "")
     )
+    # Binary fractions become decimals, four places to tell 4.995 from 4.99.
+    price = df.schema["Price"].dataType
+    price = "decimal(18,4)" if isinstance(price, (DoubleType, FloatType)) else price
     return (
         keep_first(df, ["AppID"], order_by)
         .withColumn("owners_numeric", range_midpoint(F.col("Estimated_owners")))
-        .withColumn("Price", F.coalesce(F.col("Price"), F.lit(0).cast(df.schema["Price"].dataType)))
+        .withColumn("Price", F.coalesce(F.col("Price").cast(price), F.lit(0).cast(price)))
         .withColumn("release_year", first_year(F.col("Release_date").cast("string")))
         .filter(F.col("release_year").between(first, last))
     )

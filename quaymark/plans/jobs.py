@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quaymark.config import JobConfig, parse
 from quaymark.operators import baskets, catalogue, cleaning, commerce, listings
 from quaymark.plans import serving
-from quaymark.session import build_session, drop_scratch, materialize, shared_dir
+from quaymark.session import build_session, drop_scratch, materialize, shared_dir, size_shuffles
 from quaymark.sinks import files as file_sinks, jdbc
 from quaymark.sinks.contracts import AUDIT_COLUMNS, CONTRACTS, checked
 from quaymark.sources import events, files, kafka
@@ -273,6 +273,8 @@ def main(arguments: list[str]) -> None:
     spark.sparkContext.setLogLevel(config.log_level)
     try:
         if config.job in BATCH_JOBS:
+            if config.shuffle_partitions is None:
+                size_shuffles(spark, config.input)
             for name, seconds in BATCH_JOBS[config.job](spark, config).items():
                 print(f"{name}: {seconds:.1f}s")
         else:

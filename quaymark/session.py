@@ -8,6 +8,7 @@ local master, where driver and executors share one disk.
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -49,6 +50,21 @@ def build_session(
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, *paths: str, target_bytes: int = 128 << 20) -> int:
+    """Raise the shuffle partition count so that the inputs, shuffled whole, give partitions of about the target size.
+
+    AQE merges partitions that turn out small but never splits an aggregation's
+    partitions, so the starting count has to suit the largest shuffle.
+    """
+    from quaymark.sinks.storage import size
+
+    total = sum(size(spark, path) for path in paths)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(current, min(math.ceil(total / target_bytes), 100_000))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -25,3 +25,9 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     jpath, fs = _path(spark, path)
     fs.delete(jpath, True)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes below a path or glob, from file-system metadata."""
+    jpath, fs = _path(spark, path)
+    return sum(fs.getContentSummary(s.getPath()).getLength() for s in fs.globStatus(jpath) or [])

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quaymark import config as C
-from quaymark.session import shared_dir
+from quaymark.session import shared_dir, size_shuffles
 from quaymark.sinks import contracts, files as out, jdbc
 from quaymark.sources import files, jdbc as jdbc_source, kafka
 
@@ -151,3 +151,14 @@ def test_shared_dir_follows_the_session_setting():
         shared_dir(_session("yarn"))
     fallback = shared_dir(_session("local[2]"))
     assert fallback == shared_dir(_session("local[2]"))
+
+
+def test_shuffles_are_sized_by_the_input(spark, tmp_path):
+    (tmp_path / "f").write_bytes(b"x" * 10_000)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, str(tmp_path), target_bytes=1000) == 10
+        assert size_shuffles(spark, f"{tmp_path}/*", target_bytes=100) == 100
+        assert size_shuffles(spark, str(tmp_path / "missing")) == 100
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
