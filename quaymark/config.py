@@ -6,7 +6,16 @@ import argparse
 from collections.abc import Sequence
 from dataclasses import dataclass, fields
 
-JOBS = ("catalogue", "commerce", "listings", "category-stream", "item-stream", "community-stream")
+JOBS = (
+    "catalogue",
+    "commerce",
+    "listings",
+    "publish-orders",
+    "publish-prices",
+    "category-stream",
+    "item-stream",
+    "community-stream",
+)
 
 
 @dataclass(frozen=True)
@@ -19,11 +28,13 @@ class JobConfig:
     jdbc_password: str | None = None
     jdbc_driver: str | None = None
     shuffle_partitions: int | None = None
-    write_partitions: int = 1
+    write_partitions: int | None = None
     top_n: int = 10
     min_support: float = 0.005
     min_confidence: float = 0.10
     batch_id: int = 1
+    district: str | None = None
+    current_time: bool = False
     kafka_bootstrap: str | None = None
     topic: str | None = None
     checkpoint: str | None = None
@@ -37,11 +48,10 @@ class JobConfig:
     log_level: str = "WARN"
 
     def __post_init__(self) -> None:
-        for name in ("write_partitions", "top_n", "trigger_seconds"):
-            if getattr(self, name) <= 0:
+        for name in ("write_partitions", "shuffle_partitions", "top_n", "trigger_seconds"):
+            value = getattr(self, name)
+            if value is not None and value <= 0:
                 raise ValueError(f"{name} must be positive")
-        if self.shuffle_partitions is not None and self.shuffle_partitions <= 0:
-            raise ValueError("shuffle_partitions must be positive")
         for name in ("min_support", "min_confidence"):
             if not 0.0 <= getattr(self, name) <= 1.0:
                 raise ValueError(f"{name} must be between 0 and 1")

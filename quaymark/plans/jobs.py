@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quaymark.config import JobConfig, parse
+from quaymark.functions import labels as L
 from quaymark.operators import baskets, catalogue, cleaning, commerce, listings
 from quaymark.plans import serving
 from quaymark.session import build_session, drop_scratch, materialize, shared_dir, size_shuffles
 from quaymark.sinks import files as file_sinks, jdbc
 from quaymark.sinks.contracts import AUDIT_COLUMNS, CONTRACTS, checked
-from quaymark.sources import events, files, kafka
+from quaymark.sources import events, files, kafka, progress
 from quaymark.streaming import aggregates, runner
 
 Timings = dict[str, float]
@@ -65,6 +66,10 @@ def _write(
         raise ValueError("give --output, --jdbc-url or --dry-run")
 
 
+def _in_files(df: DataFrame, files: int | None) -> DataFrame:
+    return df if files is None else df.repartition(files)
+
+
 def store(config: JobConfig, name: str, df: DataFrame) -> None:
     """Full refresh of one result table, in the database or below the output folder."""
     _write(
@@ -72,7 +77,7 @@ def store(config: JobConfig, name: str, df: DataFrame) -> None:
         name,
         df,
         lambda rows, target: jdbc.full_refresh(rows, target, name, config.write_partitions),
-        lambda rows, path: rows.repartition(config.write_partitions).write.mode("overwrite").parquet(path),
+        lambda rows, path: _in_files(rows, config.write_partitions).write.mode("overwrite").parquet(path),
     )
 
 
@@ -155,6 +160,48 @@ def run_listings(spark: SparkSession, config: JobConfig) -> Timings:
     return timings
 
 
+# --- publishing --------------------------------------------------------------
+def _send(config: JobConfig, df: DataFrame, key: str | None) -> None:
+    """To the configured topic, or as message files below ``--output``."""
+    if config.kafka_bootstrap:
+        file_sinks.publish(df, key, config.kafka_bootstrap, config.topic)
+    else:
+        file_sinks.save_messages(df, f"{config.output}/messages")
+
+
+def run_publish_orders(spark: SparkSession, config: JobConfig) -> Timings:
+    """Valid order events from JSON lines as keyed messages; the others go aside with their reason."""
+    timings: Timings = {}
+    good, bad = events.split_events(spark.read.text(config.input))
+    if config.current_time:
+        good = events.at_current_time(good)
+    if config.dry_run:
+        good.show(20, truncate=False)
+        return timings
+    timed(timings, "messages", lambda: _send(config, good, "order_id"))
+    timed(timings, "rejected", lambda: bad.write.mode("append").json(f"{config.output}/rejected"))
+    return timings
+
+
+def run_publish_prices(spark: SparkSession, config: JobConfig) -> Timings:
+    """Price messages of every clean-listing batch after the progress mark, in batch order.
+
+    The mark moves after a batch is sent, so a batch cut short is sent again;
+    each message names its batch.
+    """
+    timings: Timings = {}
+    table = spark.read.parquet(config.input)
+    marks = config.checkpoint or f"{config.output}/progress"
+    while True:
+        batch_id = progress.last_processed(spark, marks) + 1
+        batch = progress.pull_batch(table, batch_id)
+        if batch.isEmpty():
+            return timings
+        prices = listings.watched_messages(batch, config.district or L.WATCHED_DISTRICT)
+        timed(timings, f"batch {batch_id}", lambda: _send(config, prices, None))
+        progress.save_processed(spark, marks, batch_id)
+
+
 # --- streams -----------------------------------------------------------------
 def messages_of(spark: SparkSession, config: JobConfig, **options) -> DataFrame:
     """The configured topic, or message files below ``--input``."""
@@ -215,7 +262,13 @@ def start_community_stream(spark: SparkSession, config: JobConfig) -> StreamingQ
     return runner.start(messages, merge, _checkpoint(spark, config), "append", _trigger(config))
 
 
-BATCH_JOBS = {"catalogue": run_catalogue, "commerce": run_commerce, "listings": run_listings}
+BATCH_JOBS = {
+    "catalogue": run_catalogue,
+    "commerce": run_commerce,
+    "listings": run_listings,
+    "publish-orders": run_publish_orders,
+    "publish-prices": run_publish_prices,
+}
 STREAM_JOBS = {
     "category-stream": start_category_stream,
     "item-stream": start_item_stream,

@@ -37,6 +37,6 @@ def topic_options(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic, "kafka.acks": "all", "kafka.retries": "3"}
 
 
-def publish(df: DataFrame, key: str, servers: str, topic: str) -> None:
-    """Keyed JSON messages to a Kafka topic (needs Spark's Kafka connector)."""
+def publish(df: DataFrame, key: str | None, servers: str, topic: str) -> None:
+    """JSON messages, keyed if a key column is named, to a Kafka topic (needs Spark's Kafka connector)."""
     to_messages(df, key).write.format("kafka").options(**topic_options(servers, topic)).save()

@@ -28,17 +28,22 @@ def write_options(target: JdbcTarget, table: str, batch_size: int = 1000, trunca
     return options | ({"truncate": "true"} if truncate else {})
 
 
+# Connections opened by one write unless told otherwise.
+WRITERS = 8
+
+
 def _write(df: DataFrame, target: JdbcTarget, table: str, mode: str, writers: int | None, truncate: bool) -> None:
-    out = df if writers is None else df.repartition(writers)
+    # A shuffle rather than a coalesce: the result is still computed in parallel.
+    out = df.repartition(writers or WRITERS)
     out.write.format("jdbc").options(**write_options(target, table, truncate=truncate)).mode(mode).save()
 
 
-def overwrite(df: DataFrame, target: JdbcTarget, table: str, writers: int | None = 1) -> None:
+def overwrite(df: DataFrame, target: JdbcTarget, table: str, writers: int | None = None) -> None:
     _write(df, target, table, "overwrite", writers, truncate=False)
 
 
 def full_refresh(
-    df: DataFrame, target: JdbcTarget, table: str, writers: int | None = 1, dry_run: bool = False
+    df: DataFrame, target: JdbcTarget, table: str, writers: int | None = None, dry_run: bool = False
 ) -> None:
     """Empty the table and fill it again, keeping its definition; a dry run prints 20 rows."""
     if dry_run:

@@ -120,3 +120,25 @@ def test_a_running_stream_can_be_stopped(spark, tmp_path):
     query = jobs.start_community_stream(spark, config)
     assert runner.await_end(query, timeout=3) is False
     assert not query.isActive
+
+
+def test_publish_orders_sets_bad_lines_aside(spark, tmp_path):
+    order = {"order_id": "o", "user_id": "u", "order_time": "2025-01-01 10:00:00", "province": "p", "city": "c",
+             "category": "food", "pay_amount": 2.5, "order_status": "已支付", "channel": "APP"}
+    write(tmp_path / "in", "a.jsonl", json.dumps(order, ensure_ascii=False), ["{broken", "", json.dumps({"order_id": "x"})])
+    config = JobConfig(job="publish-orders", input=str(tmp_path / "in"), output=str(tmp_path / "out"), current_time=True)
+    jobs.run_publish_orders(spark, config)
+    sent = [json.loads(r["value"]) for r in spark.read.text(f"{tmp_path}/out/messages").collect()]
+    assert [m["order_id"] for m in sent] == ["o"] and sent[0]["order_time"] != order["order_time"]
+    assert spark.read.json(f"{tmp_path}/out/rejected").count() == 2
+
+
+def test_publish_prices_resumes_after_the_mark(spark, tmp_path):
+    schema = "checkid int, district string, community string, area int, price_per_sqm int"
+    rows = [(1, "海淀", "a", 100, 5), (1, "海淀", "b", 80, 5), (2, "海淀", "a", 90, 7), (2, "x", "a", 90, 7), (4, "海淀", "a", 90, 9)]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "clean"))
+    config = JobConfig(job="publish-prices", input=str(tmp_path / "clean"), output=str(tmp_path / "out"))
+    assert list(jobs.run_publish_prices(spark, config)) == ["batch 1", "batch 2"]
+    assert jobs.run_publish_prices(spark, config) == {}
+    sent = sorted(r["value"] for r in spark.read.text(f"{tmp_path}/out/messages").collect())
+    assert sent == ['{"checkid":1,"community":"a","price_per_sqm":5}', '{"checkid":2,"community":"a","price_per_sqm":7}']
