@@ -132,8 +132,13 @@ def best_value(
 
 # --- genres and tags ---------------------------------------------------------
 def explode_list(df: DataFrame, column: str, name: str) -> DataFrame:
-    """One row per item of a list text; the source column is not carried along."""
-    return df.withColumn(name, F.explode(list_items(F.col(column)))).drop(column)
+    """One row per item of a list text; the source column is not carried along.
+
+    The outer form with a filter: for a plain ``explode`` the optimizer adds a
+    size test before it, which would parse every text a second time.
+    """
+    exploded = df.withColumn(name, F.explode_outer(list_items(F.col(column)))).drop(column)
+    return exploded.filter(F.col(name).isNotNull())
 
 
 def genre_distribution(items: DataFrame) -> DataFrame:

@@ -20,6 +20,16 @@ ITEM_EVENT = (
 PRICE_MESSAGE = "community string, price_per_sqm bigint, checkid bigint"
 
 
+def parsed(lines: DataFrame, schema: str) -> DataFrame:
+    """The fields of each message as columns, all NULL for text that is not JSON.
+
+    Selecting ``from_json(...).*`` would be inlined into every later filter
+    and column and parse each message many times over; a generator is
+    evaluated once per row.
+    """
+    return lines.select(F.inline(F.array(F.from_json("value", schema))))
+
+
 def with_reason(lines: DataFrame, required: Sequence[str] = L.EVENT_FIELDS) -> DataFrame:
     """Column ``reason``: NULL for a good message, else why it is rejected; blank lines go."""
     keys = F.json_object_keys("value")
@@ -35,14 +45,13 @@ def split_events(
 ) -> tuple[DataFrame, DataFrame]:
     """(decoded good messages, rejected lines with their reason)."""
     marked = with_reason(lines, required)
-    good = marked.filter("reason is null").select(F.from_json("value", schema).alias("event")).select("event.*")
+    good = parsed(marked.filter("reason is null"), schema)
     return good, marked.filter("reason is not null").select("value", "reason")
 
 
 def decode(lines: DataFrame, schema: str, key: str) -> DataFrame:
     """Typed columns of each message; messages without the key field are left out."""
-    event = F.from_json("value", schema)
-    return lines.select(event.alias("event")).select("event.*").filter(F.col(key).isNotNull())
+    return parsed(lines, schema).filter(F.col(key).isNotNull())
 
 
 def order_events(lines: DataFrame, statuses: Sequence[str] = L.VALID_STATUSES) -> DataFrame:

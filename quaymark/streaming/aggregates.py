@@ -81,7 +81,8 @@ def genre_window_counts(
     if watermark and events.isStreaming:
         events = events.withWatermark("timestamp", watermark)
     return (
-        events.select("timestamp", F.explode(list_items(F.col("genres"))).alias("genre"))
+        events.select("timestamp", F.explode_outer(list_items(F.col("genres"))).alias("genre"))
+        .filter("genre is not null")
         .groupBy(F.window("timestamp", duration, slide), "genre")
         .agg(F.count("*").alias("count"))
         .select(
