@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 
 def slices(batches: Iterable[pd.DataFrame], column: str, limit: int = 4 << 20) -> Iterator[pd.DataFrame]:
@@ -33,3 +38,32 @@ def groups(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.Data
                 yield part.reset_index(drop=True)
     if rest is not None and len(rest):
         yield rest
+
+
+def map_texts(df: DataFrame, function: Callable[[list], dict], added: str, column: str = "text", limit: int = 4 << 20) -> DataFrame:
+    """``df`` without ``column``, with the columns ``added`` that ``function`` makes from lists of its values.
+
+    Other columns pass through as Arrow arrays, so null and large ids stay as they are.  One call
+    sees values of about ``limit`` characters in all (a longer one alone).
+    """
+    rest = [c for c in df.columns if c != column]
+    fields = StructType.fromDDL(added).fields
+    out = StructType([df.schema[c] for c in rest] + fields)
+    kinds = [to_arrow_type(f.dataType) for f in fields]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place, values = 0, batch.column(column)
+            sizes = pc.fill_null(pc.binary_length(values), 0).to_pylist()
+            while place < batch.num_rows:
+                end, total = place + 1, sizes[place]
+                while end < batch.num_rows and total + sizes[end] <= limit:
+                    total += sizes[end]
+                    end += 1
+                made = function(values.slice(place, end - place).to_pylist())
+                arrays = [batch.column(c).slice(place, end - place) for c in rest]
+                arrays += [made[f.name] if isinstance(made[f.name], pa.Array) else pa.array(made[f.name], k) for f, k in zip(fields, kinds)]
+                yield pa.RecordBatch.from_arrays(arrays, names=out.names)
+                place = end
+
+    return df.mapInArrow(run, out)
