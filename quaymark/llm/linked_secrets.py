@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quaymark.llm.spans import as_text, in_order, locate, mask, overlaps
+from quaymark.llm.spans import as_text, count_kind, in_order, locate, mask, overlaps
 from quaymark.session import materialize
 
 BASE_KINDS = ["assign", "access", "hex"]
@@ -54,33 +54,37 @@ VALID = {
 }
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with ``_row``, ``_base`` and ``_weak``, written.
+def find(docs: DataFrame, kept: list[str]) -> DataFrame:
+    """``(row, doc, base, weak)``, written: ``doc`` has the columns ``kept`` of a row of ``docs``.
 
     Weak parts that touch a base span are left out.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = F.concat(*[locate(text, k, BASE[k], VALID[k]) for k in BASE_KINDS])
     weak = F.concat(*[locate(text, k, WEAK[k], VALID[k]) for k in WEAK_KINDS])
-    rows = docs.select("*", base.alias("_base"), weak.alias("_weak"))
-    free = F.filter("_weak", lambda w: ~F.exists("_base", lambda b: overlaps(w, b)))
-    parts = lambda spans: F.transform(spans, lambda s: s.dropFields("found"))
-    return materialize(rows.withColumn("_weak", parts(free)).withColumn("_base", parts(F.col("_base"))).withColumn("_row", F.monotonically_increasing_id()), "secret_parts")
+    rows = docs.select(F.struct(*kept).alias("doc"), base.alias("base"), weak.alias("weak"))
+    free = F.filter("weak", lambda w: ~F.exists("base", lambda b: overlaps(w, b)))
+
+    def parts(spans):
+        return F.transform(spans, lambda s: s.dropFields("found"))
+
+    rows = rows.select("doc", parts("base").alias("base"), parts(free).alias("weak"))
+    return materialize(rows.withColumn("row", F.monotonically_increasing_id()), "secret_parts")
 
 
 def link(found: DataFrame) -> DataFrame:
-    """``(_row, _added)``: the weak parts of each row that has a complementary part near them."""
-    some = found.where(F.size("_weak") > 0)
-    part = some.select("_row", F.explode("_weak").alias("w")).select("_row", "w.*")
+    """``(row, added)``: the weak parts of each row that has a complementary part near them."""
+    some = found.where(F.size("weak") > 0)
+    part = some.select("row", F.explode("weak").alias("w")).select("row", "w.*")
     wanted = F.create_map(*[x for k, v in COMPLEMENTS.items() for x in (F.lit(k), F.array(*[F.lit(c) for c in v]))])
-    near = part.select("_row", "kind", "start", "end", F.explode(wanted[F.col("kind")]).alias("other"), F.explode(_scopes(F.col("start"), F.col("end"))).alias("scope"))
-    other = some.select("_row", F.explode(F.concat("_base", "_weak")).alias("o")).select("_row", F.col("o.kind").alias("other"), F.col("o.start").alias("low"), F.col("o.end").alias("high"))
+    near = part.select("row", "kind", "start", "end", F.explode(wanted[F.col("kind")]).alias("other"), F.explode(_scopes(F.col("start"), F.col("end"))).alias("scope"))
+    other = some.select("row", F.explode(F.concat("base", "weak")).alias("o")).select("row", F.col("o.kind").alias("other"), F.col("o.start").alias("low"), F.col("o.end").alias("high"))
     other = other.withColumn("scope", F.explode(_scopes(F.col("low") - SCOPE, F.col("high") + SCOPE)))
     reached = (F.col("low") - SCOPE < F.col("end")) & (F.col("start") < F.col("high") + SCOPE)
     apart = (F.col("low") >= F.col("end")) | (F.col("start") >= F.col("high"))
-    linked = near.join(other, ["_row", "other", "scope"]).where(reached & apart)
-    spans = linked.select("_row", F.struct("kind", "start", "end").alias("s")).distinct()
-    return spans.groupBy("_row").agg(F.collect_list("s").alias("_added"))
+    linked = near.join(other, ["row", "other", "scope"]).where(reached & apart)
+    spans = linked.select("row", F.struct("kind", "start", "end").alias("s")).distinct()
+    return spans.groupBy("row").agg(F.collect_list("s").alias("added"))
 
 
 def _scopes(low: Column, high: Column) -> Column:
@@ -88,30 +92,30 @@ def _scopes(low: Column, high: Column) -> Column:
     return F.sequence(F.floor(F.greatest(low, F.lit(0)) / SCOPE), F.floor(F.greatest(high - 1, F.lit(0)) / SCOPE))
 
 
-def _with_links(docs: DataFrame) -> DataFrame:
-    found = find(docs)
+def _with_links(docs: DataFrame, kept: list[str]) -> DataFrame:
+    """``(doc, base, added)`` of every row."""
+    found = find(docs, kept)
     none = F.array().cast("array<struct<kind: string, start: int, end: int>>")
-    plain = found.where(F.size("_weak") == 0).withColumn("_added", none)
-    rest = found.where(F.size("_weak") > 0).join(link(found), "_row", "left").withColumn("_added", F.coalesce("_added", none))
-    return plain.unionByName(rest)
+    plain = found.where(F.size("weak") == 0).select("doc", "base", none.alias("added"))
+    rest = found.where(F.size("weak") > 0).join(link(found), "row", "left")
+    return plain.union(rest.select("doc", "base", F.coalesce("added", none).alias("added")))
 
 
 def secrets(docs: DataFrame) -> DataFrame:
     """``(doc_id, base, added)`` of each row of ``docs (doc_id, text)``, spans as structs."""
-    return _with_links(docs.select("doc_id", "text")).select("doc_id", F.col("_base").alias("base"), F.col("_added").alias("added"))
+    return _with_links(docs, ["doc_id"]).select("doc.doc_id", "base", "added")
 
 
 def digest(found: DataFrame) -> DataFrame:
     """Counts and digests of ``secrets``."""
     kinds = BASE_KINDS + WEAK_KINDS
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    counts = [count_kind("base", k).alias(f"n_{k}") for k in BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(as_text(in_order(F.col("base"), kinds)), 256).alias("base_sha256"), as_text(in_order(F.concat("base", "added"), kinds)).alias("spans"))
 
 
 def mask_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with every reported span of ``text`` replaced by ``[kind]``; all rows and columns stay."""
-    ordered = in_order(F.concat("_base", "_added"), BASE_KINDS + WEAK_KINDS)
-    masked = _with_links(docs).withColumn("text", mask(F.col("text"), ordered, lambda s: F.concat(F.lit("["), s["kind"], F.lit("]"))))
-    return masked.select(*docs.columns)
-
-
+    ordered = in_order(F.concat("base", "added"), BASE_KINDS + WEAK_KINDS)
+    masked = mask(F.col("doc.text"), ordered, lambda s: F.concat(F.lit("["), s["kind"], F.lit("]")))
+    own = [masked.alias(c) if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns]
+    return _with_links(docs, docs.columns).select(*own)

@@ -100,7 +100,8 @@ def _cluster(vectors: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, label: str = "lang") -> Model:
     """Centroids of each language, from rows with a text and a label."""
-    rows = docs.select(F.col(label).cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where("lang is not null and text is not null")
+    key = F.xxhash64(*[c for c in ("doc_id", "text") if c in docs.columns])
+    rows = docs.select(F.col(label).cast("string").alias("lang"), F.col("text").cast("string").alias("text"), key.alias("key")).where("lang is not null and text is not null")
     totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
     if len(totals) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
@@ -108,8 +109,7 @@ def fit(docs: DataFrame, label: str = "lang") -> Model:
         return Model([], np.zeros((0, DIMENSIONS), np.float32), np.ones(DIMENSIONS, np.float32), 0.0)
     # About twice the sample by a threshold on the hash, so that little is moved; then the first of these.
     share = F.create_map(*[x for k, n in sorted(totals.items()) for x in (F.lit(k), F.lit(min(1.0, (2 * SAMPLE + 40) / n)))])
-    key = F.xxhash64("text")
-    near = rows.withColumn("key", key).where((F.pmod("key", F.lit(1 << 30)) / (1 << 30)) <= share[F.col("lang")])
+    near = rows.where((F.pmod("key", F.lit(1 << 30)) / (1 << 30)) <= share[F.col("lang")])
     first = near.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("key", "text")))
     sample = first.where(F.col("place") <= SAMPLE).select("lang", "text")
 

@@ -78,9 +78,9 @@ def _windows(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for place in range(0, len(batch), WINDOW):
             part = batch.iloc[place : place + WINDOW]
-            for label, same in part.groupby(["label", "round"], sort=False):
+            for key, same in part.groupby([part["label"], part["round"], part["half"].str.len()], sort=False):
                 if len(same) > 1:
-                    yield from _nearest(label[0], same["u"].to_numpy(), _vectors(same["half"]))
+                    yield from _nearest(key[0], same["u"].to_numpy(), _vectors(same["half"]))
 
 
 def _nearest(label: str, ids: np.ndarray, x: np.ndarray) -> Iterator[pd.DataFrame]:

@@ -45,6 +45,11 @@ def as_text(ordered: Column) -> Column:
     return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def count_kind(spans: str, kind: str) -> Column:
+    """How many of an array of spans are of a kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def overlaps(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 

@@ -26,7 +26,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quaymark.llm.spans import as_text, in_order, locate, overlaps
+from quaymark.llm.spans import as_text, count_kind, in_order, locate, overlaps
 from quaymark.session import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -71,7 +71,7 @@ def digits(found: Column) -> Column:
 VALID = {
     "email": None,
     "ip": lambda m: F.regexp_like(m, F.lit(rf"^{OCTET}\.{OCTET}\.{OCTET}\.{OCTET}$")),
-    "card": lambda m: F.length(digits(m)).between(12, 19) & F.luhn_check(digits(m)),
+    "card": lambda m: F.length(digits(m)).between(12, 19) & F.call_function("luhn_check", digits(m)),
     "phone": lambda m: F.length(digits(m)).between(9, 15),
 }
 
@@ -92,7 +92,7 @@ def _votes(kind: str, span: Column, text: Column, base: bool) -> Column:
     shape = {
         "email": F.regexp_like(found, F.lit(r"[A-Za-z]{2,}$")),
         "ip": F.regexp_like(found, F.lit(r"^(?!0)[0-9.]+$|:.*[0-9]")),
-        "card": F.luhn_check(number) & F.length(number).between(13, 19),
+        "card": F.call_function("luhn_check", number) & F.length(number).between(13, 19),
         "phone": F.length(number).between(9, 13),
     }[kind]
     known = {
@@ -205,5 +205,5 @@ def personal_data(docs: DataFrame) -> DataFrame:
 def digest(found: DataFrame) -> DataFrame:
     """Counts and digests of ``personal_data``."""
     base = in_order(F.col("base"), KINDS)
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [count_kind("base", k).alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(as_text(base), 256).alias("base_sha256"), as_text(in_order(F.concat("base", "added"), KINDS)).alias("spans"))

@@ -12,7 +12,7 @@ def tokens(text):
 
 
 def test_base_score_is_exact(docs, corpus, no_docs, monkeypatch):
-    monkeypatch.setattr(bloom_lm, "FREQUENT", 200)
+    monkeypatch.setattr(bloom_lm, "FREQUENT", 2000)
     learnt = docs.where("doc_id % 10 <> 0")
     model = bloom_lm.learn(learnt)
     counts = Counter(t for r in corpus if r[0] is not None and r[0] % 10 for t in tokens(r[1]))
