@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: Short notices by which texts state their licence.
 TEMPLATES = {
@@ -81,16 +81,19 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, thresho
     plain = F.trim(F.regexp_replace(F.translate("unit", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9]+", " "))
     lines = lines.select("doc_id", "line", F.split(plain, " ").alias("w")).where(F.size("w") > 1)
     pairs = F.array_distinct(F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b)))
-    lines = lines.select("doc_id", "line", pairs.alias("pairs"))
-    scores = []
-    for name, bigrams in shapes:
-        n = F.size("pairs")
-        fits = 2 * F.least(n, F.lit(len(bigrams))) >= threshold * (n + len(bigrams))
-        common = F.size(F.array_intersect("pairs", F.array(*[F.lit(b) for b in bigrams])))
-        dice = 2 * common / (n + F.lit(len(bigrams)))
-        scores.append(F.when(fits & (dice >= threshold), F.struct(dice.alias("dice"), F.lit(name).alias("licence"))))
-    best = F.aggregate(F.array(*scores), F.lit(None).cast("struct<dice: double, licence: string>"), lambda old, new: F.when(new.isNotNull() & (old.isNull() | (new["dice"] > old["dice"])), new).otherwise(old))
-    return lines.select("doc_id", F.col("line").cast("long").alias("line"), best.alias("b")).where("b is not null").select("doc_id", "line", F.col("b.licence").alias("licence"), F.col("b.dice").alias("dice"))
+    # A generator is evaluated once for each line; a plain column would be, for each use below.
+    lines = lines.select("doc_id", "line", F.explode(F.array(pairs)).alias("pairs"))
+    known = F.array(*[F.struct(F.lit(name).alias("licence"), F.lit(-i).alias("order"), F.lit(len(b)).alias("size"), F.array(*[F.lit(x) for x in b]).alias("bigrams")) for i, (name, b) in enumerate(shapes)])
+    n = F.size("pairs")
+
+    def score(t: Column) -> Column:
+        fits = 2 * F.least(n, t["size"]) >= threshold * (n + t["size"])
+        dice = F.when(fits, 2 * F.size(F.array_intersect("pairs", t["bigrams"])) / (n + t["size"]))
+        return F.struct(dice.alias("dice"), t["order"].alias("order"), t["licence"].alias("licence"))
+
+    best = F.array_max(F.filter(F.transform(known, score), lambda s: s["dice"] >= threshold))
+    found = lines.select(F.col("doc_id"), F.col("line").cast("long").alias("line"), F.explode(F.array(best)).alias("b"))
+    return found.where("b is not null").select("doc_id", "line", F.col("b.licence").alias("licence"), F.col("b.dice").alias("dice"))
 
 
 def oracle(templates: dict[str, list[str]] | None = None, threshold: float = THRESHOLD) -> str:
