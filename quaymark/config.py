@@ -41,6 +41,8 @@ class JobConfig:
     window_duration: str = "1 minute"
     slide_duration: str = "30 seconds"
     trigger_seconds: int = 10
+    max_offsets: int | None = None
+    tolerate_data_loss: bool = False
     output_mode: str = "update"
     time_zone: str = "Asia/Shanghai"
     drain: bool = False
@@ -48,7 +50,7 @@ class JobConfig:
     log_level: str = "WARN"
 
     def __post_init__(self) -> None:
-        for name in ("write_partitions", "shuffle_partitions", "top_n", "trigger_seconds"):
+        for name in ("write_partitions", "shuffle_partitions", "top_n", "trigger_seconds", "max_offsets"):
             value = getattr(self, name)
             if value is not None and value <= 0:
                 raise ValueError(f"{name} must be positive")

@@ -18,9 +18,13 @@ def order_baskets(valid: DataFrame, order_items: DataFrame, products: DataFrame)
     (A semi join would be pushed below the distinct by the optimizer, so the
     order ids are made unique and joined.)
     """
+    return baskets_of(valid, attach_category(order_items, products))
+
+
+def baskets_of(valid: DataFrame, items: DataFrame) -> DataFrame:
+    """``order_baskets`` of items that have their category."""
     return (
-        attach_category(order_items, products)
-        .select("order_id", F.col("final_category").alias("category"))
+        items.select("order_id", F.col("final_category").alias("category"))
         .distinct()
         .join(valid.select("order_id").distinct(), "order_id")
     )
@@ -59,16 +63,6 @@ def _pair_counts(sets: DataFrame) -> DataFrame:
     )
 
 
-def _without_rare(sets: DataFrame, frequent: DataFrame) -> DataFrame:
-    """The sets reduced to their frequent items."""
-    return (
-        sets.select("_set", "baskets", F.explode("items").alias("item"))
-        .join(frequent.select("item"), "item", "left_semi")
-        .groupBy("_set", "baskets")
-        .agg(F.array_sort(F.collect_list("item")).alias("items"))
-    )
-
-
 def pair_rules(
     pairs: DataFrame,
     min_support: float = 0.005,
@@ -81,29 +75,23 @@ def pair_rules(
 
     Denominators count only baskets with at least two items, and lift divides
     the already rounded confidence.  A pair cannot be more frequent than either
-    member, so items below ``min_support`` are dropped before pairs are formed.
-    That is exact, and it bounds each set by the number of frequent items (at
-    most mean basket size / min_support), however long a single basket is.
+    member, so items below ``min_support`` are dropped before any basket's items are
+    put together.  That is exact, and it bounds each set by the number of frequent
+    items (at most mean basket size / min_support), however long a single basket is;
+    baskets that become equal are counted as one set.
     ``require_baskets`` raises when no basket has two items.
     """
-    numbered = basket_signatures(pairs, basket, item).withColumn("_set", F.monotonically_increasing_id())
-    sets = materialize(numbered, "signatures")
-    if require_baskets and sets.isEmpty():
+    pairs = pairs.select(basket, item).distinct()
+    several = pairs.groupBy(basket).agg(F.count("*").alias("_size")).filter("_size >= 2").select(basket)
+    pairs = materialize(pairs.join(several, basket), "baskets")
+    if require_baskets and pairs.isEmpty():
         raise ValueError("no basket holds two different items")
     threshold = F.lit(str(min_support)).cast("decimal(12,6)")
-    total = sets.agg(F.sum("baskets").alias("n")).scalar()
-    singles = (
-        sets.select(F.explode("items").alias("item"), "baskets")
-        .groupBy("item")
-        .agg(F.sum("baskets").alias("n"))
-        .withColumn("total", total)
-    )
-    singles = materialize(
-        singles.withColumn("is_frequent", exact_ratio(F.col("n"), F.col("total"), 6) >= threshold), "items"
-    )
-    frequent = singles.filter("is_frequent")
-    if not singles.filter("not is_frequent").isEmpty():
-        sets = _without_rare(sets, frequent)
+    total = pairs.agg(F.countDistinct(basket).alias("n")).scalar()
+    singles = pairs.groupBy(F.col(item).alias("item")).agg(F.count("*").alias("n")).withColumn("total", total)
+    frequent = materialize(singles.filter(exact_ratio(F.col("n"), F.col("total"), 6) >= threshold), "items")
+    pruned = pairs.join(frequent.select(F.col("item").alias(item)), item)
+    sets = basket_signatures(pruned, basket, item)
     left = frequent.select(
         F.col("item").alias("antecedent"),
         F.col("n").alias("antecedent_order_count"),

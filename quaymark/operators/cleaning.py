@@ -31,7 +31,12 @@ def clean_catalogue(
     first: int = L.FIRST_YEAR,
     last: int = L.LAST_YEAR,
 ) -> DataFrame:
-    """Named, keyed, deduplicated items with ``owners_numeric`` and ``release_year``."""
+    """Named, keyed, deduplicated items with ``owners_numeric`` and ``release_year``.
+
+    Of rows with one AppID the first by ``order_by`` stays, by default by name, release
+    date and owners: short columns, so that a later query still reads only the columns it
+    needs.  Give a finer key where rows can agree in all three and differ elsewhere.
+    """
     df = normalise_names(raw).filter(
         F.col("AppID").isNotNull() & F.col("Name").isNotNull() & (F.col("Name") != "")
     )
@@ -39,7 +44,7 @@ def clean_catalogue(
     price = df.schema["Price"].dataType
     price = "decimal(18,4)" if isinstance(price, (DoubleType, FloatType)) else price
     return (
-        keep_first(df, ["AppID"], order_by)
+        keep_first(df, ["AppID"], order_by or [F.col(c).asc() for c in ("Name", "Release_date", "Estimated_owners")])
         .withColumn("owners_numeric", range_midpoint(F.col("Estimated_owners")))
         .withColumn("Price", F.coalesce(F.col("Price").cast(price), F.lit(0).cast(price)))
         .withColumn("release_year", first_year(F.col("Release_date").cast("string")))
@@ -91,7 +96,8 @@ def unit_price(listings: DataFrame) -> Column:
 
     With whole-number areas this is whole-number arithmetic: the quotient of
     two integers below 2**53 is never rounded across the next integer, so its
-    floor is exact, and no decimal division is paid per row.
+    floor is exact, and no decimal division is paid per row.  A price beyond a
+    whole number's range is NULL.
     """
     price, area = F.col("price"), F.col("area")
     if isinstance(listings.schema["area"].dataType, IntegralType):
@@ -102,7 +108,7 @@ def unit_price(listings: DataFrame) -> Column:
         whole = F.floor(F.try_divide(hundredths * 200 + area, area * 2))
     else:
         whole = F.round(F.try_divide(price.cast(MONEY) * 10000, area.cast("decimal(12,2)")), 0)
-    return whole.cast("int")
+    return whole.try_cast("int")
 
 
 def usable_listings(

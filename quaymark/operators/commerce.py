@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quaymark.functions import labels as L
-from quaymark.functions.expressions import exact_avg, first_reached
+from quaymark.functions.expressions import exact_ratio, first_reached
 from quaymark.operators.ranking import sorted_report, top_per_group, with_global_ntile
 
 
@@ -29,41 +29,91 @@ def attach_category(order_items: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def _single(low: str, high: str, what: str) -> Column:
+    """A value that must be the same in all rows of an order; an order with two ends the job."""
+    problem = F.concat(F.lit(f"one order with more than one {what}: "), F.col("order_id").cast("string"))
+    return F.when(F.col(low) != F.col(high), F.raise_error(problem).cast("string")).otherwise(F.col(low))
+
+
 def sales_time_trend(valid: DataFrame) -> DataFrame:
-    """Orders, users and amounts per date and hour."""
+    """Orders, users and amounts per date and hour.
+
+    Rows are summed per order, orders per user, and users per hour, so distinct counts
+    become plain ones and no row is multiplied.  That takes one user per order, which
+    is checked.
+    """
+    hour = ["stat_date", "stat_hour"]
+    amounts = ["total_amount", "discount_amount", "pay_amount"]
+    orders = valid.groupBy(*hour, "order_id").agg(
+        F.min("user_id").alias("_low"),
+        F.max("user_id").alias("_high"),
+        *[F.sum(c).alias(c) for c in amounts],
+        F.count("pay_amount").alias("_paid"),
+    )
+    users = orders.groupBy(*hour, _single("_low", "_high", "user").alias("user_id")).agg(
+        F.count("order_id").alias("order_count"),
+        *[F.sum(c).alias(c) for c in amounts],
+        F.sum("_paid").alias("_paid"),
+    )
     return (
-        valid.groupBy("stat_date", "stat_hour")
+        users.groupBy(*hour)
         .agg(
-            F.countDistinct("order_id").alias("order_count"),
-            F.countDistinct("user_id").alias("user_count"),
-            F.sum("total_amount").alias("total_amount"),
-            F.sum("discount_amount").alias("discount_amount"),
-            F.sum("pay_amount").alias("pay_amount"),
-            exact_avg(F.col("pay_amount"), 2).alias("avg_order_amount"),
+            F.sum("order_count").alias("order_count"),
+            F.count("user_id").alias("user_count"),
+            *[F.sum(c).cast("decimal(28,2)").alias(c) for c in amounts],
+            exact_ratio(F.sum("pay_amount"), F.sum("_paid"), 2).alias("avg_order_amount"),
         )
-        .orderBy("stat_date", "stat_hour")
+        .orderBy(*hour)
     )
 
 
 def category_sales_rank(
     valid: DataFrame, order_items: DataFrame, products: DataFrame, top_n: int = 10
 ) -> DataFrame:
-    """Best-selling categories of each day, ranked by amount, quantity, name."""
-    keys = valid.select("order_id", "stat_date", "channel")
-    items = attach_category(order_items, products).select(
-        "order_id", "final_category", "quantity", "amount"
+    """Best-selling categories of each day, ranked by amount, quantity, name.
+
+    Lines are summed per order and category before the join, so afterwards an order is
+    one row in a category.  That takes one date and channel per order, which is checked.
+    """
+    return ranked_category_sales(valid, attach_category(order_items, products), top_n)
+
+
+def ranked_category_sales(valid: DataFrame, items: DataFrame, top_n: int = 10) -> DataFrame:
+    """``category_sales_rank`` of items that have their category."""
+    keys = valid.groupBy("order_id").agg(
+        F.min("stat_date").alias("_low_date"),
+        F.max("stat_date").alias("_high_date"),
+        F.min("channel").alias("_low"),
+        F.max("channel").alias("_high"),
+        F.count("*").alias("_copies"),
     )
-    daily = (
-        items.join(keys, "order_id")
-        .groupBy("stat_date", F.col("final_category").alias("category"))
+    keys = keys.select(
+        "order_id",
+        _single("_low_date", "_high_date", "date").alias("stat_date"),
+        _single("_low", "_high", "channel").alias("channel"),
+        "_copies",
+    )
+    lines = items.groupBy("order_id", F.col("final_category").alias("category")).agg(
+        F.sum("quantity").alias("quantity"), F.sum("amount").alias("amount"), F.count("amount").alias("_lines")
+    )
+    copies = F.col("_copies")
+    channels = (
+        lines.join(keys, "order_id")
+        .groupBy("stat_date", "category", "channel")
         .agg(
-            F.countDistinct("order_id").alias("order_count"),
-            F.sum("quantity").cast("bigint").alias("quantity_sum"),
-            F.sum("amount").alias("amount_sum"),
-            exact_avg(F.col("amount"), 2).alias("avg_item_amount"),
-            F.countDistinct("channel").alias("channel_count"),
+            F.count("*").alias("order_count"),
+            F.sum(F.col("quantity") * copies).alias("quantity_sum"),
+            F.sum((F.col("amount") * copies).cast("decimal(28,2)")).cast("decimal(28,2)").alias("amount_sum"),
+            F.sum(F.col("_lines") * copies).alias("_lines"),
         )
     )
+    daily = channels.groupBy("stat_date", "category").agg(
+        F.sum("order_count").alias("order_count"),
+        F.sum("quantity_sum").cast("bigint").alias("quantity_sum"),
+        F.sum("amount_sum").cast("decimal(28,2)").alias("amount_sum"),
+        exact_ratio(F.sum("amount_sum"), F.sum("_lines"), 2).alias("avg_item_amount"),
+        F.count("channel").alias("channel_count"),
+    )
     order = [F.desc("amount_sum"), F.desc("quantity_sum"), F.asc("category")]
     best = top_per_group(daily, ["stat_date"], order, top_n, "category_rank")
     return sorted_report(best, "stat_date", "category_rank")

@@ -47,11 +47,8 @@ def price_statistics(listings: DataFrame, keys: Sequence[str], accuracy: int | N
         "_area_sum",
         F.sum("_n").over(seen).alias("_seen"),
         F.sum("_n").over(by_key).alias("_total"),
-        (F.sum(F.col("_p") * F.col("_n")).over(by_key) / F.sum("_n").over(by_key)).alias("_mean"),
     )
-    deviation = F.col("_p") - F.col("_mean")
-    squares = F.sum(F.col("_n") * deviation * deviation)
-    variance = F.try_divide(squares, F.sum("_n") - 1)
+    variance = _whole_variance(F.col("_p"), F.col("_n"))
     if accuracy is None:
         median = F.min(F.when(F.col("_seen") * 2 >= F.col("_total"), F.col("_p")))
     else:
@@ -62,8 +59,8 @@ def price_statistics(listings: DataFrame, keys: Sequence[str], accuracy: int | N
         F.min("_p").alias("min_price"),
         F.max("_p").alias("max_price"),
         median.alias("median_price"),
-        variance.cast("bigint").alias("price_variance"),
-        F.sqrt(variance).cast("bigint").alias("price_stddev"),
+        variance.alias("price_variance"),
+        F.floor(F.sqrt(variance)).alias("price_stddev"),
         _whole_mean(F.sum("_age_sum"), F.sum("_age_n")).alias("avg_house_age"),
         _whole_mean(F.sum("_area_sum"), F.sum("_n")).alias("avg_area"),
     )
@@ -75,6 +72,20 @@ def price_statistics(listings: DataFrame, keys: Sequence[str], accuracy: int | N
     return stats
 
 
+def _whole_variance(value: Column, count: Column) -> Column:
+    """Sample variance of whole numbers with their counts, truncated; NULL for a single row.
+
+    ``(n * sum(x^2) - sum(x)^2) / (n * (n - 1))`` in whole numbers, so the order of
+    addition cannot change it.  NULL where a sum has over 38 digits.
+    """
+    x, n = value.cast("decimal(19,0)"), count.cast("decimal(19,0)")
+    total = F.sum(count).cast("decimal(19,0)")
+    linear = F.try_sum(F.try_multiply(x, n))
+    squares = F.try_sum(F.try_multiply(F.try_multiply(x, x), n))
+    spread = F.try_subtract(F.try_multiply(squares, total), F.try_multiply(linear, linear))
+    return F.floor(F.try_divide(spread, F.try_multiply(total, total - 1))).try_cast("bigint")
+
+
 def _whole_mean(total: Column, count: Column) -> Column:
     """Mean truncated towards zero."""
     whole = F.try_divide(total.cast("decimal(28,2)"), count.cast("decimal(20,0)"))

@@ -40,13 +40,14 @@ def sorted_report(df: DataFrame, *order_by: str) -> DataFrame:
     return df.repartition(1).sortWithinPartitions(*order_by)
 
 
-def bounded_limit(value: object, default: int, maximum: int) -> int:
-    """Limit argument of a report: default when not a positive integer, never above maximum."""
-    try:
-        number = int(str(value))
-    except ValueError:
+def bounded_limit(value: object, default: int, maximum: int | None = None) -> int:
+    """Limit argument of a report: the default when not given; a limit that is no positive integer, or above a maximum, raises."""
+    if value is None:
         return default
-    return default if number <= 0 else min(number, maximum)
+    number = int(str(value))
+    if number <= 0 or (maximum is not None and number > maximum):
+        raise ValueError(f"limit {number} is not between 1 and {maximum or 'any number'}")
+    return number
 
 
 def with_global_position(

@@ -239,7 +239,7 @@ def order_messages(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("order_status"),
         F.lit("web").alias("channel"),
     )
-    return events.select(F.to_json(message).alias("value"), "event_type")
+    return events.select(F.to_json(message).alias("value"), "event_type", "event_id")
 
 
 def item_messages(events: DataFrame) -> DataFrame:

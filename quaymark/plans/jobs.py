@@ -6,6 +6,7 @@ A failing step raises and ends the job; later steps do not run.
 
 from __future__ import annotations
 
+import hashlib
 import sys
 import time
 from collections.abc import Callable
@@ -17,7 +18,7 @@ from quaymark.config import JobConfig, parse
 from quaymark.functions import labels as L
 from quaymark.operators import baskets, catalogue, cleaning, commerce, listings
 from quaymark.plans import serving
-from quaymark.session import build_session, drop_scratch, materialize, shared_dir, size_shuffles
+from quaymark.session import build_session, drop_scratch, materialize, size_shuffles
 from quaymark.sinks import files as file_sinks, jdbc
 from quaymark.sinks.contracts import AUDIT_COLUMNS, CONTRACTS, checked
 from quaymark.sources import events, files, kafka, progress
@@ -127,13 +128,17 @@ def run_commerce(spark: SparkSession, config: JobConfig) -> Timings:
         timings, "valid_orders", lambda: materialize(cleaning.valid_orders(tables["orders"]), "valid-orders")
     )
     files.require_non_empty(valid, "paid or completed orders")
-    items, products = tables["order_items"], tables["products"]
+    # Two of the analyses need each line's category: parsed and joined once.
+    lines = commerce.attach_category(tables["order_items"], tables["products"]).select(
+        "order_id", "final_category", "quantity", "amount"
+    )
+    items = timed(timings, "lines", lambda: materialize(lines, "categorised-lines"))
     steps = {
         "ads_sales_time_trend": lambda: commerce.sales_time_trend(valid),
-        "ads_category_sales_rank": lambda: commerce.category_sales_rank(valid, items, products, config.top_n),
+        "ads_category_sales_rank": lambda: commerce.ranked_category_sales(valid, items, config.top_n),
         "ads_user_value_level": lambda: commerce.user_value(valid, tables["users"]),
-        "ads_category_association_rules": lambda: baskets.category_rules(
-            valid, items, products, config.min_support, config.min_confidence, require_baskets=True
+        "ads_category_association_rules": lambda: baskets.pair_rules(
+            baskets.baskets_of(valid, items), config.min_support, config.min_confidence, require_baskets=True
         ),
     }
     for name, step in steps.items():
@@ -192,26 +197,43 @@ def run_publish_prices(spark: SparkSession, config: JobConfig) -> Timings:
     timings: Timings = {}
     table = spark.read.parquet(config.input)
     marks = config.checkpoint or f"{config.output}/progress"
-    while True:
-        batch_id = progress.last_processed(spark, marks) + 1
-        batch = progress.pull_batch(table, batch_id)
-        if batch.isEmpty():
-            return timings
-        prices = listings.watched_messages(batch, config.district or L.WATCHED_DISTRICT)
+    while (batch_id := progress.next_batch(table, progress.last_processed(spark, marks))) is not None:
+        prices = listings.watched_messages(
+            progress.pull_batch(table, batch_id), config.district or L.WATCHED_DISTRICT
+        )
         timed(timings, f"batch {batch_id}", lambda: _send(config, prices, None))
         progress.save_processed(spark, marks, batch_id)
+    return timings
 
 
 # --- streams -----------------------------------------------------------------
 def messages_of(spark: SparkSession, config: JobConfig, **options) -> DataFrame:
     """The configured topic, or message files below ``--input``."""
     if config.kafka_bootstrap:
-        return kafka.read_topic(spark, servers=config.kafka_bootstrap, topic=config.topic, **options)
+        return kafka.read_topic(
+            spark,
+            servers=config.kafka_bootstrap,
+            topic=config.topic,
+            max_offsets=config.max_offsets,
+            fail_on_data_loss=not config.tolerate_data_loss,
+            **options,
+        )
     return kafka.read_message_files(spark, config.input)
 
 
 def _checkpoint(spark: SparkSession, config: JobConfig) -> str:
-    return config.checkpoint or f"{shared_dir(spark)}/checkpoints/{config.job}"
+    """The given checkpoint, or one of this job, source and target below ``spark.checkpoint.dir``.
+
+    A folder that ends with the application would let the next run start over.
+    """
+    if config.checkpoint:
+        return config.checkpoint
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise ValueError("a stream needs --checkpoint or spark.checkpoint.dir")
+    source = f"{config.kafka_bootstrap}/{config.topic}" if config.kafka_bootstrap else config.input
+    flow = "\n".join([config.job, source, str(config.output), str(config.jdbc_url), config.output_mode])
+    return f"{root.rstrip('/')}/checkpoints/{config.job}-{hashlib.sha256(flow.encode()).hexdigest()[:16]}"
 
 
 def _trigger(config: JobConfig) -> int | None:
@@ -243,7 +265,7 @@ def start_category_stream(spark: SparkSession, config: JobConfig) -> StreamingQu
 
 def start_item_stream(spark: SparkSession, config: JobConfig) -> StreamingQuery:
     """Cumulative item figures, replaced on every trigger."""
-    lines = messages_of(spark, config, max_offsets=500, fail_on_data_loss=False)
+    lines = messages_of(spark, config)
     kpis = aggregates.cumulative_kpis(events.decode(lines, events.ITEM_EVENT, "app_id"))
     target = target_of(config)
     writer = (

@@ -301,8 +301,9 @@ def oracles() -> dict[str, str]:
         st AS order_status FROM vo JOIN lead ON vo.order_id = lead.order_id""",
     )
     sql["event_json_validation"] = """SELECT CASE event_type WHEN 'error' THEN 'invalid json'
-        WHEN 'view' THEN 'missing channel' ELSE 'valid' END AS reason, count(*) AS messages
-        FROM events WHERE event_type <> 'click' GROUP BY 1"""
+        WHEN 'view' THEN 'missing channel' ELSE CASE WHEN event_id % 7 BETWEEN 1 AND 4 THEN 'invalid json'
+        WHEN event_id % 7 = 5 AND value IS NOT NULL THEN 'wrong type pay_amount' ELSE 'valid' END END AS reason,
+        count(*) AS messages FROM events WHERE event_type <> 'click' GROUP BY 1"""
 
     # catalogue
     clean = """SELECT id AS "AppID", p_name AS "Name", yr::BIGINT AS release_year, own::DOUBLE AS owners_numeric,
@@ -441,7 +442,7 @@ def oracles() -> dict[str, str]:
         [LST, WATCHED],
         """SELECT community, sum(n)::BIGINT AS number, (sum(n * a) // sum(n))::BIGINT AS averageprice
         FROM (SELECT checkid, community, count(*) AS n, sum(pps) // count(*) AS a FROM msg
-          WHERE checkid IN (1, 2) GROUP BY 1, 2) GROUP BY 1""",
+          GROUP BY 1, 2) GROUP BY 1""",
     )
     sql["incremental_merge"] = build(
         [LST, WATCHED],

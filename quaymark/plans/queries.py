@@ -183,13 +183,22 @@ def order_event_messages(spark, sf):
 
 @query
 def event_json_validation(spark, sf):
-    """Messages by rejection reason; some event types arrive cut short, incomplete or blank."""
-    kind = F.col("event_type")
+    """Messages by rejection reason.
+
+    Some event types arrive cut short, incomplete or blank; of the others, some with
+    text after the object, a second object or an amount that is no number.
+    """
+    kind, number = F.col("event_type"), F.col("event_id") % 7
     text = F.col("value")
     damaged = (
         F.when(kind == "error", F.substring(text, 1, 40))
         .when(kind == "view", F.regexp_replace(text, '"channel":"web"', '"c":"web"'))
         .when(kind == "click", F.lit("  "))
+        .when(number == 1, F.concat(text, F.lit(" trailing")))
+        .when(number == 2, F.concat(text, text))
+        .when(number == 3, F.concat(text, F.lit("] x")))
+        .when(number == 4, F.concat(text, F.lit("} x")))
+        .when(number == 5, F.regexp_replace(text, '"pay_amount":[^,]*', '"pay_amount":"abc"'))
         .otherwise(text)
     )
     lines = B.order_messages(B.table(spark, sf, "events")).select(damaged.alias("value"))
@@ -395,34 +404,30 @@ def _watched(spark, sf):
 
 @query
 def weighted_merge(spark, sf):
-    """Truncated means of batch 1 merged with those of batch 2 by their counts."""
-    per_batch = _watched(spark, sf).filter("checkid in (1, 2)").groupBy("checkid", "community").agg(
+    """Truncated means of batch 1 merged with those of all later batches by their counts."""
+    per_batch = _watched(spark, sf).groupBy("checkid", "community").agg(
         F.count("*").alias("number"),
         F.floor(F.try_divide(F.sum("price_per_sqm").cast("decimal(28,0)"), F.count("*"))).cast("bigint").alias(
             "averageprice"
         ),
     )
-    old, new = (per_batch.filter(F.col("checkid") == b).drop("checkid") for b in (1, 2))
+    old, new = (per_batch.filter(batches).drop("checkid") for batches in ("checkid = 1", "checkid > 1"))
     return serving.communities_by_mean(merge.weighted_merge(old, new))
 
 
 @query
 def incremental_merge(spark, sf):
-    """Batches pulled one after another by progress mark, published as messages, merged by a stream."""
+    """Batches above the progress mark published as messages in their order, merged by one run of a stream."""
     stored = scratch_path(spark, "watched")
     _watched(spark, sf).write.partitionBy("checkid").parquet(stored)
     inbox, marks = scratch_path(spark, "inbox"), scratch_path(spark, "progress")
     state, checkpoint = scratch_path(spark, "totals"), scratch_path(spark, "checkpoint")
     table = spark.read.parquet(stored)
-    while True:
-        batch_id = progress.last_processed(spark, marks) + 1
-        batch = progress.pull_batch(table, batch_id)
-        if batch.isEmpty():
-            break
-        file_sinks.save_messages(batch, inbox)
-        messages = events.decode(kafka.read_message_files(spark, inbox), events.PRICE_MESSAGE, "community")
-        runner.await_end(runner.start(messages, runner.additive_merge(state), checkpoint, mode="append"))
+    while (batch_id := progress.next_batch(table, progress.last_processed(spark, marks))) is not None:
+        file_sinks.save_messages(progress.pull_batch(table, batch_id), inbox)
         progress.save_processed(spark, marks, batch_id)
+    messages = events.decode(kafka.read_message_files(spark, inbox), events.PRICE_MESSAGE, "community")
+    runner.await_end(runner.start(messages, runner.additive_merge(state), checkpoint, mode="append"))
     return serving.communities_by_mean(runner.community_means(spark, state))
 
 

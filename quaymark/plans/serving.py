@@ -58,7 +58,7 @@ def sales_hourly(trend: DataFrame) -> DataFrame:
     )
 
 
-def category_top(ranked: DataFrame, limit: object = 10) -> DataFrame:
+def category_top(ranked: DataFrame, limit: object = 10, maximum: int | None = None) -> DataFrame:
     """Categories over all days, from the rows that made their day's top list."""
     totals = ranked.groupBy("category").agg(
         F.sum("order_count").alias("order_count"),
@@ -68,7 +68,7 @@ def category_top(ranked: DataFrame, limit: object = 10) -> DataFrame:
         F.max("category_rank").alias("max_daily_rank"),
     )
     order = [F.desc("amount_sum"), F.desc("quantity_sum"), F.asc("category")]
-    return top_k(totals, order, bounded_limit(limit, 10, 30))
+    return top_k(totals, order, bounded_limit(limit, 10, maximum))
 
 
 # --- users -------------------------------------------------------------------
@@ -119,9 +119,9 @@ def member_matrix(users: DataFrame) -> DataFrame:
 
 
 # --- rules -------------------------------------------------------------------
-def top_rules(rules: DataFrame, limit: object = 10) -> DataFrame:
+def top_rules(rules: DataFrame, limit: object = 10, maximum: int | None = None) -> DataFrame:
     order = [F.desc("lift"), F.desc("confidence"), F.desc("support"), F.asc("antecedent"), F.asc("consequent")]
-    return top_k(rules, order, bounded_limit(limit, 10, 30))
+    return top_k(rules, order, bounded_limit(limit, 10, maximum))
 
 
 # --- stream windows ----------------------------------------------------------
@@ -129,15 +129,15 @@ def window_summary(sales: DataFrame) -> DataFrame:
     return sales.agg(F.max("window_end").alias("latest_window_end"), F.max("batch_id").alias("latest_batch_id"))
 
 
-def latest_window(sales: DataFrame, limit: object = 20) -> DataFrame:
+def latest_window(sales: DataFrame, limit: object = 20, maximum: int | None = None) -> DataFrame:
     newest = sales.agg(F.max("window_end").alias("latest")).scalar()
     order = [F.desc("pay_amount"), F.desc("order_count"), F.asc("category")]
-    return top_k(sales.filter(F.col("window_end") == newest), order, bounded_limit(limit, 20, 100))
+    return top_k(sales.filter(F.col("window_end") == newest), order, bounded_limit(limit, 20, maximum))
 
 
-def recent_windows(sales: DataFrame, limit: object = 20) -> DataFrame:
+def recent_windows(sales: DataFrame, limit: object = 20, maximum: int | None = None) -> DataFrame:
     order = [F.desc("window_end"), F.desc("pay_amount"), F.asc("category")]
-    return top_k(sales, order, bounded_limit(limit, 20, 100))
+    return top_k(sales, order, bounded_limit(limit, 20, maximum))
 
 
 def window_trend(sales: DataFrame, windows: int = 20) -> DataFrame:

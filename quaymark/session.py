@@ -60,7 +60,7 @@ def size_shuffles(spark: SparkSession, *paths: str, target_bytes: int = 128 << 2
 
     total = sum(size(spark, path) for path in paths)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(current, min(math.ceil(total / target_bytes), 100_000))
+    wanted = max(current, math.ceil(total / target_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return wanted
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType, StructType
 
 from quaymark.functions import labels as L
 from quaymark.functions.expressions import MONEY, parse_time
@@ -30,21 +31,46 @@ def parsed(lines: DataFrame, schema: str) -> DataFrame:
     return lines.select(F.inline(F.array(F.from_json("value", schema))))
 
 
-def with_reason(lines: DataFrame, required: Sequence[str] = L.EVENT_FIELDS) -> DataFrame:
-    """Column ``reason``: NULL for a good message, else why it is rejected; blank lines go."""
-    keys = F.json_object_keys("value")
-    missing = F.array_sort(F.array_except(F.array(*[F.lit(f) for f in required]), keys))
-    reason = F.when(keys.isNull(), "invalid json").when(
-        F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ", "))
+def one_object(value: Column) -> Column:
+    """Whether a text is one JSON object and nothing besides.
+
+    The JSON functions stop after the first value.  Inside brackets, and as a member
+    of an object, only text that ends with that value still fits.
+    """
+    listed = F.json_array_length(F.concat(F.lit("["), value, F.lit("]")))
+    member = F.json_object_keys(F.concat(F.lit('{"m":'), value, F.lit("}")))
+    return F.json_object_keys(value).isNotNull() & (listed == 1) & (F.size(member) == 1)
+
+
+def with_reason(
+    lines: DataFrame, required: Sequence[str] = L.EVENT_FIELDS, schema: str = ORDER_EVENT
+) -> DataFrame:
+    """Column ``reason``: NULL for a good message, else why it is rejected; blank lines go.
+
+    Text after the object, missing fields and values that do not fit their field's type
+    each are a reason.
+    """
+    missing = F.array_sort(F.array_except(F.array(*[F.lit(f) for f in required]), F.json_object_keys("value")))
+    typed = [f.name for f in StructType.fromDDL(schema) if not isinstance(f.dataType, StringType)]
+    unfit = [
+        F.when(F.get_json_object("value", f"$.{name}").isNotNull() & F.col(f"_read.{name}").isNull(), F.lit(name))
+        for name in typed
+    ]
+    wrong = F.array_compact(F.array(*unfit)) if unfit else F.array().cast("array<string>")
+    reason = (
+        F.when(~F.coalesce(one_object(F.col("value")), F.lit(False)), "invalid json")
+        .when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ", ")))
+        .when(F.size(wrong) > 0, F.concat(F.lit("wrong type "), F.array_join(wrong, ", ")))
     )
-    return lines.filter(F.trim("value") != "").withColumn("reason", reason)
+    read = lines.filter(F.trim("value") != "").withColumn("_read", F.from_json("value", schema))
+    return read.withColumn("reason", reason).drop("_read")
 
 
 def split_events(
     lines: DataFrame, schema: str = ORDER_EVENT, required: Sequence[str] = L.EVENT_FIELDS
 ) -> tuple[DataFrame, DataFrame]:
     """(decoded good messages, rejected lines with their reason)."""
-    marked = with_reason(lines, required)
+    marked = with_reason(lines, required, schema)
     good = parsed(marked.filter("reason is null"), schema)
     return good, marked.filter("reason is not null").select("value", "reason")
 

@@ -28,6 +28,11 @@ def save_processed(spark: SparkSession, path: str, batch_id: int) -> None:
             delete(spark, f"{path}/{name}")
 
 
+def next_batch(table: DataFrame, mark: int, column: str = "checkid") -> int | None:
+    """The lowest batch id above the mark, or None; ids need not follow each other."""
+    return table.filter(F.col(column) > mark).agg(F.min(column)).first()[0]
+
+
 def pull_batch(table: DataFrame, batch_id: int, column: str = "checkid") -> DataFrame:
     """Rows of exactly one batch (the filter reaches the scan)."""
     return table.filter(F.col(column) == batch_id)

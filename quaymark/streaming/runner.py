@@ -1,13 +1,16 @@
 """Starting streams and storing their micro-batches.
 
-Every writer is idempotent per micro-batch id, so a batch that is replayed
-after a failure replaces its first attempt.
+Every writer is idempotent per stream and micro-batch id, so a batch that is
+replayed after a failure replaces its first attempt.  Micro-batch ids start at 0
+with every checkpoint, so a batch is known by its stream's id (which Spark keeps in the
+checkpoint) and its number, and stored batches are ordered by when they came.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,15 +22,29 @@ from quaymark.sinks.state import apply_once, read_state
 from quaymark.sinks.storage import child_names, delete, exists
 
 
+#: Called with the rows, the number and the stream id of a micro-batch.
+BatchWriter = Callable[[DataFrame, int, str], None]
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of a checkpoint folder; it stays the same over restarts."""
+    row = spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()
+    return row[0]
+
+
 def start(
     df: DataFrame,
-    each_batch: Callable[[DataFrame, int], None],
+    each_batch: BatchWriter,
     checkpoint: str,
     mode: str = "update",
     trigger_seconds: int | None = None,
 ) -> StreamingQuery:
     """Run ``each_batch`` on every micro-batch; without a trigger interval, drain the source and stop."""
-    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(each_batch)
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        each_batch(batch, batch_id, stream_id(batch.sparkSession, checkpoint))
+
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(save)
     if trigger_seconds is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=f"{trigger_seconds} seconds").start()
@@ -42,96 +59,148 @@ def await_end(query: StreamingQuery, timeout: int | None = None) -> bool:
     return True
 
 
-def change_log(
-    path: str, keys: Sequence[str] | None = None, compact_every: int | None = None
-) -> Callable[[DataFrame, int], None]:
+class Stored(NamedTuple):
+    """A stored batch: its place in the order of arrival, its stream and its number."""
+
+    place: int
+    stream: str
+    batch_id: int
+
+    @property
+    def folder(self) -> str:
+        return f"place={self.place}/stream={self.stream}/batch_id={self.batch_id}"
+
+
+def _values(names: list[str], key: str) -> list[str]:
+    return [n.split("=", 1)[1] for n in names if n.startswith(key + "=")]
+
+
+def _stored(spark: SparkSession, path: str, whole: bool = True) -> list[Stored]:
+    """Stored batches in their order; ``whole=False`` includes those cut short."""
+    found = []
+    for place in _values(child_names(spark, path), "place"):
+        for stream in _values(child_names(spark, f"{path}/place={place}"), "stream"):
+            for batch_id in _values(child_names(spark, f"{path}/place={place}/stream={stream}"), "batch_id"):
+                one = Stored(int(place), stream, int(batch_id))
+                if not whole or exists(spark, f"{path}/{one.folder}/_SUCCESS"):
+                    found.append(one)
+    return sorted(found)
+
+
+def _slot(spark: SparkSession, path: str, batch_id: int, stream: str, after: int = -1) -> Stored:
+    """Where a batch belongs: its earlier place if it came before, else the next one."""
+    known = _stored(spark, path, whole=False)
+    same = [s for s in known if (s.stream, s.batch_id) == (stream or "none", batch_id)]
+    newest = max([after, *(s.place for s in known)])
+    return same[-1] if same else Stored(newest + 1, stream or "none", batch_id)
+
+
+def change_log(path: str, keys: Sequence[str] | None = None, compact_every: int | None = None) -> BatchWriter:
     """Batch writer for update mode: the changed rows of each micro-batch in its own folder.
 
     With ``keys`` and ``compact_every`` the folders are folded into one base
     table every so many batches, so a long-running log stays short.
     """
 
-    def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        if compact_every and keys and (batch_id + 1) % compact_every == 0:
-            compact(batch.sparkSession, path, keys)
+    def save(batch: DataFrame, batch_id: int, stream: str = "") -> None:
+        spark = batch.sparkSession
+        base = _base(spark, path)
+        if base is not None and not _folded(spark, path, base, batch_id, stream):
+            slot = _slot(spark, path, batch_id, stream, base)
+        elif base is None:
+            slot = _slot(spark, path, batch_id, stream)
+        else:
+            return  # a replay of a batch that is in the base table
+        batch.write.mode("overwrite").parquet(f"{path}/{slot.folder}")
+        if compact_every and keys and len(_stored(spark, path)) >= compact_every:
+            compact(spark, path, keys)
 
     return save
 
 
 def _base(spark: SparkSession, path: str) -> int | None:
-    """Batch id up to which the log was folded into its base table."""
+    """Place up to which the log was folded into its base table."""
     folded = [
-        int(name.split("=")[1])
-        for name in child_names(spark, f"{path}/_base")
-        if exists(spark, f"{path}/_base/{name}/_SUCCESS")
+        int(place)
+        for place in _values(child_names(spark, f"{path}/_base"), "upto")
+        if exists(spark, f"{path}/_base/upto={place}/applied/_SUCCESS")
     ]
     return max(folded, default=None)
 
 
+def _folded(spark: SparkSession, path: str, base: int, batch_id: int, stream: str) -> bool:
+    applied = spark.read.parquet(f"{path}/_base/upto={base}/applied")
+    return not applied.filter((F.col("stream") == (stream or "none")) & (F.col("batch_id") >= batch_id)).isEmpty()
+
+
 def _log(spark: SparkSession, path: str) -> DataFrame:
     base = _base(spark, path)
-    parts = [] if base is None else [spark.read.parquet(f"{path}/_base/upto={base}")]
-    recent = [b for b in _stored(spark, path) if base is None or b > base]
-    if recent:
-        folders = [f"{path}/batch_id={b}" for b in recent]
-        rows = spark.read.option("basePath", path).parquet(*folders)
-        parts.append(rows.withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    parts = [] if base is None else [spark.read.parquet(f"{path}/_base/upto={base}/rows")]
+    for one in _stored(spark, path):
+        if base is None or one.place > base:
+            rows = spark.read.parquet(f"{path}/{one.folder}")
+            parts.append(
+                rows.withColumn("place", F.lit(one.place).cast("bigint")).withColumn(
+                    "batch_id", F.lit(one.batch_id).cast("bigint")
+                )
+            )
     return reduce(DataFrame.unionByName, parts)
 
 
 def latest_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Current row of every key in a change log, with the batch that wrote it."""
-    return keep_first(_log(spark, path), keys, [F.desc("batch_id")])
+    """Current row of every key in a change log, with the number of the batch that wrote it."""
+    return keep_first(_log(spark, path), keys, [F.desc("place")]).drop("place")
 
 
 def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
     """Fold all stored batches into the base table, then drop their folders.
 
-    The base is committed by its success marker before anything is removed;
-    call it from the log's only writer.
+    The base is committed by the success marker of its list of applied batches
+    before anything is removed; call it from the log's only writer.
     """
-    newest = _stored(spark, path)[-1]
-    latest_rows(spark, path, keys).write.mode("overwrite").parquet(f"{path}/_base/upto={newest}")
-    for old in [b for b in _stored(spark, path) if b <= newest]:
-        delete(spark, f"{path}/batch_id={old}")
-    for name in child_names(spark, f"{path}/_base"):
-        if int(name.split("=")[1]) < newest:
-            delete(spark, f"{path}/_base/{name}")
-
-
-def snapshots(path: str) -> Callable[[DataFrame, int], None]:
+    base, stored = _base(spark, path), _stored(spark, path)
+    if not stored:
+        return
+    newest = stored[-1].place
+    target = f"{path}/_base/upto={newest}"
+    keep_first(_log(spark, path), keys, [F.desc("place")]).write.mode("overwrite").parquet(f"{target}/rows")
+    applied = spark.createDataFrame([(s.stream, s.batch_id) for s in stored], "stream string, batch_id bigint")
+    if base is not None:
+        applied = applied.unionByName(spark.read.parquet(f"{path}/_base/upto={base}/applied"))
+    highest = applied.groupBy("stream").agg(F.max("batch_id").alias("batch_id"))
+    highest.coalesce(1).write.mode("overwrite").parquet(f"{target}/applied")
+    for one in stored:
+        delete(spark, f"{path}/place={one.place}")
+    for place in _values(child_names(spark, f"{path}/_base"), "upto"):
+        if int(place) < newest:
+            delete(spark, f"{path}/_base/upto={place}")
+
+
+def snapshots(path: str) -> BatchWriter:
     """Batch writer for complete mode: the whole result per micro-batch, two versions kept."""
 
-    def save(batch: DataFrame, batch_id: int) -> None:
+    def save(batch: DataFrame, batch_id: int, stream: str = "") -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        for old in [b for b in _stored(spark, path) if b < batch_id - 1]:
-            delete(spark, f"{path}/batch_id={old}")
+        slot = _slot(spark, path, batch_id, stream)
+        batch.write.mode("overwrite").parquet(f"{path}/{slot.folder}")
+        for old in _stored(spark, path)[:-2]:
+            delete(spark, f"{path}/place={old.place}")
 
     return save
 
 
-def _stored(spark: SparkSession, path: str) -> list[int]:
-    return sorted(
-        int(name.split("=")[1])
-        for name in child_names(spark, path)
-        if name.startswith("batch_id=") and exists(spark, f"{path}/{name}/_SUCCESS")
-    )
-
-
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The last complete snapshot with its batch id."""
-    batch_id = _stored(spark, path)[-1]
-    return spark.read.parquet(f"{path}/batch_id={batch_id}").withColumn(
-        "batch_id", F.lit(batch_id).cast("bigint")
+    newest = _stored(spark, path)[-1]
+    return spark.read.parquet(f"{path}/{newest.folder}").withColumn(
+        "batch_id", F.lit(newest.batch_id).cast("bigint")
     )
 
 
-def table_refresh(target: jdbc.JdbcTarget, table: str) -> Callable[[DataFrame, int], None]:
+def table_refresh(target: jdbc.JdbcTarget, table: str) -> BatchWriter:
     """Batch writer replacing a database table with each complete result."""
 
-    def save(batch: DataFrame, batch_id: int) -> None:
+    def save(batch: DataFrame, batch_id: int, stream: str = "") -> None:
         stamped = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn(
             "update_time", F.current_timestamp()
         )
@@ -140,11 +209,13 @@ def table_refresh(target: jdbc.JdbcTarget, table: str) -> Callable[[DataFrame, i
     return save
 
 
-def additive_merge(path: str) -> Callable[[DataFrame, int], None]:
+def additive_merge(path: str) -> BatchWriter:
     """Batch writer adding each micro-batch of price messages to the community totals once."""
 
-    def save(batch: DataFrame, batch_id: int) -> None:
-        apply_once(running_totals(batch), path, ["community"], ["number", "price_sum"], batch_id)
+    def save(batch: DataFrame, batch_id: int, stream: str = "") -> None:
+        apply_once(
+            running_totals(batch), path, ["community"], ["number", "price_sum"], batch_id, stream=stream
+        )
 
     return save
 

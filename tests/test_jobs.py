@@ -1,4 +1,6 @@
 import json
+from dataclasses import replace
+from types import SimpleNamespace
 
 import pytest
 
@@ -97,9 +99,10 @@ def test_stream_jobs_drain_message_files(spark, tmp_path):
     write(inbox, "a.jsonl", json.dumps(order, ensure_ascii=False), [])
     base = dict(input=str(inbox), output=str(tmp_path / "out"), drain=True)
     for mode in ("update", "complete"):
-        config = JobConfig(job="category-stream", checkpoint=str(tmp_path / f"c-{mode}"), output_mode=mode, **base)
+        own = {**base, "output": str(tmp_path / mode)}
+        config = JobConfig(job="category-stream", checkpoint=str(tmp_path / f"c-{mode}"), output_mode=mode, **own)
         runner.await_end(jobs.start_category_stream(spark, config))
-        assert spark.read.parquet(f"{tmp_path}/out/rt_category_window_sales").count() == 2
+        assert spark.read.parquet(f"{tmp_path}/{mode}/rt_category_window_sales").count() == 2
     items = tmp_path / "items"
     write(items, "a.jsonl", json.dumps({"app_id": 1, "price": 3.0, "positive": 1, "negative": 0, "estimated_owners": 5}), [])
     config = JobConfig(job="item-stream", checkpoint=str(tmp_path / "c3"), **{**base, "input": str(items)})
@@ -122,6 +125,24 @@ def test_a_running_stream_can_be_stopped(spark, tmp_path):
     assert not query.isActive
 
 
+def test_each_flow_has_its_own_lasting_checkpoint(spark, tmp_path):
+    def session(folder):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: folder))
+
+    flow = JobConfig(job="community-stream", input=str(tmp_path / "in"), output=str(tmp_path / "a"))
+    with pytest.raises(ValueError):
+        jobs._checkpoint(session(None), flow)
+    lasting = session(str(tmp_path / "lasting"))
+    assert jobs._checkpoint(lasting, flow) == jobs._checkpoint(lasting, replace(flow, drain=True))
+    write(tmp_path / "in", "a.jsonl", json.dumps({"community": "x", "price_per_sqm": 5, "checkid": 1}), [])
+    for output in ("a", "b"):
+        own = replace(flow, output=str(tmp_path / output), drain=True)
+        own = replace(own, checkpoint=jobs._checkpoint(lasting, own))
+        for _ in range(2):
+            runner.await_end(jobs.start_community_stream(spark, own))
+        assert runner.community_means(spark, f"{tmp_path}/{output}/certain_analysis").first()["number"] == 1
+
+
 def test_publish_orders_sets_bad_lines_aside(spark, tmp_path):
     order = {"order_id": "o", "user_id": "u", "order_time": "2025-01-01 10:00:00", "province": "p", "city": "c",
              "category": "food", "pay_amount": 2.5, "order_status": "已支付", "channel": "APP"}
@@ -138,7 +159,7 @@ def test_publish_prices_resumes_after_the_mark(spark, tmp_path):
     rows = [(1, "海淀", "a", 100, 5), (1, "海淀", "b", 80, 5), (2, "海淀", "a", 90, 7), (2, "x", "a", 90, 7), (4, "海淀", "a", 90, 9)]
     spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "clean"))
     config = JobConfig(job="publish-prices", input=str(tmp_path / "clean"), output=str(tmp_path / "out"))
-    assert list(jobs.run_publish_prices(spark, config)) == ["batch 1", "batch 2"]
+    assert list(jobs.run_publish_prices(spark, config)) == ["batch 1", "batch 2", "batch 4"]
     assert jobs.run_publish_prices(spark, config) == {}
     sent = sorted(r["value"] for r in spark.read.text(f"{tmp_path}/out/messages").collect())
-    assert sent == ['{"checkid":1,"community":"a","price_per_sqm":5}', '{"checkid":2,"community":"a","price_per_sqm":7}']
+    assert sent == [f'{{"checkid":{n},"community":"a","price_per_sqm":{p}}}' for n, p in ((1, 5), (2, 7), (4, 9))]

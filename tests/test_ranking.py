@@ -25,9 +25,16 @@ def test_top_per_group(spark, rows):
     assert sorted((r["g"], r["v"], r["rank"]) for r in got) == [("a", 2, 2), ("a", 3, 1), ("b", 9, 1)]
 
 
-@pytest.mark.parametrize(("given_value", "want"), [("5", 5), ("x", 10), ("0", 10), ("-3", 10), ("99", 30), (None, 10)])
+@pytest.mark.parametrize(("given_value", "want"), [("5", 5), (30, 30), (None, 10)])
 def test_bounded_limit(given_value, want):
     assert R.bounded_limit(given_value, 10, 30) == want
+    assert R.bounded_limit(200, 10) == 200
+
+
+@pytest.mark.parametrize("given_value", ["x", "0", -3, 99])
+def test_a_limit_that_cannot_be_met_raises(given_value):
+    with pytest.raises(ValueError):
+        R.bounded_limit(given_value, 10, 30)
 
 
 def _skewed(spark, n=3000):

@@ -80,7 +80,7 @@ def test_tumbling_windows(spark, box):
     folder, out, checkpoint = box
     put(folder, "a.jsonl", [order("o1", "2025-01-01 10:00:10"), order("o2", "2025-01-01 10:00:50")])
     drain(sales_stream(spark, folder, slide=None), runner.change_log(out), checkpoint)
-    assert [r["order_count"] for r in spark.read.parquet(out).collect()] == [2]
+    assert [r["order_count"] for r in runner.latest_rows(spark, out, ["window_start", "category"]).collect()] == [2]
 
 
 def test_later_batches_update_windows_and_late_orders_are_dropped(spark, box):
@@ -105,7 +105,7 @@ def test_a_compacted_log_gives_the_same_rows(spark, box):
         put(folder, f"{n}.jsonl", [order(f"o{n}", "2025-01-01 10:00:10"), order(f"p{n}", f"2025-01-01 10:0{n}:10", "toys")])
         drain(sales_stream(spark, folder, slide=None, watermark=None), runner.change_log(out, keys, compact_every=3), checkpoint)
     got = runner.latest_rows(spark, out, keys)
-    assert len(list(Path(out).glob("batch_id=*"))) < 4 and (Path(out) / "_base").exists()
+    assert len(list(Path(out).glob("place=*"))) < 4 and (Path(out) / "_base").exists()
     counts = {(r["window_start"].minute, r["category"]): r["order_count"] for r in got.collect()}
     assert counts == {(0, "food"): 4, (0, "toys"): 1, (1, "toys"): 1, (2, "toys"): 1, (3, "toys"): 1}
     runner.compact(spark, out, keys)
@@ -120,7 +120,7 @@ def test_complete_mode_keeps_every_window(spark, box):
         drain(sales_stream(spark, folder, slide=None), runner.snapshots(out), checkpoint, "complete")
     latest = runner.latest_snapshot(spark, out)
     assert latest.count() == 3
-    assert len(list(Path(out).glob("batch_id=*"))) == 2
+    assert len(list(Path(out).glob("place=*"))) == 2
 
 
 def item(key, price=10.0, owners=1000, pos=9, neg=1, when="2025-01-01 10:00:00", genres="[RPG, Indie]"):
@@ -178,8 +178,9 @@ def test_stream_merge_adds_each_batch_once(spark, box):
     assert got == {"x": (3, 133), "y": (1, 7)}
     # A batch delivered a second time under its old id changes nothing.
     again = spark.createDataFrame([("x", 1, 999)], "community string, number bigint, price_sum bigint")
-    assert state.apply_once(again, out, ["community"], ["number", "price_sum"], 0) is False
-    assert state.apply_once(again, out, ["community"], ["number", "price_sum"], 77) is True
+    stream = runner.stream_id(spark, checkpoint)
+    assert state.apply_once(again, out, ["community"], ["number", "price_sum"], 0, stream=stream) is False
+    assert state.apply_once(again, out, ["community"], ["number", "price_sum"], 77, stream=stream) is True
     assert state.read_state(spark, out).filter("community = 'x'").first()["number"] == 4
 
 
@@ -196,7 +197,54 @@ def test_an_uncommitted_version_is_ignored_and_replaced(spark, tmp_path):
     assert state.read_state(spark, out).first()["number"] == 2
     for batch in range(2, 5):
         state.apply_once(one, out, *args, batch)
-    assert state.versions(spark, out) == [3, 4] and state.applied_batches(spark, out).count() == 5
+    assert state.versions(spark, out) == [3, 4]
+    assert [tuple(r) for r in state.applied_batches(spark, out).collect()] == [("", 4)]
+
+
+def test_a_second_stream_adds_to_the_same_state(spark, tmp_path):
+    out = str(tmp_path / "state")
+    one = spark.createDataFrame([("x", 1, 5)], "community string, number bigint, price_sum bigint")
+    args = (["community"], ["number", "price_sum"])
+    assert state.apply_once(one, out, *args, 0, stream="a") and state.apply_once(one, out, *args, 0, stream="b")
+    assert not state.apply_once(one, out, *args, 0, stream="a")
+    assert state.read_state(spark, out).first()["number"] == 2
+
+
+def test_a_new_checkpoint_loses_nothing(spark, box, tmp_path):
+    """Two runs with checkpoints of their own into one merge state, one log and one compacted log."""
+    folder, out, _ = box
+    for n in (1, 2):
+        inbox = tmp_path / f"prices{n}"
+        inbox.mkdir()
+        put(inbox, "a.jsonl", [message("x", 10 * n, n)])
+        drain(merge_stream(spark, inbox), runner.additive_merge(f"{out}/state"), f"{tmp_path}/c-state{n}", "append")
+    assert runner.community_means(spark, f"{out}/state").first()["number"] == 2
+    keys = ["window_start", "window_end", "category"]
+    for n, category in ((1, "food"), (2, "toys"), (3, "toys")):
+        inbox = tmp_path / f"orders{n}"
+        inbox.mkdir()
+        put(inbox, "a.jsonl", [order(f"o{n}", f"2025-01-01 1{n}:00:10", category)])
+        for log, every in (("plain", None), ("folded", 2)):
+            writer = runner.change_log(f"{out}/{log}", keys, compact_every=every)
+            drain(sales_stream(spark, inbox, slide=None), writer, f"{tmp_path}/c-{log}{n}")
+        for log in ("plain", "folded"):
+            hours = sorted(r["window_start"].hour for r in runner.latest_rows(spark, f"{out}/{log}", keys).collect())
+            assert hours == [10 + k for k in range(1, n + 1)]
+
+
+def test_a_replayed_batch_replaces_itself_or_its_part_of_the_base(spark, tmp_path):
+    out = str(tmp_path / "log")
+    rows = lambda v: spark.createDataFrame([("k", v)], "key string, v int")
+    save = runner.change_log(out, ["key"], compact_every=3)
+    save(rows(1), 0, "s")
+    save(rows(2), 1, "s")
+    save(rows(3), 1, "s")
+    assert len(list(Path(out).glob("place=*"))) == 2 and runner.latest_rows(spark, out, ["key"]).first()["v"] == 3
+    save(rows(4), 2, "s")
+    save(rows(9), 2, "s")
+    assert runner.latest_rows(spark, out, ["key"]).first()["v"] == 4
+    save(rows(5), 0, "t")
+    assert runner.latest_rows(spark, out, ["key"]).first()["v"] == 5
 
 
 def test_progress_mark(spark, tmp_path):
@@ -208,6 +256,7 @@ def test_progress_mark(spark, tmp_path):
     assert progress.last_processed(spark, path) == 2
     df = spark.createDataFrame([(1,), (3,)], "checkid int")
     assert progress.pull_batch(df, 3).count() == 1
+    assert [progress.next_batch(df, mark) for mark in (0, 1, 3)] == [1, 3, None]
 
 
 def test_window_reports(spark, rows):
