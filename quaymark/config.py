@@ -15,6 +15,8 @@ JOBS = (
     "category-stream",
     "item-stream",
     "community-stream",
+    "item-window-stream",
+    "genre-stream",
 )
 
 

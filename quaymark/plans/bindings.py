@@ -218,10 +218,20 @@ def listing_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- streams -----------------------------------------------------------------
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events file as an unbounded frame with a zoned event time."""
-    schema = table(spark, sf_dir, "events").schema
-    rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+def event_slices(spark: SparkSession, sf_dir: str, parts: int = 3) -> list[DataFrame]:
+    """The events cut into equal spans of event time, earliest first; together they are all events."""
+    rows = table(spark, sf_dir, "events")
+    seconds = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    low, high = rows.agg(F.min(seconds), F.max(seconds)).first()
+    if low is None:
+        return [rows]
+    place = F.least(F.floor((seconds - low) * parts / (high - low + 1)), F.lit(parts - 1))
+    return [rows.filter(F.coalesce(place, F.lit(0)) == n) for n in range(parts)]
+
+
+def event_stream(spark: SparkSession, folder: str, schema) -> DataFrame:
+    """The events stored in ``folder`` as an unbounded frame with a zoned event time."""
+    rows = spark.readStream.schema(schema).parquet(folder)
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

@@ -16,7 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quaymark.config import JobConfig, parse
 from quaymark.functions import labels as L
-from quaymark.operators import baskets, catalogue, cleaning, commerce, listings
+from quaymark.operators import baskets, catalogue, cleaning, commerce, listings, merge
+from quaymark.operators.ranking import top_k
 from quaymark.plans import serving
 from quaymark.session import build_session, drop_scratch, materialize, size_shuffles
 from quaymark.sinks import files as file_sinks, jdbc
@@ -85,7 +86,11 @@ def store(config: JobConfig, name: str, df: DataFrame) -> None:
 def store_batch(config: JobConfig, name: str, df: DataFrame) -> None:
     """Replace the batches present in ``df``; a rerun leaves no duplicates."""
     _write(
-        config, name, df, lambda rows, target: jdbc.replace_batches(rows, target, name), file_sinks.replace_batches
+        config,
+        name,
+        df,
+        lambda rows, target: jdbc.replace_batches(rows, target, name, writers=config.write_partitions),
+        file_sinks.replace_batches,
     )
 
 
@@ -149,7 +154,10 @@ def run_commerce(spark: SparkSession, config: JobConfig) -> Timings:
 def run_listings(spark: SparkSession, config: JobConfig) -> Timings:
     """Raw to clean to four result tables, for one batch id, in one session."""
     timings: Timings = {}
-    raw = files.read_listings_csv(spark, config.input)
+    raw, rejected = files.read_listings_with_rejects(spark, config.input)
+    if config.output and not config.dry_run:
+        rejects = f"{config.output}/rejected/checkid={config.batch_id}"
+        timed(timings, "rejected", lambda: rejected.write.mode("overwrite").text(rejects))
     stored_raw = raw.withColumn("checkid", F.lit(config.batch_id))
     timed(timings, "house_info_checkid", lambda: store_batch(config, "house_info_checkid", stored_raw))
     clean = materialize(cleaning.clean_listings(raw, batch_id=config.batch_id), "clean-listings")
@@ -246,16 +254,18 @@ WINDOW_KEYS = ("window_start", "window_end", "category")
 def start_category_stream(spark: SparkSession, config: JobConfig) -> StreamingQuery:
     """Sliding-window sales per category.
 
-    A database target takes the complete result on every trigger; the file
-    target takes changes (bounded state) unless ``complete`` is asked for.
+    Changed windows are stored (bounded state), in files or a database, unless the
+    ``complete`` result is asked for on every trigger.
     """
     sales = aggregates.category_window_sales(
         events.order_events(messages_of(spark, config)), config.window_duration, config.slide_duration
     )
     target = target_of(config)
     path = f"{config.output}/rt_category_window_sales"
-    if target is not None:
+    if target is not None and config.output_mode == "complete":
         writer, mode = runner.table_refresh(target, "rt_category_window_sales"), "complete"
+    elif target is not None:
+        writer, mode = runner.table_changes(target, "rt_category_window_sales", WINDOW_KEYS), "update"
     elif config.output_mode == "complete":
         writer, mode = runner.snapshots(path), "complete"
     else:
@@ -276,6 +286,39 @@ def start_item_stream(spark: SparkSession, config: JobConfig) -> StreamingQuery:
     return runner.start(kpis, writer, _checkpoint(spark, config), "complete", _trigger(config))
 
 
+def _start_windowed(
+    spark: SparkSession, config: JobConfig, name: str, keys: tuple[str, ...], build: Callable[[DataFrame], DataFrame]
+) -> StreamingQuery:
+    """Windows of item events kept as a change log: their state ends with the watermark."""
+    items = events.decode(messages_of(spark, config), events.ITEM_EVENT, "app_id")
+    writer = runner.change_log(f"{config.output}/{name}", keys, compact_every=100)
+    return runner.start(build(items), writer, _checkpoint(spark, config), "update", _trigger(config))
+
+
+def start_item_window_stream(spark: SparkSession, config: JobConfig) -> StreamingQuery:
+    """Item figures per event-time window."""
+    return _start_windowed(
+        spark,
+        config,
+        "realtime_game_windows",
+        ("window_start", "window_end"),
+        lambda items: aggregates.windowed_kpis(items, config.window_duration, config.slide_duration, "2 minutes"),
+    )
+
+
+def start_genre_stream(spark: SparkSession, config: JobConfig) -> StreamingQuery:
+    """Items per genre and event-time window."""
+    return _start_windowed(
+        spark,
+        config,
+        "realtime_genre_counts",
+        ("genre", "window_start", "window_end"),
+        lambda items: aggregates.genre_window_counts(
+            items, config.window_duration, config.slide_duration, "2 minutes"
+        ),
+    )
+
+
 def start_community_stream(spark: SparkSession, config: JobConfig) -> StreamingQuery:
     """Price messages merged into running community totals, each micro-batch once."""
     lines = messages_of(spark, config, starting="earliest")
@@ -295,6 +338,8 @@ STREAM_JOBS = {
     "category-stream": start_category_stream,
     "item-stream": start_item_stream,
     "community-stream": start_community_stream,
+    "item-window-stream": start_item_window_stream,
+    "genre-stream": start_genre_stream,
 }
 
 
@@ -307,6 +352,11 @@ LISTING_ALIASES = {
 }
 
 
+def with_last_update(report: DataFrame, stored: DataFrame) -> DataFrame:
+    """A report with the load time of the table it was read from."""
+    return report.withColumn("last_update", stored.agg(F.max("update_time").alias("t")).scalar())
+
+
 def report_registry(spark: SparkSession, root: str) -> serving.Registry:
     """Result tables below ``root`` under their public names, and the reports over them."""
     registry = serving.Registry()
@@ -316,7 +366,29 @@ def report_registry(spark: SparkSession, root: str) -> serving.Registry:
 
     for alias, name in LISTING_ALIASES.items():
         registry.add(alias, table(name))
-    registry.add("certain", lambda: runner.community_means(spark, f"{root}/certain_analysis"))
+    registry.add("certain", lambda: merge.watched_result(runner.community_means(spark, f"{root}/certain_analysis")))
+    trends, ranks = table("ads_sales_time_trend"), table("ads_category_sales_rank")
+    users, rules = table("ads_user_value_level"), table("ads_category_association_rules")
+    registry.add("sales/summary", lambda: with_last_update(serving.sales_summary(trends()), trends()))
+    registry.add("sales/daily", lambda: serving.sales_daily(trends()))
+    registry.add("sales/hourly", lambda: serving.sales_hourly(trends()))
+    registry.add("category/top", lambda: with_last_update(serving.category_top(ranks()), ranks()))
+    registry.add("user/summary", lambda: with_last_update(serving.user_value_summary(users()), users()))
+    registry.add("user/levels", lambda: serving.user_levels(users()))
+    registry.add("user/members", lambda: serving.member_matrix(users()))
+    registry.add("rules/top", lambda: serving.top_rules(rules()))
+
+    def log(name: str, keys: tuple[str, ...]) -> Callable[[], DataFrame]:
+        return lambda: runner.latest_rows(spark, f"{root}/{name}", keys)
+
+    sales = log("rt_category_window_sales", WINDOW_KEYS)
+    registry.add("realtime/windows", lambda: serving.latest_window(sales()))
+    registry.add("realtime/recent", lambda: serving.recent_windows(sales()))
+    registry.add("realtime/trend", lambda: serving.window_trend(sales()))
+    figures = log("realtime_game_windows", ("window_start", "window_end"))
+    registry.add("realtime/items", lambda: top_k(figures(), [F.desc("window_end")], 1))
+    genres = log("realtime_genre_counts", ("genre", "window_start", "window_end"))
+    registry.add("realtime/genres", lambda: serving.top_genres(genres()))
     trend, prices = table("analysis_market_trend"), table("analysis_pricing_review")
     tags, developers = table("analysis_genre_tags"), table("analysis_developer_ecosystem")
     registry.add("market/trend", lambda: serving.market_trend_listing(trend()))

@@ -488,7 +488,7 @@ def oracles() -> dict[str, str]:
     sql["listing_csv_roundtrip"] = build(
         [LST],
         """SELECT district, CASE elev WHEN 1 THEN '有电梯' ELSE '无电梯' END AS elevator, count(*) AS listings,
-        sum(area)::BIGINT AS area, sum(pc // 100)::BIGINT AS price,
+        sum(area)::DOUBLE AS area, sum(pc)::DOUBLE / 100 AS price,
         count(DISTINCT (layout, orientation, floor_num, decoration, byr)) AS shapes FROM lst0 GROUP BY 1, 2""",
     )
     sql["format_roundtrip"] = """SELECT f AS format, count(*) AS rows, sum(o_orderkey)::BIGINT AS keys,

@@ -432,18 +432,34 @@ def incremental_merge(spark, sf):
 
 
 # --- streams -----------------------------------------------------------------
+def _drain_in_slices(spark, sf, build, writer, mode="update"):
+    """Events arrive in slices; after each the stream is started again from its checkpoint and drained.
+
+    Every slice is at least one micro-batch, so state is carried, windows that span two
+    slices are updated, and the watermark moves.
+    """
+    folder, checkpoint = scratch_path(spark, "arriving"), scratch_path(spark, "checkpoint")
+    for part in B.event_slices(spark, sf):
+        part.write.mode("append").parquet(folder)
+        frame = build(B.event_stream(spark, folder, part.schema))
+        runner.await_end(runner.start(frame, writer, checkpoint, mode=mode))
+
+
 def _window_sales(spark, sf):
     path = scratch_path(spark, "window-sales")
-    messages = B.order_messages(B.event_stream(spark, sf)).select("value")
-    sales = aggregates.category_window_sales(
-        events.order_events(messages, B.EVENT_STATUSES), "1 hour", "30 minutes"
-    )
-    runner.await_end(runner.start(sales, runner.change_log(path), scratch_path(spark, "checkpoint")))
+
+    def build(rows):
+        messages = B.order_messages(rows).select("value")
+        return aggregates.category_window_sales(
+            events.order_events(messages, B.EVENT_STATUSES), "1 hour", "30 minutes"
+        )
+
+    _drain_in_slices(spark, sf, build, runner.change_log(path))
     return runner.latest_rows(spark, path, ["window_start", "window_end", "category"])
 
 
-def _item_events(spark, sf):
-    return events.decode(B.item_messages(B.event_stream(spark, sf)), events.ITEM_EVENT, "app_id")
+def _item_events(rows):
+    return events.decode(B.item_messages(rows), events.ITEM_EVENT, "app_id")
 
 
 @query
@@ -474,9 +490,8 @@ def stream_window_trend(spark, sf):
 @query
 def stream_kpis(spark, sf):
     path = scratch_path(spark, "kpis")
-    kpis = aggregates.cumulative_kpis(_item_events(spark, sf))
-    runner.await_end(
-        runner.start(kpis, runner.snapshots(path), scratch_path(spark, "checkpoint"), mode="complete")
+    _drain_in_slices(
+        spark, sf, lambda rows: aggregates.cumulative_kpis(_item_events(rows)), runner.snapshots(path), "complete"
     )
     return runner.latest_snapshot(spark, path).drop("batch_id")
 
@@ -484,15 +499,23 @@ def stream_kpis(spark, sf):
 @query
 def stream_windowed_kpis(spark, sf):
     path = scratch_path(spark, "window-kpis")
-    kpis = aggregates.windowed_kpis(_item_events(spark, sf), "1 hour", watermark="2 minutes")
-    runner.await_end(runner.start(kpis, runner.change_log(path), scratch_path(spark, "checkpoint")))
+    _drain_in_slices(
+        spark,
+        sf,
+        lambda rows: aggregates.windowed_kpis(_item_events(rows), "1 hour", watermark="2 minutes"),
+        runner.change_log(path),
+    )
     return runner.latest_rows(spark, path, ["window_start", "window_end"]).drop("batch_id")
 
 
 def _genre_counts(spark, sf):
     path = scratch_path(spark, "genre-counts")
-    counts = aggregates.genre_window_counts(_item_events(spark, sf), "1 hour", watermark="2 minutes")
-    runner.await_end(runner.start(counts, runner.change_log(path), scratch_path(spark, "checkpoint")))
+    _drain_in_slices(
+        spark,
+        sf,
+        lambda rows: aggregates.genre_window_counts(_item_events(rows), "1 hour", watermark="2 minutes"),
+        runner.change_log(path),
+    )
     return runner.latest_rows(spark, path, ["genre", "window_start", "window_end"]).drop("batch_id")
 
 
@@ -549,7 +572,6 @@ def listing_csv_roundtrip(spark, sf):
     """Listings through CSV with the original headers."""
     path = scratch_path(spark, "listings-csv")
     raw = B.listings_raw(spark, sf).select(*L.LISTING_HEADERS.values())
-    raw = raw.withColumn("price", F.floor("price").cast("int"))
     file_sinks.save_csv(raw.toDF(*L.LISTING_HEADERS), path, files=None)
     return (
         files.read_listings_csv(spark, path)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from quaymark.session import materialize
-from quaymark.sources.jdbc import read_table
 
 
 @dataclass(frozen=True)
@@ -56,26 +56,33 @@ def append(df: DataFrame, target: JdbcTarget, table: str, writers: int | None =
     _write(df, target, table, "append", writers, truncate=False)
 
 
-def merged_batches(existing: DataFrame, new: DataFrame, batch: str = "checkid") -> DataFrame:
-    """Existing rows of other batches plus the new rows."""
-    replaced = new.select(batch).distinct()
-    return existing.join(replaced, batch, "left_anti").unionByName(new)
+def delete_values(spark: SparkSession, target: JdbcTarget, table: str, column: str, values: Sequence) -> None:
+    """Delete the rows with one of the values in ``column``, in one transaction, from the driver."""
+    manager = spark._jvm.java.sql.DriverManager
+    properties = spark._jvm.java.util.Properties()
+    for key, value in target.properties().items():
+        properties.setProperty(key, value)
+    connection = manager.getConnection(target.url, properties)
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.prepareStatement(f"DELETE FROM {table} WHERE {column} = ?")
+        for value in values:
+            statement.setObject(1, value)
+            statement.executeUpdate()
+        connection.commit()
+    finally:
+        connection.close()
 
 
 def replace_batches(
-    df: DataFrame,
-    target: JdbcTarget,
-    table: str,
-    batch: str = "checkid",
-    writers: int | None = None,
-    **read,
+    df: DataFrame, target: JdbcTarget, table: str, batch: str = "checkid", writers: int | None = None
 ) -> None:
-    """Rewrite the table so that the batches in ``df`` appear exactly once.
+    """Make the batches in ``df`` appear exactly once, without touching other batches.
 
-    ``read`` takes the partitioning arguments of ``read_table``, for tables
-    too large to be read through one connection.
+    The new rows are written out before anything is deleted.  If the append is cut
+    short, running the same batch again deletes its part and appends it whole.
     """
-    existing = read_table(df.sparkSession, target.url, table, properties=target.properties(), **read)
-    rows = merged_batches(existing.select(*df.columns), df, batch)
-    # Written out first: the table is emptied before it is filled from itself.
-    full_refresh(materialize(rows, "jdbc-merge"), target, table, writers)
+    rows = materialize(df, "jdbc-batches")
+    values = [r[0] for r in rows.select(batch).distinct().collect()]
+    delete_values(df.sparkSession, target, table, batch, values)
+    append(rows, target, table, writers)

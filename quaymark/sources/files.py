@@ -23,21 +23,24 @@ ORDER_ITEMS = (
 )
 LISTINGS = (
     "district string, community string, layout string, orientation string, floor_num int, "
-    "decoration string, elevator string, area int, price int, build_year string"
+    "decoration string, elevator string, area decimal(12,2), price decimal(12,2), build_year string"
 )
 REJECTED = "_corrupt_record"
 
 
-def _parsed_csv(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, Column]:
+def _parsed_csv(
+    spark: SparkSession, path: str, schema: str | StructType, **options: str
+) -> tuple[DataFrame, Column]:
     """All rows with the text of unfitting ones in ``REJECTED``, and the test for fitting.
 
     The test looks at every column.  Spark parses only the columns a query
     asks for, so without it a bad value would go unnoticed by a query that
     does not read that column, and counts would depend on the query.
     """
-    fields = StructType.fromDDL(schema)
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     rows = (
-        spark.read.schema(StructType([*fields.fields, StructField(REJECTED, StringType())]))
+        spark.read.options(**options)
+        .schema(StructType([*fields.fields, StructField(REJECTED, StringType())]))
         .option("header", True)
         .option("encoding", "UTF-8")
         .option("mode", "PERMISSIVE")
@@ -94,12 +97,8 @@ def read_listings_csv(
     spark: SparkSession, path: str, delimiter: str = ",", charset: str = "UTF-8", schema: str = LISTINGS
 ) -> DataFrame:
     """Listing CSV with its original headers, columns renamed to the English names."""
-    types = {f.name: f.dataType for f in StructType.fromDDL(schema).fields}
-    source = StructType(
-        [StructField(header, types[name]) for header, name in L.LISTING_HEADERS.items()]
-    )
     rows = (
-        spark.read.schema(source)
+        spark.read.schema(_listing_source(schema))
         .option("header", True)
         .option("delimiter", delimiter)
         .option("charset", charset)
@@ -108,6 +107,19 @@ def read_listings_csv(
     return rows.toDF(*L.LISTING_HEADERS.values())
 
 
+def _listing_source(schema: str) -> StructType:
+    types = {f.name: f.dataType for f in StructType.fromDDL(schema).fields}
+    return StructType([StructField(header, types[name]) for header, name in L.LISTING_HEADERS.items()])
+
+
+def read_listings_with_rejects(
+    spark: SparkSession, path: str, delimiter: str = ",", schema: str = LISTINGS
+) -> tuple[DataFrame, DataFrame]:
+    """``read_listings_csv`` of the rows that fit, and the raw text of the others."""
+    rows, fits = _parsed_csv(spark, path, _listing_source(schema), delimiter=delimiter)
+    return rows.filter(fits).drop(REJECTED).toDF(*L.LISTING_HEADERS.values()), rows.filter(~fits).select(REJECTED)
+
+
 def read_delimited_text(
     spark: SparkSession, path: str, columns: dict[str, str], separator: str
 ) -> DataFrame:

@@ -17,9 +17,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quaymark.operators.merge import running_totals, with_mean
 from quaymark.operators.ranking import keep_first
+from quaymark.session import materialize
 from quaymark.sinks import jdbc
 from quaymark.sinks.state import apply_once, read_state
 from quaymark.sinks.storage import child_names, delete, exists
+from quaymark.sources.jdbc import read_table
 
 
 #: Called with the rows, the number and the stream id of a micro-batch.
@@ -209,6 +211,30 @@ def table_refresh(target: jdbc.JdbcTarget, table: str) -> BatchWriter:
     return save
 
 
+def table_changes(target: jdbc.JdbcTarget, table: str, keys: Sequence[str]) -> BatchWriter:
+    """Batch writer for update mode: windows that changed replace their rows in a database table.
+
+    Windows are replaced whole by their end, so other windows of the table stay; a
+    micro-batch holds only categories that changed, the others are read back first.
+    """
+
+    def save(batch: DataFrame, batch_id: int, stream: str = "") -> None:
+        spark = batch.sparkSession
+        stamped = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn(
+            "update_time", F.current_timestamp()
+        )
+        changed = materialize(stamped, "changed-windows")
+        ends = [r[0] for r in changed.select("window_end").distinct().collect()]
+        if not ends:
+            return
+        stored = read_table(spark, target.url, table, properties=target.properties())
+        same_windows = stored.join(changed.select("window_end").distinct(), "window_end", "left_semi")
+        others = same_windows.join(changed.select(*keys), list(keys), "left_anti").select(*changed.columns)
+        jdbc.replace_batches(changed.unionByName(others), target, table, "window_end")
+
+    return save
+
+
 def additive_merge(path: str) -> BatchWriter:
     """Batch writer adding each micro-batch of price messages to the community totals once."""
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quaymark import config as C
+from quaymark.operators import cleaning
 from quaymark.session import shared_dir, size_shuffles
 from quaymark.sinks import contracts, files as out, jdbc
 from quaymark.sources import files, jdbc as jdbc_source, kafka
@@ -41,6 +42,17 @@ def test_listing_csv_headers_are_renamed(spark, rows, tmp_path):
     assert got["district"] == "海淀" and got["area"] == 90 and got["build_year"] == "2001"
 
 
+def test_listing_csv_keeps_fractions_and_hands_back_misfits(spark, rows, tmp_path):
+    header = "市区,小区,户型,朝向,楼层,装修情况,电梯,面积(㎡),价格(万元),年份"
+    lines = ["海淀,a,3室1厅,南,3,精装,有电梯,89.5,259.5,2001", "海淀,b,3室1厅,南,x,精装,有电梯,90,500,2001"]
+    path = write(tmp_path / "l.csv", "\n".join([header, *lines]) + "\n")
+    good, bad = files.read_listings_with_rejects(spark, path)
+    got = rows(cleaning.usable_listings(good))
+    assert [(r["community"], r["area"], r["price"], r["price_per_sqm"]) for r in got] == [("a", 89.5, 259.5, 28994)]
+    assert [r[0] for r in bad.collect()] == [lines[1]]
+    assert files.read_listings_csv(spark, path).count() == 2
+
+
 def test_other_formats(spark, rows, tmp_path):
     semi = write(tmp_path / "people.csv", "name;age;job\nJo;30;Dev\n")
     assert rows(files.read_any(spark, semi, "csv", "name string, age int, job string", sep=";", header=True))[0]["job"] == "Dev"
@@ -86,10 +98,46 @@ def test_jdbc_dry_run_writes_nothing(spark, capsys):
     assert "id" in capsys.readouterr().out
 
 
-def test_merged_batches(spark):
-    old = spark.createDataFrame([(1, "a"), (2, "b")], "checkid int, v string")
-    new = spark.createDataFrame([(2, "c")], "checkid int, v string")
-    assert sorted(map(tuple, jdbc.merged_batches(old, new).collect())) == [(1, "a"), (2, "c")]
+class FakeConnection:
+    """Stands in for a database: notes what is asked of it."""
+
+    def __init__(self):
+        self.log = []
+
+    def __getattr__(self, name):
+        def call(*arguments):
+            self.log.append((name, *arguments))
+            return self
+
+        return call
+
+
+def test_deleting_batches_is_one_transaction():
+    connection, properties = FakeConnection(), FakeConnection()
+    manager = SimpleNamespace(getConnection=lambda url, props: connection)
+    util = SimpleNamespace(Properties=lambda: properties)
+    spark = SimpleNamespace(_jvm=SimpleNamespace(java=SimpleNamespace(sql=SimpleNamespace(DriverManager=manager), util=util)))
+    jdbc.delete_values(spark, jdbc.JdbcTarget("jdbc:x", user="u"), "t", "checkid", [3, 5])
+    assert ("setProperty", "user", "u") in properties.log
+    assert connection.log == [
+        ("setAutoCommit", False),
+        ("prepareStatement", "DELETE FROM t WHERE checkid = ?"),
+        ("setObject", 1, 3),
+        ("executeUpdate",),
+        ("setObject", 1, 5),
+        ("executeUpdate",),
+        ("commit",),
+        ("close",),
+    ]
+
+
+def test_replacing_batches_in_a_database_deletes_and_appends(spark, monkeypatch):
+    done = []
+    monkeypatch.setattr(jdbc, "delete_values", lambda _, target, table, column, values: done.append(("delete", table, column, sorted(values))))
+    monkeypatch.setattr(jdbc, "append", lambda rows, target, table, writers: done.append(("append", table, rows.count(), writers)))
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "checkid int, v string")
+    jdbc.replace_batches(rows, jdbc.JdbcTarget("jdbc:x"), "t", writers=3)
+    assert done == [("delete", "t", "checkid", [1, 2]), ("append", "t", 3, 3)]
 
 
 def test_replace_batches(spark, tmp_path):
