@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 from itertools import permutations
 
 import pytest
@@ -175,3 +176,23 @@ def test_rules_need_baskets_of_two(spark):
     assert baskets.pair_rules(alone).collect() == []
     with pytest.raises(ValueError, match="two different"):
         baskets.pair_rules(alone, require_baskets=True)
+
+
+def test_one_basket_of_very_many_items_does_not_reach_the_rules(spark):
+    """Its rare items go before a set is put together, so the set holds frequent items only."""
+    huge = spark.range(100_000).select(F.lit("huge").alias("order_id"), F.concat(F.lit("i"), "id").alias("category"))
+    usual = spark.range(300).select(F.concat(F.lit("o"), "id").alias("order_id"), F.explode(F.array(F.lit("i1"), F.lit("i2"))).alias("category"))
+    rules = baskets.pair_rules(huge.union(usual), min_support=0.01)
+    got = {(r["antecedent"], r["consequent"]): (r["pair_order_count"], r["total_basket_count"]) for r in rules.collect()}
+    assert got == {("i1", "i2"): (301, 301), ("i2", "i1"): (301, 301)}
+
+
+def test_an_order_of_two_users_ends_the_trend(spark):
+    schema = "stat_date date, stat_hour int, order_id string, user_id string, total_amount decimal(18,2), discount_amount decimal(18,2), pay_amount decimal(18,2)"
+    day = dt.date(2025, 1, 1)
+    one, two = Decimal(1), Decimal(2)
+    df = spark.createDataFrame([(day, 1, "o", "u", two, one, one), (day, 1, "p", "u", two, one, None), (day, 1, "p", "u", two, one, one)], schema)
+    row = commerce.sales_time_trend(df).first()
+    assert (row["order_count"], row["user_count"], row["pay_amount"], row["avg_order_amount"]) == (2, 1, 2, 1)
+    with pytest.raises(Exception, match="more than one user"):
+        commerce.sales_time_trend(df.withColumn("user_id", F.when(F.col("pay_amount").isNull(), "v").otherwise("u"))).collect()

@@ -141,3 +141,16 @@ def test_unit_price_rounds_half_up(spark, price_type, area_type):
     got = [r[0] for r in df.select(cleaning.unit_price(df)).collect()]
     want = [int((Decimal(p) * 10000 / a).quantize(Decimal(1), ROUND_HALF_UP)) for p, a in cases]
     assert got == want
+
+
+def test_a_unit_price_out_of_range_is_null(spark):
+    df = spark.createDataFrame([(1, 900_000), (90, 300)], "area int, price int")
+    assert sorted((r[0] for r in df.select(cleaning.unit_price(df)).collect()), key=str) == [33333, None]
+
+
+def test_variance_is_exact_next_to_a_whole_number(spark, rows):
+    """Large prices whose variance doubles would round."""
+    prices = [2_000_000_000 + k for k in (0, 1, 2, 4)] * 250
+    df = spark.createDataFrame([("k", p, 1, 10) for p in prices], "k string, price_per_sqm int, house_age int, area int")
+    got = rows(Ls.price_statistics(df, ["k"]))[0]
+    assert got["price_variance"] == int(statistics.variance(prices)) and got["price_stddev"] == 1
