@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from quaymark.llm.batches import groups, slices
+from quaymark.llm.batches import groups, map_texts, slices
 from quaymark.llm.blocks import compare_blocks
 from quaymark.llm.components import connected_components
 from quaymark.llm.text import mix, shingle_sets
@@ -39,7 +39,7 @@ from quaymark.session import materialize
 TOKENS = 64
 TREES = 12
 LEAF = 32
-DEPTH = 14
+DEPTH = 5
 ANCHOR_GROUP = 256
 
 _SEEDS = np.random.default_rng(7).integers(1, 2**63, (2, TOKENS), dtype=np.uint64) | np.uint64(1)
@@ -84,17 +84,16 @@ def _floor(percent: int) -> int:
 def signatures(docs: DataFrame, words: int) -> DataFrame:
     """``(doc_id, n_shingles, fp1, fp2, tokens)`` of every row."""
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in slices(batches, "text"):
-            sets = shingle_sets(part["text"].tolist(), words)
-            prints = _fingerprints(sets)
-            full = [i for i, s in enumerate(sets) if len(s)]
-            packed: list[bytes | None] = [None] * len(sets)
-            for i, row in zip(full, _tokens([sets[i] for i in full])):
-                packed[i] = row.tobytes()
-            yield pd.DataFrame({"doc_id": part["doc_id"], "n_shingles": [len(s) for s in sets], "fp1": prints[:, 0], "fp2": prints[:, 1], "tokens": packed})
-
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_shingles long, fp1 long, fp2 long, tokens binary")
+    def run(texts: list[str | None]) -> dict:
+        sets = shingle_sets(texts, words)
+        prints = _fingerprints(sets)
+        full = [i for i, s in enumerate(sets) if len(s)]
+        packed: list[bytes | None] = [None] * len(sets)
+        for i, row in zip(full, _tokens([sets[i] for i in full])):
+            packed[i] = row.tobytes()
+        return {"n_shingles": [len(s) for s in sets], "fp1": prints[:, 0], "fp2": prints[:, 1], "tokens": packed}
+
+    return map_texts(docs.select("doc_id", "text"), run, "n_shingles long, fp1 long, fp2 long, tokens binary")
 
 
 def _roots(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
