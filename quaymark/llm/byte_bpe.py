@@ -19,7 +19,8 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterable
+import sys
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,61 +42,113 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return ranks
 
 
-def replay(words: Iterable[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
-    """The token ids of each word."""
-    token: list[int] = []
-    spelled: list[bytes] = []
-    before: list[int] = []
-    after: list[int] = []
-    begins: list[int] = []
-    for word in words:
-        begins.append(len(token))
-        whole = ranks.get(word)
-        parts = [word] if whole is not None else [word[i : i + 1] for i in range(len(word))]
-        base = len(token)
-        token.extend(ranks[p] for p in parts)
-        spelled.extend(parts)
-        before.extend(range(base - 1, base + len(parts) - 1))
-        after.extend(range(base + 1, base + len(parts) + 1))
-        if parts:
-            before[base], after[-1] = -1, -1
-    places: dict[int, list[int]] = {}
-    for i, j in enumerate(after):
-        if j >= 0 and (rank := ranks.get(spelled[i] + spelled[j])) is not None:
-            places.setdefault(rank, []).append(i)
-    waiting = list(places)
-    heapq.heapify(waiting)
+@dataclass
+class Merges:
+    """A vocabulary as merges: the token of each byte, and the token that each mergeable pair becomes."""
+
+    ranks: dict[bytes, int]
+    byte_tokens: np.ndarray
+    byte_pairs: np.ndarray
+    pairs: dict[int, int]
+
+
+def merges_of(ranks: dict[bytes, int]) -> Merges:
+    """Every way to put a token together from two others."""
+    pairs = {}
+    for token, rank in ranks.items():
+        for cut in range(1, len(token)):
+            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+            if left is not None and right is not None:
+                pairs[left * MOST_VOCABULARY + right] = rank
+    byte_pairs = np.full(1 << 16, -1, np.int64)
+    for token, rank in ranks.items():
+        if len(token) == 2:
+            byte_pairs[token[0] * 256 + token[1]] = rank
+    return Merges(ranks, np.array([ranks[bytes([b])] for b in range(256)], np.int64), byte_pairs, pairs)
+
+
+def replay(words: list[bytes], merges: Merges) -> list[bytes]:
+    """The token ids of each word, as packed 32-bit integers."""
+    if not words:
+        return []
+    whole = [merges.ranks.get(word) for word in words]
+    split = [word for word, token in zip(words, whole) if token is None]
+    ends = np.cumsum([len(word) for word in split], dtype=np.int64)
+    packed, bounds = b"", [0]
+    if len(ends) and ends[-1]:
+        tokens = _merged(np.frombuffer(b"".join(split), np.uint8), ends, merges)
+        alive = tokens >= 0
+        packed = tokens[alive].astype(np.int32).tobytes()
+        bounds = [0, *(4 * np.cumsum(alive)[ends - 1]).tolist()]
+    elif len(ends):
+        bounds = [0] * (len(ends) + 1)
+    slots = zip(bounds[:-1], bounds[1:])
+    parts = (packed[a:b] for a, b in slots)
+    return [next(parts) if token is None else token.to_bytes(4, sys.byteorder) for token in whole]
+
+
+def _merged(data: np.ndarray, ends: np.ndarray, merges: Merges) -> np.ndarray:
+    """One chain of byte tokens after all merges; a token that went into the one before it is -1."""
+    size, get = len(data), merges.pairs.get
+    starts = np.concatenate([[0], ends[:-1]])[np.diff(ends, prepend=0) > 0]
+    lasts = ends[np.diff(ends, prepend=0) > 0] - 1
+    before, after = np.arange(-1, size - 1), np.arange(1, size + 1)
+    before[starts], after[lasts] = -1, -1
+    rank_at = np.full(size, -1, np.int64)
+    rank_at[:-1] = merges.byte_pairs[data[:-1].astype(np.int64) * 256 + data[1:]]
+    rank_at[lasts] = -1
+    # The inverted index: for each rank, the places of its pairs from left to right.
+    found = np.flatnonzero(rank_at >= 0)
+    found = found[np.argsort(rank_at[found], kind="stable")]
+    ranks, first = np.unique(rank_at[found], return_index=True)
+    places = {rank: part.tolist() for rank, part in zip(ranks.tolist(), np.split(found, first[1:]))}
+    waiting = sorted(places)
+    token = merges.byte_tokens[data].tolist()
+    before, after, rank_at = before.tolist(), after.tolist(), rank_at.tolist()
     while waiting:
         rank = heapq.heappop(waiting)
-        todo = sorted(places.pop(rank))
+        todo = places.pop(rank)
+        todo.sort()
         for done, i in enumerate(todo, 1):
-            j = after[i] if token[i] >= 0 else -1
-            if j < 0 or ranks.get(spelled[i] + spelled[j]) != rank:
+            if rank_at[i] != rank:
                 continue  # an earlier merge took one of the two
-            spelled[i] += spelled[j]
-            token[i], token[j] = rank, -1
+            j = after[i]
+            token[i], token[j], rank_at[j] = rank, -1, -1
             after[i] = k = after[j]
+            lowest = rank
             if k >= 0:
                 before[k] = i
-            sooner = False
-            for a, b in ((before[i], i), (i, k)):
-                if a >= 0 and b >= 0 and (new := ranks.get(spelled[a] + spelled[b])) is not None:
-                    if new not in places:
-                        places[new] = []
+                rank_at[i] = new = get(rank * MOST_VOCABULARY + token[k], -1)
+                if new >= 0:
+                    lowest = min(lowest, new)
+                    if new in places:
+                        places[new].append(i)
+                    else:
+                        places[new] = [i]
+                        heapq.heappush(waiting, new)
+            else:
+                rank_at[i] = -1
+            b = before[i]
+            if b >= 0:
+                rank_at[b] = new = get(token[b] * MOST_VOCABULARY + rank, -1)
+                if new >= 0:
+                    lowest = min(lowest, new)
+                    if new in places:
+                        places[new].append(b)
+                    else:
+                        places[new] = [b]
                         heapq.heappush(waiting, new)
-                    places[new].append(a)
-                    sooner |= new < rank
-            if sooner and done < len(todo):
+            if lowest < rank and done < len(todo):
+                # A pair of a lower rank came up: it goes before the rest of this rank.
                 places[rank] = todo[done:]
                 heapq.heappush(waiting, rank)
                 break
-    ends = begins[1:] + [len(token)]
-    return [[t for t in token[a:b] if t >= 0] for a, b in zip(begins, ends)]
+    return np.array(token, np.int64)
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, column: str = "text") -> DataFrame:
     """``docs`` with ``ids array<int>`` in place of ``column``."""
-    held = docs.sparkSession.sparkContext.broadcast(ranks)
+    held = docs.sparkSession.sparkContext.broadcast(merges_of(ranks))
     split = regex.compile(pattern)
     known: dict[str, bytes] = {}
 
@@ -103,9 +156,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, column: str =
         words = [split.findall(text) if text else [] for text in texts]
         if len(known) > REMEMBERED:
             known.clear()
-        new = list({w for line in words for w in line}.difference(known))
-        for word, ids in zip(new, replay([w.encode("utf-8") for w in new], held.value)):
-            known[word] = np.array(ids, np.int32).tobytes()
+        new = list(set().union(*words).difference(known))
+        known.update(zip(new, replay([w.encode("utf-8") for w in new], held.value)))
         packed = [b"".join(map(known.__getitem__, line)) for line in words]
         offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
         return {"ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))}
