@@ -56,8 +56,8 @@ BITS_PER_ENTRY = 10
 MOST_BITS = 1 << 29
 LEVELS = 64
 FREQUENT = 1_000_000
-COUNT_CHARS = 16 << 20
-SCORE_CHARS = 6 << 20
+COUNT_CHARS = 8 << 20
+SCORE_CHARS = 3 << 20
 SEGMENT_CHARS = 16 << 20
 LEAST_SEGMENTS = 64
 
