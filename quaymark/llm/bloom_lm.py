@@ -8,10 +8,11 @@ more than they do, which removes most false answers.  The score interpolates:
 ``P(w | v) = (c(v, w) + GAMMA * P(w)) / (c(v) + GAMMA)``, with the context's count rounded up
 to its level's end and all others down, so that the model never gives out more than one.
 
-The filter has at most ``MOST_BITS`` bits (about ten a entry below that), which bounds the
-broadcast.  Where a corpus has more entries than that filter can hold, the least count that
-enters it rises until they fit: rarer pairs then get the unsmoothed word probability.  All
-text is counted at every size.
+The filter has about ten bits an entry at every size and holds all words and pairs.  It is
+split by segments of the hash: as many segments as ``MOST_BITS`` bits hold are sent to every
+task.  Keys of the other segments are packed by task and segment, meet the segment's block of
+the filter in a shuffle, and their levels go back to the packed tokens of the task's texts.
+Which segments are sent changes the work only, not a score.
 
 The base score needs exact counts of every word.  Words with more than a millionth of all
 training tokens, at most a million by definition, are sent to every task.  For the others,
@@ -35,7 +36,7 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -70,6 +71,8 @@ _PROBE = np.random.default_rng(99).integers(1, 2**63, HASHES, dtype=np.uint64) |
 @dataclass
 class Filter:
     bits: np.ndarray
+    block: int
+    held: int
     segments: int
     tokens: int
     words: int
@@ -80,6 +83,7 @@ class Filter:
 @dataclass
 class Model:
     filter: Broadcast
+    blocks: DataFrame
     counts: DataFrame
     segments: int
     tokens: int
@@ -176,28 +180,25 @@ def _merge(part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"kind": [kind], "segment": [segment], "n": [len(keys)], "total": [int(counts.sum())], "per_level": [per_level.tolist()], "keys": [_pack_sorted(keys)], "counts": [_pack(counts_kept)]})
 
 
-def _positions(keys: np.ndarray, level: int, which: int, segments: int, bits: int) -> np.ndarray:
+def _positions(keys: np.ndarray, level: int, which: int, segments: int, block: int) -> np.ndarray:
     """The bit of each key at one level and hash, inside the block of the key's segment."""
-    block = bits // segments
     h = mix(keys * _PROBE[which] + np.uint64(level))
     return _segment_of(keys, segments) * block + (h % np.uint64(block)).astype(np.int64)
 
 
-def _build(segments: int, bits: int, least: int):
-    """The filter block of one segment, from its words and pairs of at least ``least``."""
+def _build(segments: int, block: int):
+    """The filter block of one segment, from its words and pairs."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        block = bits // segments
         segment = int(part["segment"].iloc[0])
         made = np.zeros(block, bool)
         for kind, packed, counts in zip(part["kind"], part["keys"], part["counts"]):
             keys, counts = _unpack_sorted(packed), _unpack(counts)
             levels = counts.astype(np.int64) if kind == "pair" else _levels(counts)
-            keys, levels = keys[levels >= least], levels[levels >= least]
             for level in range(1, int(levels.max(initial=0)) + 1):
                 keys, levels = keys[levels >= level], levels[levels >= level]
                 for which in range(HASHES):
-                    made[_positions(keys, level, which, segments, bits) - segment * block] = True
+                    made[_positions(keys, level, which, segments, block) - segment * block] = True
         return pd.DataFrame({"segment": [segment], "block": [np.packbits(made, bitorder="little").tobytes()]})
 
     return run
@@ -214,16 +215,16 @@ def learn(docs: DataFrame) -> Model:
     sums = {r["kind"]: r for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect()}
     tokens, words = (sums["word"]["total"], sums["word"]["n"]) if sums else (0, 0)
     by_level = {r["level"]: r["n"] for r in counts.select(F.posexplode("per_level").alias("level", "n")).groupBy("level").agg(F.sum("n").alias("n")).collect()}
-    least, entries = 1, sum(level * n for level, n in by_level.items())
-    while entries * BITS_PER_ENTRY * 0.8 > MOST_BITS:
-        entries -= least * by_level.get(least, 0)
-        least += 1
-    bits = min(MOST_BITS, 1 << math.ceil(math.log2(max(entries * BITS_PER_ENTRY, segments * 64))))
-    built = counts.select("kind", "segment", "keys", "counts").groupBy("segment").applyInPandas(_build(segments, bits, least), "segment int, block binary")
-    whole = np.zeros(bits // 8, np.uint8)
-    size = bits // segments // 8
-    for row in built.toLocalIterator():
-        whole[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(row["block"], np.uint8)
+    entries = sum(level * n for level, n in by_level.items())
+    block = (1 << math.ceil(math.log2(max(entries * BITS_PER_ENTRY, segments * 64)))) // segments
+    held = min(segments, MOST_BITS // block)
+    built = counts.select("kind", "segment", "keys", "counts").groupBy("segment").applyInPandas(_build(segments, block), "segment int, block binary")
+    if held < segments:
+        built = materialize(built, "lm_filter")
+    size = block // 8
+    sent_bits = np.zeros(held * size, np.uint8)
+    for row in built.where(F.col("segment") < held).toLocalIterator():
+        sent_bits[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(row["block"], np.uint8)
     line = tokens / FREQUENT
 
     def frequent(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -235,48 +236,52 @@ def learn(docs: DataFrame) -> Model:
     often = counts.where("kind = 'word'").select("keys", "counts").mapInPandas(frequent, "key long, n long").toArrow()
     keys = often.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    sent = Filter(whole, segments, tokens, words, keys[order], often.column("n").to_numpy()[order])
-    return Model(docs.sparkSession.sparkContext.broadcast(sent), counts.where("kind = 'word'").select("segment", "keys", "counts"), segments, tokens, words)
+    sent = Filter(sent_bits, block, held, segments, tokens, words, keys[order], often.column("n").to_numpy()[order])
+    return Model(docs.sparkSession.sparkContext.broadcast(sent), built.where(F.col("segment") >= held), counts.where("kind = 'word'").select("segment", "keys", "counts"), segments, tokens, words)
 
 
-def _probe(keys: np.ndarray, model: Filter) -> np.ndarray:
-    """The level of each key: how many levels in a row the filter has."""
+def _levels_in(bits: np.ndarray, first: int, keys: np.ndarray, segments: int, block: int) -> np.ndarray:
+    """The level of each key: how many levels in a row the filter has.  ``bits`` are the blocks from segment ``first`` on."""
     level = np.zeros(len(keys), np.int64)
     alive = np.arange(len(keys))
-    bits = len(model.bits) * 8
     for step in range(1, LEVELS + 1):
         for which in range(HASHES):
-            at = _positions(keys[alive], step, which, model.segments, bits)
-            alive = alive[(model.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
+            at = _positions(keys[alive], step, which, segments, block) - first * block
+            alive = alive[(bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
         if not len(alive):
             break
         level[alive] = step
     return level
 
 
-def _log_probabilities(tokens: np.ndarray, before: np.ndarray, model: Filter) -> np.ndarray:
+def _probe(keys: np.ndarray, model: Filter) -> np.ndarray:
+    """The level of each key, all of segments that were sent."""
+    return _levels_in(model.bits, 0, keys, model.segments, model.block)
+
+
+def _log_probabilities(tokens: np.ndarray, before: np.ndarray, model: Filter, probe: Callable[[np.ndarray, Filter], np.ndarray] = _probe) -> np.ndarray:
     """log10 of the model's probability of each token after its context."""
     down = np.concatenate([[0.0], np.ceil(BASE ** np.arange(LEVELS) - 1e-9)])
     up = np.concatenate([[0.0], np.ceil(BASE ** np.arange(1, LEVELS + 1) - 1e-9)])
     words, where = np.unique(tokens, return_inverse=True)
-    own = _probe(words, model)[where]
+    own = probe(words, model)[where]
     started = before == START
     context = np.where(started, LEVELS, np.concatenate([[0], own[:-1]]))
     pairs, where = np.unique(_pair_keys(before, tokens), return_inverse=True)
     known = np.zeros(len(pairs), bool)
     known[where[(own > 0) & (context > 0)]] = True
     level = np.zeros(len(pairs), np.int64)
-    level[known] = _probe(pairs[known], model)
+    level[known] = probe(pairs[known], model)
     joint = down[np.minimum(np.minimum(level[where], own), context)]
     # Texts begin as often as they end.
-    ends = up[_probe(np.array([END]), model)[0]]
+    ends = up[probe(np.array([END]), model)[0]]
     times = np.where(started, ends, up[context])
     single = (down[own] + 0.1) / (model.tokens + 0.1 * (model.words + 1))
     return np.log10((joint + GAMMA * single) / (times + GAMMA))
 
 
-_SCORED = pa.schema([("packet", pa.bool_()), ("batch", pa.string()), ("place", pa.int32()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("partial", pa.float64()), ("score", pa.float64()), ("segment", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("times", pa.binary())])
-_SCORED_DDL = "packet boolean, batch string, place int, doc_id long, n_tokens long, known long, partial double, score double, segment int, keys binary, docs binary, times binary"
+_SCORED = pa.schema([("packet", pa.bool_()), ("batch", pa.string()), ("place", pa.int32()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("partial", pa.float64()), ("score", pa.float64()), ("segment", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("times", pa.binary()), ("words", pa.binary()), ("pairs", pa.binary())])
+_SCORED_DDL = "packet boolean, batch string, place int, doc_id long, n_tokens long, known long, partial double, score double, segment int, keys binary, docs binary, times binary, words binary, pairs binary"
 
 
 def _rows(**columns) -> pa.RecordBatch:
@@ -284,6 +289,63 @@ def _rows(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in _SCORED], schema=_SCORED)
 
 
+def _asked(name: str, tokens: np.ndarray, offsets: np.ndarray, model: Filter) -> Iterator[pa.RecordBatch]:
+    """The packed tokens of a batch, without a segment, and its distinct keys by the segments that were not sent."""
+    words, where = np.unique(tokens, return_inverse=True)
+    pairs = np.unique(_pair_keys(_contexts(tokens, offsets), tokens))
+    yield _rows(packet=[True], batch=[name], words=[_pack_sorted(words)], docs=[_pack(where)], times=[_pack(np.diff(offsets))])
+    asked: dict[int, list] = {}
+    for kind, keys in enumerate((words, pairs)):
+        for s, at in _cuts(keys, model.segments):
+            if s >= model.held:
+                asked.setdefault(s, [None, None])[kind] = _pack_sorted(keys[at])
+    yield _rows(packet=[True] * len(asked), batch=[name] * len(asked), segment=list(asked), words=[k[0] for k in asked.values()], pairs=[k[1] for k in asked.values()])
+
+
+def _answer(segments: int, block: int):
+    """Levels of the keys that batches ask of one segment."""
+
+    def run(blocks: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        bits = np.frombuffer(blocks["block"].iloc[0], np.uint8) if len(blocks) else np.zeros(block // 8, np.uint8)
+
+        def levels(packed: bytes | None) -> bytes | None:
+            return None if packed is None else _levels_in(bits, segment, _unpack_sorted(packed), segments, block).astype(np.uint8).tobytes()
+
+        rows = []
+        for batch, segment, words, pairs in zip(asked["batch"], asked["segment"], asked["words"], asked["pairs"]):
+            rows.append((batch, segment, levels(words), levels(pairs)))
+        return pd.DataFrame(rows, columns=["batch", "segment", "words", "pairs"])
+
+    return run
+
+
+def _combine(sent: Broadcast):
+    """Scores of a batch's texts from its tokens and the levels of their keys."""
+
+    def run(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        model: Filter = sent.value
+        row, answers = texts.iloc[0], answers.sort_values("segment")
+        words = _unpack_sorted(row["words"])
+        tokens = words[_unpack(row["docs"]).astype(np.int64)]
+        sizes = _unpack(row["times"]).astype(np.int64)
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        before = _contexts(tokens, offsets)
+        keys, levels = [words, np.unique(_pair_keys(before, tokens))], []
+        for own, column in zip(keys, ("words", "pairs")):
+            # Segments are the upper bits, so the sorted keys that were not sent are the last ones.
+            near = int(np.searchsorted(_segment_of(own, model.segments), model.held))
+            far = np.frombuffer(b"".join(answers[column].dropna()), np.uint8).astype(np.int64)
+            levels.append(np.concatenate([_probe(own[:near], model), far]))
+        known, found = np.concatenate(keys), np.concatenate(levels)
+        order = np.argsort(known)
+        known, found = known[order], found[order]
+        logs = _log_probabilities(tokens, before, model, lambda k, _: found[np.searchsorted(known, k)])
+        score = np.bincount(np.repeat(np.arange(len(sizes)), sizes), logs, len(sizes))
+        return pd.DataFrame({"batch": row["batch"], "place": np.arange(len(sizes)), "far": score})
+
+    return run
+
+
 def _score(held: Broadcast):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Filter = held.value
@@ -295,7 +357,11 @@ def _score(held: Broadcast):
                 name = uuid.uuid4().hex
                 tokens, offsets = _tokens(part.column("text").to_pylist())
                 doc = np.repeat(np.arange(b - a), np.diff(offsets))
-                score = np.bincount(doc, _log_probabilities(tokens, _contexts(tokens, offsets), model), b - a)
+                if model.held == model.segments:
+                    score = np.bincount(doc, _log_probabilities(tokens, _contexts(tokens, offsets), model), b - a)
+                else:
+                    score = np.zeros(b - a)
+                    yield from _asked(name, tokens, offsets, model)
                 at = np.minimum(np.searchsorted(model.frequent, tokens), max(len(model.frequent) - 1, 0))
                 hit = model.frequent[at] == tokens if len(model.frequent) else np.zeros(len(tokens), bool)
                 logs = np.log10(model.frequent_counts[at[hit]] + 0.1) if hit.any() else np.zeros(0)
@@ -331,18 +397,26 @@ def _look_up(part: pd.DataFrame) -> pd.DataFrame:
         known = np.bincount(docs, times * hit)
         some = np.unique(docs)
         found.append(pd.DataFrame({"batch": row.batch, "place": some, "rare": sums[some], "rare_known": known[some].astype(np.int64)}))
-    return pd.concat(found) if found else pd.DataFrame({"batch": [], "place": [], "rare": [], "rare_known": []})
+    return pd.concat(found) if found else pd.DataFrame()
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``(doc_id, n_tokens, n_known, train_tokens, base_score, score)`` of each row of ``docs``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scored = materialize(rows.mapInArrow(_score(model.filter), _SCORED_DDL), "lm_scored")
-    packets = scored.where("packet").select("segment", "batch", "keys", "docs", "times")
+    packets = scored.where("packet and keys is not null").select("segment", "batch", "keys", "docs", "times")
     exact = model.counts.select("segment", F.lit(None).cast("string").alias("batch"), "keys", F.lit(None).cast("binary").alias("docs"), F.col("counts").alias("times"))
     sums = packets.union(exact).groupBy("segment").applyInPandas(_look_up, "batch string, place int, rare double, rare_known long")
-    sums = sums.groupBy("batch", "place").agg(F.sum("rare").alias("rare"), F.sum("rare_known").alias("rare_known"))
+    sums = sums.withColumn("far", F.lit(0.0))
+    sent = model.filter.value
+    if sent.held < sent.segments:
+        asked = scored.where("packet and keys is null and segment is not null").select("segment", "batch", "words", "pairs")
+        answers = model.blocks.groupBy("segment").cogroup(asked.groupBy("segment")).applyInPandas(_answer(sent.segments, sent.block), "batch string, segment int, words binary, pairs binary")
+        texts = scored.where("packet and segment is null").select("batch", "words", "docs", "times")
+        far = texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(_combine(model.filter), "batch string, place int, far double")
+        sums = sums.union(far.select("batch", "place", F.lit(0.0), F.lit(0).cast("long"), "far"))
+    sums = sums.groupBy("batch", "place").agg(F.sum("rare").alias("rare"), F.sum("rare_known").alias("rare_known"), F.sum("far").alias("far"))
     joined = scored.where("not packet").join(sums, ["batch", "place"], "left")
     total = math.log10(model.tokens + 0.1 * (model.words + 1))
     base = F.col("partial") + F.coalesce("rare", F.lit(0.0)) - F.col("n_tokens") * total
-    return joined.select("doc_id", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+    return joined.select("doc_id", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("score") + F.coalesce("far", F.lit(0.0))).alias("score"))

@@ -82,3 +82,19 @@ def test_probabilities_stay_below_one(docs):
         before = np.stack([np.full(len(words), bloom_lm.START), pairs_before], 1).ravel()
         logs = bloom_lm._log_probabilities(tokens_, before, model)[1::2]
         assert (10**logs).sum() < 1.1
+
+
+@pytest.mark.parametrize("most", [1 << 14, 1])
+def test_scores_do_not_depend_on_what_is_sent(docs, monkeypatch, most):
+    def scores(model):
+        return sorted([tuple(r) for r in bloom_lm.score(docs, model).collect()], key=str)
+
+    whole = bloom_lm.learn(docs.where("doc_id < 70"))
+    expected = scores(whole)
+    monkeypatch.setattr(bloom_lm, "MOST_BITS", most)
+    split = bloom_lm.learn(docs.where("doc_id < 70"))
+    sent = split.filter.value
+    assert sent.held < sent.segments == whole.filter.value.held and sent.block == whole.filter.value.block
+    got = scores(split)
+    assert [r[:4] for r in got] == [r[:4] for r in expected]
+    assert [r[5] for r in got] == pytest.approx([r[5] for r in expected], abs=1e-6)
