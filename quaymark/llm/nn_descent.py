@@ -12,8 +12,17 @@ list holds.  Its list is enlarged to everything by an exact comparison, in block
 nodes of its label.  Of a block pair only each node's number of links and a spanning forest
 of the links come back, so a group of many near copies is never expanded into its pairs.
 
-Recall is audited against an exact comparison of ``AUDITED`` nodes with all nodes of their
-labels; while it is below ``RECALL``, more sorted orders and rounds are added.
+The number of sorted orders follows from the label's size: two vectors at the threshold
+share the first ``k`` signs with probability ``(1 - angle / pi)**k``, and orders are added
+until such a pair is in no common window with a probability of at most ``MISS``.
+
+Signs that crowd together can break that rule, so each label is audited: about ``AUDITED`` of
+its unsaturated nodes (all, if it has no more) are compared exactly with the whole label, and
+each of them with links counts alike.  A label fails if one of them lacks a link, unless at
+least ``ENOUGH`` have links and have ``RECALL`` of them on average.  A failed label gets more
+orders and rounds, and if it fails ``EXTRA`` times more, or has no more than ``AUDITED`` nodes,
+the exact comparison of all its nodes.  A large label of which no audited node lacks a link
+rests on ``MISS``.
 
 Defined results: a vector that is null, has length zero or holds null or non-finite components, or whose
 label is null, links with nothing; so do vectors of different lengths; equal vectors are linked; a row with a null
@@ -39,8 +48,10 @@ NEIGHBOURS = 8
 ORDERS = 6
 WINDOW = 256
 ROUNDS = 2
-AUDITED = 200
-RECALL = 0.95
+MISS = 1e-3
+AUDITED = 1000
+ENOUGH = 100
+RECALL = 0.99
 EXTRA = 2
 #: Half-precision cosines differ from exact ones by less than this.
 MARGIN = 0.005
@@ -61,15 +72,25 @@ def _vectors(packed: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(packed), np.float16).reshape(len(packed), -1).astype(np.float32)
 
 
-def _orders(seed: int):
+def orders_needed(sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """Sorted orders for labels of so many nodes."""
+    signs = np.ceil(np.log2(np.maximum(2 * sizes / WINDOW, 1)))
+    # Rows with equal signs are about half a window at most; a border parts a quarter of them at most.
+    together = 0.75 * (1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi) ** signs
+    return np.maximum(ORDERS, np.ceil(np.log(MISS) / np.log1p(-np.maximum(together, 1e-9)))).astype(np.int64)
+
+
+def _orders(seed: int, first: int, threshold: float):
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
             for _, same in part.groupby(part["half"].str.len()):
-                x = _vectors(same["half"])
-                for order in range(ORDERS):
+                needed = orders_needed(same["label_size"].to_numpy(), threshold)
+                for order in range(first, min(first + ORDERS, int(needed.max()))):
+                    some = same[needed > order]
+                    x = _vectors(some["half"])
                     planes = np.random.default_rng([seed, order, x.shape[1]]).standard_normal((x.shape[1], 62))
                     code = ((x @ planes > 0) * (1 << np.arange(61, -1, -1, dtype=np.int64))).sum(1)
-                    yield pd.DataFrame({"label": same["label"], "round": order, "code": code, "u": same["u"], "half": same["half"]})
+                    yield pd.DataFrame({"label": some["label"], "round": order, "code": code, "u": some["u"], "half": some["half"]})
 
     return run
 
@@ -135,12 +156,19 @@ def _descend(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     return _best(graph.union(rows.mapInPandas(_local_joins, _GRAPH)))
 
 
-def neighbour_graph(nodes: DataFrame, seed: int) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, seed: int, threshold: float) -> DataFrame:
     """``(label, u, v, s)``: about the nearest ``NEIGHBOURS`` of each node of ``(label, u, half)``."""
-    spread = nodes.select("label", "u", "half").mapInPandas(_orders(seed), "label string, round int, code long, u long, half binary")
+    sizes = materialize(nodes.groupBy("label").agg(F.count("*").alias("label_size")), "label_sizes")
+    sized = nodes.select("label", "u", "half").join(sizes, "label")
+    most = sizes.agg(F.max("label_size")).first()[0] or 0
     keys = ["label", "round", "code", "u"]
-    ordered = materialize(spread, "orders").repartitionByRange(*keys).sortWithinPartitions(*keys)
-    graph = materialize(_best(ordered.mapInPandas(_windows, _GRAPH)), "graph")
+    graph = None
+    # A few orders at a time, which bounds what is shuffled at once.
+    for first in range(0, int(orders_needed(np.array([most]), threshold)[0]), ORDERS):
+        spread = sized.mapInPandas(_orders(seed, first, threshold), "label string, round int, code long, u long, half binary")
+        ordered = materialize(spread, "orders").repartitionByRange(*keys).sortWithinPartitions(*keys)
+        found = ordered.mapInPandas(_windows, _GRAPH)
+        graph = materialize(_best(found if graph is None else graph.union(found)), "graph")
     for _ in range(ROUNDS):
         graph = materialize(_descend(graph, nodes), "graph")
     return graph
@@ -202,10 +230,16 @@ def _confirmed(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
     return links.select(F.col("a").alias("u"), F.col("b").alias("v"), F.col("mb").alias("m")).union(links.select("b", "a", "ma"))
 
 
-def _links(graph: DataFrame, nodes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """``(u, linked)`` for nodes with links, and edges ``(u, v)`` that connect what is linked."""
+def _links(graph: DataFrame, nodes: DataFrame, threshold: float, whole: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(u, linked)`` for nodes with links, edges ``(u, v)`` that connect what is linked, and the nodes, marked where compared exactly.
+
+    All nodes of the labels of ``whole`` count as saturated.
+    """
     lists = graph.where(F.col("s") >= threshold - MARGIN).groupBy("label", "u").agg(F.count("*").alias("n"))
-    full = lists.where(F.col("n") >= NEIGHBOURS).select("label", "u", F.lit(True).alias("saturated"))
+    full = lists.where(F.col("n") >= NEIGHBOURS).select("label", "u")
+    if whole is not None:
+        full = full.union(nodes.join(whole, "label", "left_semi").select("label", "u")).distinct()
+    full = full.withColumn("saturated", F.lit(True))
     marked = materialize(nodes.join(full, ["label", "u"], "left").withColumn("saturated", F.coalesce("saturated", F.lit(False))), "marked")
     columns = ["label", "dims", "u", "x", "m", "saturated"]
     scanned = _scan(marked.where("saturated").select(*columns), marked.select(*columns), threshold, "links")
@@ -214,16 +248,23 @@ def _links(graph: DataFrame, nodes: DataFrame, threshold: float) -> tuple[DataFr
     open_pairs = pairs.union(scanned.where("kind = 2").select("a", "b", "m")).distinct().join(open_nodes, "u", "left_semi")
     counted = open_pairs.select("u", "m").union(scanned.where("kind = 0").select("a", "m"))
     edges = pairs.select("u", "v").union(scanned.where("kind > 0").select("a", "b"))
-    return materialize(counted.groupBy("u").agg(F.sum("m").alias("linked")), "linked"), materialize(edges.distinct(), "edges")
+    return materialize(counted.groupBy("u").agg(F.sum("m").alias("linked")), "linked"), materialize(edges.distinct(), "edges"), marked
 
 
-def audit(linked: DataFrame, nodes: DataFrame, threshold: float) -> float:
-    """Share of the links of ``AUDITED`` nodes, counted exactly, that ``linked`` has."""
+def audit(linked: DataFrame, marked: DataFrame, threshold: float) -> DataFrame:
+    """``(label, n)`` of the labels that fail, n the number of nodes that were not compared exactly."""
     columns = ["label", "dims", "u", "x", "m"]
-    sample = nodes.orderBy(F.xxhash64("u"), "u").limit(AUDITED).select(*columns)
-    exact = _scan(sample, nodes.select(*columns), threshold, "count").groupBy("a").agg(F.sum("m").alias("m"))
-    row = exact.join(linked.withColumnRenamed("u", "a"), "a", "left").agg(F.sum("m"), F.sum(F.coalesce("linked", F.lit(0)))).first()
-    return 1.0 if not row[0] else row[1] / row[0]
+    open_nodes = marked.where("not saturated")
+    sizes = materialize(open_nodes.groupBy("label").agg(F.count("*").alias("n")), "open_sizes")
+    drawn = F.pmod(F.xxhash64("u", F.lit("audit")), F.lit(1 << 30)) * F.col("n") < F.lit(AUDITED << 30)
+    sample = open_nodes.join(sizes, "label").where((F.col("n") <= AUDITED) | drawn).select(*columns)
+    sample = materialize(sample, "audited")
+    exact = _scan(sample, marked.select(*columns), threshold, "count").groupBy("a").agg(F.sum("m").alias("true")).withColumnRenamed("a", "u")
+    share = F.coalesce("linked", F.lit(0)) / F.col("true")
+    checked = exact.join(sample.select("u", "label"), "u").join(linked, "u", "left").select("label", share.alias("share"))
+    checked = checked.groupBy("label").agg(F.count("*").alias("with_links"), F.avg("share").alias("recall"), F.min("share").alias("worst"))
+    failed = (F.col("worst") < 1) & ((F.col("recall") < RECALL) | (F.col("with_links") < ENOUGH) | (F.col("n") <= AUDITED))
+    return materialize(checked.join(sizes, "label").where(failed).select("label", "n"), "failed")
 
 
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
@@ -240,12 +281,21 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataF
             yield part.assign(half=_half(part["x"]))
 
     nodes = materialize(nodes.mapInPandas(half, "label string, x array<double>, u long, m long, dims int, half binary"), "nodes")
-    graph = neighbour_graph(nodes, 1)
-    for extra in range(EXTRA + 1):
-        linked, edges = _links(graph, nodes, threshold)
-        if extra == EXTRA or audit(linked, nodes, threshold) >= RECALL:
+    graph = neighbour_graph(nodes, 1, threshold)
+    whole = None
+    for extra in range(EXTRA + 2):
+        linked, edges, marked = _links(graph, nodes, threshold, whole)
+        if extra > EXTRA:
+            break
+        failed = audit(linked, marked, threshold)
+        if failed.isEmpty():
             break
-        graph = materialize(_best(graph.union(neighbour_graph(nodes, 2 + extra))), "graph")
+        exact = failed if extra == EXTRA else failed.where(F.col("n") <= AUDITED)
+        whole = exact.select("label") if whole is None else whole.union(exact.select("label"))
+        again = failed.where(F.col("n") > AUDITED)
+        if extra < EXTRA and not again.isEmpty():
+            more = neighbour_graph(materialize(nodes.join(again, "label", "left_semi"), "again"), 2 + extra, threshold)
+            graph = materialize(_best(graph.union(more)), "graph")
     components = connected_components(edges).withColumnRenamed("node", "u")
     named = nodes.join(linked, "u", "left").join(components, "u", "left")
     named = named.select("label", "x", F.col("m"), F.coalesce("linked", F.lit(0)).alias("linked"), F.coalesce("component", "u").alias("component"))

@@ -98,3 +98,24 @@ def test_large_group_is_whole(spark):
     assert len(hot) >= 600 and all(got[i] == expected[i] for i in hot)
     found, true = sum(g[0] for g in got.values()), sum(e[0] for e in expected.values())
     assert found <= true and found >= 0.98 * true
+
+
+@pytest.mark.parametrize("audited", [1000, 200])
+def test_single_links_beside_a_large_group(spark, monkeypatch, audited):
+    """Windows far smaller than the label lose isolated pairs, which a group of copies must not hide."""
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((500, 24))
+    near = base[:200] + rng.standard_normal((200, 24)) * 0.25
+    group = base[499] + rng.standard_normal((60, 24)) * 0.02
+    rows = [(i, x.tolist(), 1) for i, x in enumerate(np.concatenate([base, near, group]))]
+    for name, value in (("WINDOW", 4), ("ORDERS", 1), ("ROUNDS", 0), ("EXTRA", 0), ("AUDITED", audited)):
+        monkeypatch.setattr(nn_descent, name, value)
+    # Too few orders, as for signs that crowd together.
+    monkeypatch.setattr(nn_descent, "MISS", 0.5, raising=False)
+    got = {r[0]: tuple(r)[1:] for r in nn_descent.near_duplicate_vectors(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == brute(rows, 0.93)
+
+
+def test_orders_grow_with_the_label():
+    few, some, many = nn_descent.orders_needed(np.array([200, 20_000, 400_000]), 0.93)
+    assert nn_descent.ORDERS <= few < some < many < 50
