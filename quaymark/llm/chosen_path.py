@@ -5,9 +5,11 @@ independent trees branch the sets: at a node the tree picks one coordinate of th
 (the pick depends on the node alone) and sends each set to the child named by its token
 there, so two sets stay together with a probability equal to their Jaccard similarity at
 each step.  Nodes of at most ``LEAF`` sets are compared exhaustively on the token vectors;
-larger ones are compared with one pivot each and branch on.  A pair that is together in
-no tree is the method's only loss; with similarity ``s`` and leaves ``d`` steps down its
-probability is about ``(1 - s**d) ** trees``.
+larger ones are compared with one pivot each and branch on: a large root node several times
+over, with other coordinates, so that more trees are grown for the sets of large nodes only.
+A pair that is together in no leaf or last node is the method's only loss; the number of
+branches follows from the threshold and ``DEPTH``, so that a pair at the threshold is lost
+with a probability of at most ``MISS`` (``miss``, over the tokens that such a pair shares).
 
 What is proposed is confirmed on full shingle sets.  Links to anchors (the smallest member
 of a leaf, the pivot of a large node) come first; other pairs are confirmed only if their
@@ -24,6 +26,7 @@ each of its rows; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,6 +43,7 @@ TOKENS = 64
 TREES = 12
 LEAF = 32
 DEPTH = 5
+MISS = 1e-4
 ANCHOR_GROUP = 256
 
 _SEEDS = np.random.default_rng(7).integers(1, 2**63, (2, TOKENS), dtype=np.uint64) | np.uint64(1)
@@ -71,6 +75,31 @@ def _child(nodes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return mix(nodes * np.uint64(3) + mix(chosen + np.uint64(1)))
 
 
+def _children(nodes: np.ndarray, tokens: np.ndarray, branches: int) -> Iterator[np.ndarray]:
+    """The child of each node in each of so many branches."""
+    for branch in range(branches):
+        yield _child(mix(nodes + np.uint64(branch)) if branch else nodes, tokens)
+
+
+def miss(percent: int, branches: int) -> float:
+    """Probability that a pair at the threshold shares no last node: the mean over how many of its tokens agree."""
+    s, total = percent / 100, 0.0
+    for equal in range(TOKENS + 1):
+        p = equal / TOKENS
+        below = 1 - (1 - p**DEPTH) ** branches
+        total += math.comb(TOKENS, equal) * s**equal * (1 - s) ** (TOKENS - equal) * (1 - p * below) ** TREES
+    return total
+
+
+def branches_needed(percent: int) -> int:
+    """Fewest branches of a large root node that lose a pair at the threshold with ``MISS`` at most."""
+    branches = 1
+    # No number of branches does better than the roots alone.
+    while miss(percent, branches) > max(MISS, 1.01 * miss(percent, 1 << 20)):
+        branches += 1
+    return branches
+
+
 def _unpack(packed: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(packed), np.uint32).reshape(len(packed), TOKENS)
 
@@ -129,7 +158,7 @@ def _leaf_pairs(percent: int):
     return run
 
 
-def _grow(percent: int):
+def _grow(percent: int, branches: int):
     """Rows of large nodes: a pair with the pivot, and the row's place in the next level."""
     floor = _floor(percent)
 
@@ -142,7 +171,8 @@ def _grow(percent: int):
             near = ((tokens == pivots).sum(1) >= floor) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (part["rep"] != part["pivot"]).to_numpy()
             found = _pairs(part["rep"].to_numpy()[near], part["pivot"].to_numpy()[near], True)
             yield pd.DataFrame({"pair": True, "a": found["a"], "b": found["b"]})
-            yield pd.DataFrame({"pair": False, "a": _child(part["node"].to_numpy().view(np.uint64), tokens).view(np.int64), "b": part["rep"]})
+            for child in _children(part["node"].to_numpy().view(np.uint64), tokens, branches):
+                yield pd.DataFrame({"pair": False, "a": child.view(np.int64), "b": part["rep"]})
 
     return run
 
@@ -152,7 +182,7 @@ def candidates(reps: DataFrame, percent: int) -> tuple[list[DataFrame], DataFram
     spark = reps.sparkSession
     frontier = materialize(reps.select("rep", "tokens").mapInPandas(_roots, "node long, rep long"), "roots")
     proposed: list[DataFrame] = []
-    for _ in range(DEPTH):
+    for step in range(DEPTH):
         sizes = frontier.groupBy("node").agg(F.count("*").alias("members"), F.min("rep").alias("pivot")).where("members > 1")
         nodes = materialize(frontier.join(sizes, "node"), "nodes")
         rows = nodes.join(reps, "rep")
@@ -165,7 +195,7 @@ def candidates(reps: DataFrame, percent: int) -> tuple[list[DataFrame], DataFram
             return proposed, spark.createDataFrame([], "node long, rep long")
         pivot_of = sizes.where(F.col("members") > LEAF).select("node", "pivot").join(pivots, "pivot")
         large = large.drop("pivot", "members").join(pivot_of, "node")
-        grown = materialize(large.mapInPandas(_grow(percent), "pair boolean, a long, b long"), "grown")
+        grown = materialize(large.mapInPandas(_grow(percent, 1 if step else branches_needed(percent)), "pair boolean, a long, b long"), "grown")
         proposed.append(grown.where("pair").select("a", "b", F.lit(True).alias("anchor")))
         frontier = grown.where("not pair").select(F.col("a").alias("node"), F.col("b").alias("rep"))
     sizes = frontier.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,3 +64,21 @@ def test_keep_one(docs, no_docs):
     assert len(ids) == len(set(ids)) and None in ids and 3 in ids and 70 not in ids
     assert chosen_path.keep_one_of_each(no_docs).count() == 0
     assert chosen_path.near_duplicates(docs.where(F.col("doc_id") == 80)).collect()[0].asDict() == {"doc_id": 80, "n_shingles": 0, "component_id": 80, "kept": True}
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_pairs_at_the_threshold_share_a_last_node(percent):
+    rng = np.random.default_rng(1)
+    pairs = 20_000
+    one = rng.integers(0, 1 << 32, (pairs, chosen_path.TOKENS), dtype=np.uint32)
+    other = np.where(rng.random(one.shape) < percent / 100, one, rng.integers(0, 1 << 32, one.shape, dtype=np.uint32))
+    together = np.zeros(pairs, bool)
+    for tree in range(chosen_path.TREES):
+        start = chosen_path.mix(np.full(pairs, 1000 + tree, np.uint64))
+        roots = [chosen_path._child(start, t) for t in (one, other)]
+        for ends in zip(*(chosen_path._children(r, t, chosen_path.branches_needed(percent)) for r, t in zip(roots, (one, other)))):
+            for _ in range(chosen_path.DEPTH - 1):
+                ends = [chosen_path._child(e, t) for e, t in zip(ends, (one, other))]
+            together |= ends[0] == ends[1]
+    # By `miss`, one branch loses about 970 and 240 of them.
+    assert (~together).sum() <= 10
