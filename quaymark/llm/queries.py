@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from quaymark.llm import (
+    audit_repair,
     bloom_lm,
     byte_bpe,
     chosen_path,
@@ -16,14 +17,20 @@ from quaymark.llm import (
     linked_secrets,
     nearest_centroid,
     nn_descent,
+    phrase_index,
     segment_search,
+    stratified_search,
     temperature_mix,
     weak_pii,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {"op4_licence_scan": licence_scan.oracle()}
+ORACLES: dict[str, str] = {
+    "op4_licence_scan": licence_scan.oracle(),
+    "op11_stratified_search": stratified_search.oracle(),
+    "op12_phrase_index": phrase_index.oracle(),
+}
 
 
 def query(function: Query) -> Query:
@@ -39,6 +46,10 @@ def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
 
 
+def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
 def _remainder(parts: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % parts
 
@@ -115,6 +126,25 @@ def op10_bloom_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", F.coalesce(_remainder(10) == 0, F.lit(False)))
 
 
+@query
+def op11_stratified_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for each item of the benchmark."""
+    return stratified_search.search(_documents(spark, sf_dir), _benchmark(spark, sf_dir), k=50)
+
+
+@query
+def op12_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in passages of ten words of the benchmark."""
+    return phrase_index.digest(phrase_index.contamination(_documents(spark, sf_dir), _benchmark(spark, sf_dir), words=10))
+
+
+@query
+def op13_audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, its cheapest audit, and a digest of the repaired rows."""
+    rows = audit_repair.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return audit_repair.digest(*audit_repair.repair(rows))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, applied to the documents."""

@@ -17,14 +17,17 @@ def folder(spark, docs, tmp_path_factory):
     docs.select(*DOCUMENTS).write.parquet(f"{path}/documents.parquet")
     vectors = [(i, [float((i * k) % 7 - 3) for k in range(1, 9)], i % 2) for i in range(50)]
     spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{path}/embeddings.parquet")
+    spark.createDataFrame([(1, "two words and more"), (2, None)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    turns = [(i // 4, i % 4, ("user", "assistant")[i % 2], f"turn {i}.") for i in range(40)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{path}/conversations.parquet")
     return path
 
 
 def test_names():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in queries.QUERIES) == 1
     assert queries.QUERIES.items() <= __spark_entry__.queries().items()
-    assert "op4_licence_scan" in __spark_entry__.oracle_sql()
+    assert {"op4_licence_scan", "op11_stratified_search", "op12_phrase_index"} <= __spark_entry__.oracle_sql().keys()
 
 
 COLUMNS = {
@@ -38,6 +41,9 @@ COLUMNS = {
     "op8": ["vec_id", "n_links", "component_id", "kept"],
     "op9": ["doc_id", "held_out", "lang_pred", "score"],
     "op10": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+    "op11": ["item_id", "rank", "doc_id", "score"],
+    "op12": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+    "op13": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
 }
 
 
