@@ -209,8 +209,9 @@ def _solve_segments(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for conv, seg, whole, packed in zip(batch["conv"], batch["seg"], batch["whole"], batch["rows"]):
             rows = np.asarray(packed, np.int64).reshape(-1, 3)
-            rows = rows[rows[:, 2] < 64]
             rows = rows[np.argsort(rows[:, 0])]
+            some = rows[:1, 0]  # where inserts stand in a segment whose rows were all dropped
+            rows = rows[rows[:, 2] < 64]
             turns, marks = rows[rows[:, 2] & 32 == 0, 1], rows[:, 2]
             blank = marks & _BLANK > 0
             duplicate = ~blank & (marks & _DUPLICATE > 0)
@@ -235,7 +236,7 @@ def _solve_segments(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     costs[4 * start + state], ranks[4 * start + state] = table[state][0], rank
                     audits[4 * start + state] = tree.text(table[state][1])
             summary = np.concatenate([np.array(facts, np.int64), costs, ranks]).tobytes()
-            out.append((conv, seg, rows[:, 0].tolist(), codes, audits, summary))
+            out.append((conv, seg, (rows[:, 0] if len(rows) else some).tolist(), codes, audits, summary))
         yield pd.DataFrame(out, columns=["conv", "seg", "places", "codes", "audits", "summary"])
 
 

@@ -103,7 +103,7 @@ def rows():
     return [*conversations(3, 60, 9), *long, (901, 1, "user", "x" * 300_000 + "."), (901, 2, "assistant", "y."), (901, 2, "assistant", "y.")]
 
 
-@pytest.mark.parametrize("segment", [1, 3, audit_repair.SEGMENT])
+@pytest.mark.parametrize("segment", [0, 1, 3, audit_repair.SEGMENT])
 def test_against_whole_strings(spark, rows, segment):
     frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
     for clash in ("place", "seg", "audit", "cost", "code", "conv", "copy", "id", "head"):
