@@ -183,3 +183,11 @@ def test_comparison_survives_hash_collisions(modulus):
         a, b = rng.choice(nodes), rng.choice(nodes)
         x, y = tree.text(a), tree.text(b)
         assert (tree.compare(a, b) > 0) - (tree.compare(a, b) < 0) == (x > y) - (x < y)
+
+
+def test_inserts_after_a_segment_without_rows(spark):
+    turn = next(t for t in range(1, 1000) if zlib.crc32(f"5:{t}".encode()) % 20 == 0 and zlib.crc32(f"5:{t - 1}".encode()) % 20 > 4)
+    frame = spark.createDataFrame([(5, turn - 1, "user", "a."), (5, turn, "assistant", "b.")], SCHEMA)
+    found = audit_repair.digest(*audit_repair.repair(audit_repair.damage(frame), segment=0)).collect()
+    assert [(r["audit"], r["cost"]) for r in found] == [("KI", 3)]
+    assert found[0]["repaired_sha256"] == hashlib.sha256(b"user:a.\nassistant:").hexdigest()
