@@ -44,6 +44,7 @@ class JobConfig:
     slide_duration: str = "30 seconds"
     trigger_seconds: int = 10
     max_offsets: int | None = None
+    max_files: int | None = None
     tolerate_data_loss: bool = False
     output_mode: str = "update"
     time_zone: str = "Asia/Shanghai"
@@ -52,15 +53,15 @@ class JobConfig:
     log_level: str = "WARN"
 
     def __post_init__(self) -> None:
-        for name in ("write_partitions", "shuffle_partitions", "top_n", "trigger_seconds", "max_offsets"):
+        for name in ("write_partitions", "shuffle_partitions", "top_n", "trigger_seconds", "max_offsets", "max_files"):
             value = getattr(self, name)
             if value is not None and value <= 0:
                 raise ValueError(f"{name} must be positive")
         for name in ("min_support", "min_confidence"):
             if not 0.0 <= getattr(self, name) <= 1.0:
                 raise ValueError(f"{name} must be between 0 and 1")
-        if self.output_mode not in ("update", "complete"):
-            raise ValueError("output_mode must be update or complete")
+        if self.output_mode not in ("update", "complete", "append"):
+            raise ValueError("output_mode must be update, complete or append")
 
 
 def parse(arguments: Sequence[str]) -> JobConfig:

@@ -229,9 +229,12 @@ def event_slices(spark: SparkSession, sf_dir: str, parts: int = 3) -> list[DataF
     return [rows.filter(F.coalesce(place, F.lit(0)) == n) for n in range(parts)]
 
 
-def event_stream(spark: SparkSession, folder: str, schema) -> DataFrame:
-    """The events stored in ``folder`` as an unbounded frame with a zoned event time."""
-    rows = spark.readStream.schema(schema).parquet(folder)
+def event_stream(spark: SparkSession, folder: str, schema, max_files: int | None = None) -> DataFrame:
+    """The events stored in ``folder`` as an unbounded frame with a zoned event time; at most so many files a micro-batch."""
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    rows = reader.parquet(folder)
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

@@ -89,7 +89,7 @@ def store_batch(config: JobConfig, name: str, df: DataFrame) -> None:
         config,
         name,
         df,
-        lambda rows, target: jdbc.replace_batches(rows, target, name, writers=config.write_partitions),
+        lambda rows, target: jdbc.replace_in_transaction(rows, target, name, writers=config.write_partitions),
         file_sinks.replace_batches,
     )
 
@@ -226,7 +226,7 @@ def messages_of(spark: SparkSession, config: JobConfig, **options) -> DataFrame:
             fail_on_data_loss=not config.tolerate_data_loss,
             **options,
         )
-    return kafka.read_message_files(spark, config.input)
+    return kafka.read_message_files(spark, config.input, config.max_files)
 
 
 def _checkpoint(spark: SparkSession, config: JobConfig) -> str:
@@ -248,6 +248,20 @@ def _trigger(config: JobConfig) -> int | None:
     return None if config.drain else config.trigger_seconds
 
 
+def rejects_path(spark: SparkSession, config: JobConfig) -> str:
+    """Where a stream job stores the messages it rejects."""
+    return f"{config.output}/rejected_{config.job}" if config.output else f"{_checkpoint(spark, config)}-rejected"
+
+
+def _start(
+    spark: SparkSession, config: JobConfig, result: DataFrame, rejected: DataFrame, writer: runner.BatchWriter, mode: str
+) -> StreamingQuery:
+    """The result and, from the same micro-batches, the rejected messages."""
+    both = runner.with_rejects(result, rejected)
+    stored = runner.two_outputs(writer, rejects_path(spark, config))
+    return runner.start(both, stored, _checkpoint(spark, config), mode, _trigger(config))
+
+
 WINDOW_KEYS = ("window_start", "window_end", "category")
 
 
@@ -255,44 +269,56 @@ def start_category_stream(spark: SparkSession, config: JobConfig) -> StreamingQu
     """Sliding-window sales per category.
 
     Changed windows are stored (bounded state), in files or a database, unless the
-    ``complete`` result is asked for on every trigger.
+    ``complete`` result is asked for on every trigger, or (``append``) each window once,
+    when no more orders can come to it.
     """
+    good, bad = events.accepted_and_rejected(
+        messages_of(spark, config), events.ORDER_EVENT, "order_id", events.ORDER_FAULTS
+    )
     sales = aggregates.category_window_sales(
-        events.order_events(messages_of(spark, config)), config.window_duration, config.slide_duration
+        events.valid_order_events(good), config.window_duration, config.slide_duration
     )
-    target = target_of(config)
+    target, mode = target_of(config), config.output_mode
     path = f"{config.output}/rt_category_window_sales"
-    if target is not None and config.output_mode == "complete":
-        writer, mode = runner.table_refresh(target, "rt_category_window_sales"), "complete"
+    if target is not None and mode == "complete":
+        writer = runner.table_refresh(target, "rt_category_window_sales")
     elif target is not None:
-        writer, mode = runner.table_changes(target, "rt_category_window_sales", WINDOW_KEYS), "update"
-    elif config.output_mode == "complete":
-        writer, mode = runner.snapshots(path), "complete"
+        # A closed window is complete, so it replaces its rows like a changed one.
+        writer = runner.table_changes(target, "rt_category_window_sales", WINDOW_KEYS)
+    elif mode == "complete":
+        writer = runner.snapshots(path)
+    elif mode == "append":
+        writer = runner.closed_windows(path)
     else:
-        writer, mode = runner.change_log(path, WINDOW_KEYS, compact_every=100), "update"
-    return runner.start(sales, writer, _checkpoint(spark, config), mode, _trigger(config))
+        writer = runner.change_log(path, WINDOW_KEYS, compact_every=100)
+    return _start(spark, config, sales, bad, writer, mode)
+
+
+def _item_messages(spark: SparkSession, config: JobConfig) -> tuple[DataFrame, DataFrame]:
+    return events.accepted_and_rejected(messages_of(spark, config), events.ITEM_EVENT, "app_id")
 
 
 def start_item_stream(spark: SparkSession, config: JobConfig) -> StreamingQuery:
     """Cumulative item figures, replaced on every trigger."""
-    lines = messages_of(spark, config)
-    kpis = aggregates.cumulative_kpis(events.decode(lines, events.ITEM_EVENT, "app_id"))
+    good, bad = _item_messages(spark, config)
     target = target_of(config)
     writer = (
         runner.table_refresh(target, "realtime_game_stats")
         if target is not None
         else runner.snapshots(f"{config.output}/realtime_game_stats")
     )
-    return runner.start(kpis, writer, _checkpoint(spark, config), "complete", _trigger(config))
+    return _start(spark, config, aggregates.cumulative_kpis(good), bad, writer, "complete")
 
 
 def _start_windowed(
     spark: SparkSession, config: JobConfig, name: str, keys: tuple[str, ...], build: Callable[[DataFrame], DataFrame]
 ) -> StreamingQuery:
-    """Windows of item events kept as a change log: their state ends with the watermark."""
-    items = events.decode(messages_of(spark, config), events.ITEM_EVENT, "app_id")
-    writer = runner.change_log(f"{config.output}/{name}", keys, compact_every=100)
-    return runner.start(build(items), writer, _checkpoint(spark, config), "update", _trigger(config))
+    """Windows of item events kept as a change log, or stored once closed: their state ends with the watermark."""
+    good, bad = _item_messages(spark, config)
+    path = f"{config.output}/{name}"
+    if config.output_mode == "append":
+        return _start(spark, config, build(good), bad, runner.closed_windows(path), "append")
+    return _start(spark, config, build(good), bad, runner.change_log(path, keys, compact_every=100), "update")
 
 
 def start_item_window_stream(spark: SparkSession, config: JobConfig) -> StreamingQuery:
@@ -320,11 +346,14 @@ def start_genre_stream(spark: SparkSession, config: JobConfig) -> StreamingQuery
 
 
 def start_community_stream(spark: SparkSession, config: JobConfig) -> StreamingQuery:
-    """Price messages merged into running community totals, each micro-batch once."""
+    """Price messages added to running community totals in the stream's own state.
+
+    A micro-batch stores the totals of its own communities, whatever the number of all.
+    """
     lines = messages_of(spark, config, starting="earliest")
-    messages = events.decode(lines, events.PRICE_MESSAGE, "community")
-    merge = runner.additive_merge(f"{config.output}/certain_analysis")
-    return runner.start(messages, merge, _checkpoint(spark, config), "append", _trigger(config))
+    good, bad = events.accepted_and_rejected(lines, events.PRICE_MESSAGE, "community")
+    writer = runner.keyed_totals(f"{config.output}/certain_analysis")
+    return _start(spark, config, merge.running_totals(good), bad, writer, "update")
 
 
 BATCH_JOBS = {

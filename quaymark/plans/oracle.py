@@ -196,6 +196,15 @@ sliding AS (SELECT (s // 1800) * 1800 - 1800 * g AS ws, 'k' || k1 AS category, c
 sales AS (SELECT strftime(make_timestamp(ws * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start,
          strftime(make_timestamp((ws + 3600) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_end,
          category, n AS order_count, p::DOUBLE / 100 AS pay_amount FROM sliding)"""
+#: Arrival in slices of equal spans: rows of the first slice with event_id % 10 = 3 come with the last of three.
+ARRIVAL = """arrival AS (
+  SELECT *, CASE WHEN place = 0 AND event_id % 10 = 3 THEN 2 ELSE place END AS slice, s AS t FROM (
+    SELECT *, least(((s - lo) * 3) // (hi - lo + 1), 2) AS place
+    FROM secs, (SELECT min(epoch(date_trunc('second', ts))::BIGINT) AS lo, max(epoch(date_trunc('second', ts))::BIGINT) AS hi FROM ev))
+  WHERE event_type IN ('purchase', 'signup')),
+marks AS (SELECT b.slice, (SELECT max(t) - 120 FROM arrival a WHERE a.slice < b.slice) AS mark
+  FROM (SELECT DISTINCT slice FROM arrival) b),
+accepted AS (SELECT a.*, m.mark FROM arrival a JOIN marks m ON a.slice = m.slice)"""
 GENRE_WIN = """gw AS (SELECT g AS genre, count(*) AS n, (s // 3600) * 3600 AS ws
   FROM (SELECT s, event_type AS g FROM secs UNION ALL SELECT s, 'k' || k1 FROM secs) GROUP BY 1, 3),
 counts AS (SELECT genre, n AS count, strftime(make_timestamp(ws * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start,
@@ -466,6 +475,28 @@ def oracles() -> dict[str, str]:
         sum(n)::BIGINT AS order_count, sum(p)::DOUBLE / 100 AS pay_amount FROM sliding GROUP BY 1
         ORDER BY 1 DESC LIMIT 20""",
     )
+    sql["stream_rejected_messages"] = """SELECT CASE
+          WHEN event_type = 'error' OR event_id % 11 = 1 THEN 'invalid json'
+          WHEN event_id % 11 = 2 THEN 'wrong type pay_amount'
+          WHEN event_id % 11 = 3 THEN 'null order_id'
+          WHEN event_id % 11 = 4 THEN 'missing order_id'
+          WHEN event_id % 11 = 5 THEN 'unreadable order_time' ELSE 'accepted' END AS outcome, count(*) AS messages
+        FROM events WHERE event_type = 'error' OR event_id % 11 <> 6 GROUP BY 1"""
+    kept = """SELECT strftime(make_timestamp(ws * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start,
+        strftime(make_timestamp((ws + 3600) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_end, category,
+        count(*) AS order_count, sum(total)::DOUBLE / 100 AS pay_amount
+        FROM (SELECT *, {start} AS ws, 'k' || k1 AS category FROM accepted{shifts})
+        WHERE (mark IS NULL OR ws + 3600 > mark) {closed} GROUP BY ws, category"""
+    sql["stream_closed_windows"] = build(
+        [EV, WIN, ARRIVAL],
+        kept.format(
+            start="(s // 1800) * 1800 - 1800 * g",
+            shifts=", (SELECT unnest([0, 1]) AS g)",
+            closed="AND ws + 3600 <= (SELECT max(t) - 120 FROM arrival)",
+        ),
+    )
+    sql["stream_late_orders"] = build([EV, WIN, ARRIVAL], kept.format(start="(s // 3600) * 3600", shifts="", closed=""))
+    sql["stream_rate_limited"] = build([EV], f"SELECT {KPI}, true AS several_batches FROM ev")
     sql["stream_kpis"] = build([EV], f"SELECT {KPI} FROM ev")
     sql["stream_windowed_kpis"] = build(
         [EV, WIN],

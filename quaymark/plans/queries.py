@@ -426,8 +426,8 @@ def incremental_merge(spark, sf):
     while (batch_id := progress.next_batch(table, progress.last_processed(spark, marks))) is not None:
         file_sinks.save_messages(progress.pull_batch(table, batch_id), inbox)
         progress.save_processed(spark, marks, batch_id)
-    messages = events.decode(kafka.read_message_files(spark, inbox), events.PRICE_MESSAGE, "community")
-    runner.await_end(runner.start(messages, runner.additive_merge(state), checkpoint, mode="append"))
+    messages = events.decode(kafka.read_message_files(spark, inbox, max_files=4), events.PRICE_MESSAGE, "community")
+    runner.await_end(runner.start(merge.running_totals(messages), runner.keyed_totals(state), checkpoint))
     return serving.communities_by_mean(runner.community_means(spark, state))
 
 
@@ -529,6 +529,96 @@ def stream_top_genres(spark, sf):
     return serving.top_genres(_genre_counts(spark, sf))
 
 
+def _damaged(rows: DataFrame) -> DataFrame:
+    """Order messages, some of them damaged in one way or another, see ``event_json_validation``."""
+    messages, number = B.order_messages(rows), F.col("event_id") % 11
+    text = F.col("value")
+    damaged = (
+        F.when(F.col("event_type") == "error", F.substring(text, 1, 40))
+        .when(number == 1, F.concat(text, F.lit(" trailing")))
+        .when(number == 2, F.regexp_replace(text, '"pay_amount":[^,]*', '"pay_amount":"abc"'))
+        .when(number == 3, F.regexp_replace(text, '"order_id":"[0-9]*"', '"order_id":null'))
+        .when(number == 4, F.regexp_replace(text, '"order_id":"[0-9]*",', ""))
+        .when(number == 5, F.regexp_replace(text, '"order_time":"[^"]*"', '"order_time":"when?"'))
+        .when(number == 6, F.lit("   "))
+        .otherwise(text)
+    )
+    return messages.select(damaged.alias("value"))
+
+
+@query
+def stream_rejected_messages(spark, sf):
+    """Both outputs of one damaged stream: orders in its hourly windows, and rejected messages by reason.
+
+    The stream is restarted after each slice of events; every message is stored once, as an
+    order or as a reject with its reason.
+    """
+    path, rejects = scratch_path(spark, "window-sales"), scratch_path(spark, "rejects")
+
+    def build(rows):
+        good, bad = events.accepted_and_rejected(_damaged(rows), events.ORDER_EVENT, "order_id", events.ORDER_FAULTS)
+        every = [r[0] for r in B.table(spark, sf, "events").select("event_type").distinct().collect()]
+        sales = aggregates.category_window_sales(events.valid_order_events(good, every), "1 hour", None)
+        return runner.with_rejects(sales, bad)
+
+    _drain_in_slices(spark, sf, build, runner.two_outputs(runner.change_log(path), rejects))
+    kept = runner.latest_rows(spark, path, ["window_start", "window_end", "category"])
+    accepted = kept.agg(F.coalesce(F.sum("order_count"), F.lit(0)).alias("messages")).select(F.lit("accepted").alias("outcome"), "messages")
+    bad = runner.rejected_messages(spark, rejects).groupBy(F.col("reason").alias("outcome")).agg(F.count("*").alias("messages"))
+    return accepted.union(bad)
+
+
+def _drain_with_late_rows(spark, sf, build, writer, mode):
+    """Slices as in ``_drain_in_slices``, but some events of the first slice arrive with the last one."""
+    folder, checkpoint = scratch_path(spark, "arriving"), scratch_path(spark, "checkpoint")
+    parts = B.event_slices(spark, sf)
+    late = F.col("event_id") % 10 == 3
+    arriving = [parts[0].filter(~late), *parts[1:-1], parts[-1].unionByName(parts[0].filter(late))] if len(parts) > 1 else parts
+    for part in arriving:
+        part.write.mode("append").parquet(folder)
+        frame = build(B.event_stream(spark, folder, part.schema))
+        runner.await_end(runner.start(frame, writer, checkpoint, mode=mode))
+
+
+@query
+def stream_closed_windows(spark, sf):
+    """Windows that the watermark has closed, each emitted once; orders that come after that are dropped."""
+    path = scratch_path(spark, "closed-windows")
+
+    def build(rows):
+        messages = B.order_messages(rows).select("value")
+        return aggregates.category_window_sales(events.order_events(messages, B.EVENT_STATUSES), "1 hour", "30 minutes")
+
+    _drain_with_late_rows(spark, sf, build, runner.closed_windows(path), "append")
+    return runner.closed_rows(spark, path).drop("batch_id")
+
+
+@query
+def stream_late_orders(spark, sf):
+    """Orders of the open and closed windows of a stream with late rows, in update mode."""
+    path = scratch_path(spark, "late-orders")
+
+    def build(rows):
+        messages = B.order_messages(rows).select("value")
+        return aggregates.category_window_sales(events.order_events(messages, B.EVENT_STATUSES), "1 hour", None)
+
+    _drain_with_late_rows(spark, sf, build, runner.change_log(path), "update")
+    return runner.latest_rows(spark, path, ["window_start", "window_end", "category"]).drop("batch_id")
+
+
+@query
+def stream_rate_limited(spark, sf):
+    """Cumulative item figures from very many files, a few at a time, in one run without restarts."""
+    folder, path = scratch_path(spark, "arriving"), scratch_path(spark, "kpis")
+    rows = B.table(spark, sf, "events")
+    rows.repartition(8, "event_id").write.parquet(folder)
+    kpis = aggregates.cumulative_kpis(_item_events(B.event_stream(spark, folder, rows.schema, max_files=3)))
+    query = runner.start(kpis, runner.snapshots(path), scratch_path(spark, "checkpoint"), "complete")
+    runner.await_end(query)
+    batches = sum(p["numInputRows"] > 0 for p in query.recentProgress)
+    return runner.latest_snapshot(spark, path).drop("batch_id").withColumn("several_batches", F.lit(batches > 1))
+
+
 # --- sources and sinks -------------------------------------------------------
 @query
 def commerce_csv_roundtrip(spark, sf):

@@ -80,9 +80,55 @@ def replace_batches(
     """Make the batches in ``df`` appear exactly once, without touching other batches.
 
     The new rows are written out before anything is deleted.  If the append is cut
-    short, running the same batch again deletes its part and appends it whole.
+    short, part of them is missing until the same rows are written again: for rows that are
+    read back from the table itself use ``replace_in_transaction``.
     """
     rows = materialize(df, "jdbc-batches")
     values = [r[0] for r in rows.select(batch).distinct().collect()]
     delete_values(df.sparkSession, target, table, batch, values)
     append(rows, target, table, writers)
+
+
+def run_in_transaction(spark: SparkSession, target: JdbcTarget, statements: Sequence[str]) -> None:
+    """Run the statements from the driver, all or none of them."""
+    manager = spark._jvm.java.sql.DriverManager
+    properties = spark._jvm.java.util.Properties()
+    for key, value in target.properties().items():
+        properties.setProperty(key, value)
+    connection = manager.getConnection(target.url, properties)
+    try:
+        connection.setAutoCommit(False)
+        for statement in statements:
+            prepared = connection.prepareStatement(statement)
+            prepared.executeUpdate()
+            prepared.close()
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
+def replacement(table: str, staging: str, batch: str, columns: Sequence[str]) -> list[str]:
+    """Statements that put the batches of the staging table in place of those of the table."""
+    names = ", ".join(columns)
+    return [
+        f"DELETE FROM {table} WHERE {batch} IN (SELECT DISTINCT {batch} FROM {staging})",
+        f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging}",
+    ]
+
+
+def replace_in_transaction(
+    df: DataFrame, target: JdbcTarget, table: str, batch: str = "checkid", writers: int | None = None
+) -> None:
+    """Make the batches in ``df`` appear exactly once, without touching other batches.
+
+    The rows are written to a staging table in parallel, and one transaction then deletes
+    the batches and inserts them anew: whoever reads the table sees them before or after,
+    and a run cut short at any point leaves the table as it was.  Running it again starts
+    with a new staging table.  One writer per table.
+    """
+    staging = f"{table}_staging"
+    overwrite(df, target, staging, writers)
+    run_in_transaction(df.sparkSession, target, replacement(table, staging, batch, df.columns))

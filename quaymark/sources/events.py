@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType, StructType
@@ -80,11 +80,40 @@ def decode(lines: DataFrame, schema: str, key: str) -> DataFrame:
     return parsed(lines, schema).filter(F.col(key).isNotNull())
 
 
+#: What else makes an order message useless, as conditions on its fields.
+ORDER_FAULTS = {
+    "unreadable order_time": lambda row: parse_time(row["order_time"], L.TIME_FORMAT).isNull(),
+    "null category": lambda row: row["category"].isNull(),
+}
+
+
+def accepted_and_rejected(
+    lines: DataFrame, schema: str, key: str, faults: Mapping[str, Callable[[Column], Column]] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(typed good messages, ``(value, reason)`` of all others), for batch and streaming frames alike.
+
+    Every line that is not blank is in exactly one of the two: rejected are texts that are
+    not one JSON object, values that do not fit their field, a missing or null key, and
+    messages with one of the ``faults``.
+    """
+    marked = with_reason(lines, [key], schema)
+    # A generator is evaluated once per message, see parsed.
+    read = marked.select("value", "reason", F.explode(F.array(F.from_json("value", schema))).alias("row"))
+    reasons = [F.col("reason"), F.when(F.col("row")[key].isNull(), f"null {key}")]
+    reasons += [F.when(fault(F.col("row")), reason) for reason, fault in (faults or {}).items()]
+    judged = read.withColumn("reason", F.coalesce(*reasons))
+    return judged.filter("reason is null").select("row.*"), judged.filter("reason is not null").select("value", "reason")
+
+
 def order_events(lines: DataFrame, statuses: Sequence[str] = L.VALID_STATUSES) -> DataFrame:
     """Valid, timed, categorised order events with a default amount of 0."""
+    return valid_order_events(decode(lines, ORDER_EVENT, "order_id"), statuses)
+
+
+def valid_order_events(decoded: DataFrame, statuses: Sequence[str] = L.VALID_STATUSES) -> DataFrame:
+    """``order_events`` of decoded messages."""
     return (
-        decode(lines, ORDER_EVENT, "order_id")
-        .withColumn("event_ts", parse_time(F.col("order_time"), L.TIME_FORMAT))
+        decoded.withColumn("event_ts", parse_time(F.col("order_time"), L.TIME_FORMAT))
         .withColumn("pay_amount", F.coalesce(F.col("pay_amount"), F.lit(0.0)).cast(MONEY))
         .filter("event_ts is not null and category is not null")
         .filter(F.col("order_status").isin(*statuses))

@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quaymark.operators.merge import running_totals, with_mean
+from quaymark.operators.merge import merge_sums, running_totals, with_mean
 from quaymark.operators.ranking import keep_first
 from quaymark.session import materialize
 from quaymark.sinks import jdbc
@@ -215,7 +215,9 @@ def table_changes(target: jdbc.JdbcTarget, table: str, keys: Sequence[str]) -> B
     """Batch writer for update mode: windows that changed replace their rows in a database table.
 
     Windows are replaced whole by their end, so other windows of the table stay; a
-    micro-batch holds only categories that changed, the others are read back first.
+    micro-batch holds only categories that changed, the others are read back first.  The
+    replacement is one transaction, so a replay after a failure reads back what the first
+    attempt did and no category is lost.
     """
 
     def save(batch: DataFrame, batch_id: int, stream: str = "") -> None:
@@ -224,13 +226,69 @@ def table_changes(target: jdbc.JdbcTarget, table: str, keys: Sequence[str]) -> B
             "update_time", F.current_timestamp()
         )
         changed = materialize(stamped, "changed-windows")
-        ends = [r[0] for r in changed.select("window_end").distinct().collect()]
-        if not ends:
+        if changed.isEmpty():
             return
         stored = read_table(spark, target.url, table, properties=target.properties())
         same_windows = stored.join(changed.select("window_end").distinct(), "window_end", "left_semi")
         others = same_windows.join(changed.select(*keys), list(keys), "left_anti").select(*changed.columns)
-        jdbc.replace_batches(changed.unionByName(others), target, table, "window_end")
+        jdbc.replace_in_transaction(changed.unionByName(others), target, table, "window_end")
+
+    return save
+
+
+def closed_windows(path: str) -> BatchWriter:
+    """Batch writer for append mode: every row comes once, when the watermark has passed its window."""
+    return change_log(path)
+
+
+def closed_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All rows that append mode has emitted, with the number of the batch that did."""
+    return _log(spark, path).drop("place")
+
+
+# --- two outputs of one micro-batch ------------------------------------------
+def with_rejects(result: DataFrame, rejected: DataFrame) -> DataFrame:
+    """One stream of the rows of ``result`` and of rejected messages ``(value, reason)``.
+
+    Both sides read the same source, so a micro-batch of the one query holds the rejects of
+    the very messages its result is made of, in every output mode.  ``two_outputs`` stores them apart.
+    """
+    kind = result.select(F.struct(*result.columns).alias("row")).schema["row"].dataType
+    good = result.select(F.struct(*result.columns).alias("row"), *[F.lit(None).cast("string").alias(c) for c in ("value", "reason")])
+    return good.union(rejected.select(F.lit(None).cast(kind).alias("row"), "value", "reason"))
+
+
+def two_outputs(writer: BatchWriter, rejects: str) -> BatchWriter:
+    """Batch writer of a ``with_rejects`` stream: rows to ``writer``, rejects to a folder of this stream and batch.
+
+    A replayed batch replaces its rejects, so each is stored once.
+    """
+
+    def save(batch: DataFrame, batch_id: int, stream: str = "") -> None:
+        both = materialize(batch, "two-outputs")
+        bad = both.filter("reason is not null").select("value", "reason")
+        bad.write.mode("overwrite").parquet(f"{rejects}/stream={stream or 'none'}/batch_id={batch_id}")
+        writer(both.filter("reason is null").select("row.*"), batch_id, stream)
+
+    return save
+
+
+def rejected_messages(spark: SparkSession, path: str) -> DataFrame:
+    """``(value, reason, stream, batch_id)`` of every rejected message."""
+    return spark.read.schema("value string, reason string, stream string, batch_id bigint").parquet(path)
+
+
+# --- running totals ----------------------------------------------------------
+def keyed_totals(path: str, compact_every: int | None = 100) -> BatchWriter:
+    """Batch writer for totals per community that a stream keeps in its own state (update mode).
+
+    A micro-batch writes the totals of its communities only.  Totals of several streams into
+    one path add up, so each row names its stream.
+    """
+    log = change_log(path, ["stream", "community"], compact_every)
+
+    def save(batch: DataFrame, batch_id: int, stream: str = "") -> None:
+        log(batch.withColumn("stream", F.lit(stream or "none")), batch_id, stream)
 
     return save
 
@@ -247,4 +305,9 @@ def additive_merge(path: str) -> BatchWriter:
 
 
 def community_means(spark: SparkSession, path: str) -> DataFrame:
-    return with_mean(read_state(spark, path))
+    """Mean per community, from a log of totals or from merge state."""
+    state = read_state(spark, path)
+    if state is None:
+        totals = latest_rows(spark, path, ["stream", "community"])
+        state = merge_sums(None, totals, ["community"], ["number", "price_sum"])
+    return with_mean(state)

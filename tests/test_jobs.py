@@ -163,3 +163,36 @@ def test_publish_prices_resumes_after_the_mark(spark, tmp_path):
     assert jobs.run_publish_prices(spark, config) == {}
     sent = sorted(r["value"] for r in spark.read.text(f"{tmp_path}/out/messages").collect())
     assert sent == [f'{{"checkid":{n},"community":"a","price_per_sqm":{p}}}' for n, p in ((1, 5), (2, 7), (4, 9))]
+
+
+@pytest.mark.parametrize("job,schema_key", [("category-stream", "order_id"), ("item-stream", "app_id"), ("item-window-stream", "app_id"), ("genre-stream", "app_id"), ("community-stream", "community")])
+def test_every_stream_job_stores_its_rejects(spark, tmp_path, job, schema_key):
+    good = {
+        "order_id": json.dumps({"order_id": "o", "order_time": "2025-01-01 10:00:00", "category": "food", "pay_amount": 2.5, "order_status": "已支付"}, ensure_ascii=False),
+        "app_id": json.dumps({"app_id": 1, "price": 3.0, "genres": "[RPG]", "timestamp": "2025-01-01 10:00:00"}),
+        "community": json.dumps({"community": "x", "price_per_sqm": 5, "checkid": 1}),
+    }[schema_key]
+    for n in range(3):
+        write(tmp_path / "in", f"{n}.jsonl", good, ["{broken", '{"other": 1}', ""])
+    config = JobConfig(job=job, input=str(tmp_path / "in"), output=str(tmp_path / "out"), checkpoint=str(tmp_path / "c"), drain=True, max_files=1)
+    for _ in range(2):
+        query = jobs.STREAM_JOBS[job](spark, config)
+        runner.await_end(query)
+    bad = runner.rejected_messages(spark, jobs.rejects_path(spark, config)).collect()
+    assert sorted(r["reason"] for r in bad) == ["invalid json"] * 3 + [f"missing {schema_key}"] * 3
+    assert len({r["batch_id"] for r in bad}) == 3
+
+
+def test_append_job_stores_closed_windows(spark, tmp_path):
+    def order(minute):
+        return json.dumps({"order_id": "o", "order_time": f"2025-01-01 10:{minute}:00", "category": "food", "pay_amount": 2.5, "order_status": "已支付"}, ensure_ascii=False)
+
+    for n, minute in enumerate(("00", "30")):
+        write(tmp_path / "in", f"{n}.jsonl", order(minute), [])
+    config = JobConfig(job="category-stream", input=str(tmp_path / "in"), output=str(tmp_path / "out"), checkpoint=str(tmp_path / "c"),
+                       drain=True, max_files=1, output_mode="append", slide_duration="1 minute")
+    runner.await_end(jobs.start_category_stream(spark, config))
+    closed = runner.closed_rows(spark, f"{tmp_path}/out/rt_category_window_sales").collect()
+    assert [(r["window_start"].minute, r["order_count"]) for r in closed] == [(0, 1)]
+    with pytest.raises(ValueError):
+        JobConfig(output_mode="other")

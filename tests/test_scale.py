@@ -59,9 +59,19 @@ def commerce_tables(spark):
     return orders, items, products
 
 
-def test_hot_orders_and_products_are_split_in_joins(skewed, commerce_tables):
-    plan = executed(commerce.category_sales_rank(*commerce_tables, top_n=3))
-    assert plan.count("skew=true") >= 2
+def test_hot_products_are_split_and_hot_orders_summed_before_their_join(skewed, commerce_tables):
+    orders, items, products = commerce_tables
+    # The hot product is split by adaptive execution.
+    assert "skew=true" in executed(commerce.attach_category(items, products))
+    # The hot order has no hot key left in its join: its lines are summed before.
+    ranked = commerce.category_sales_rank(orders, items, products, top_n=3)
+    assert executed(ranked).count("skew=true") >= 1
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [i for i, line in enumerate(plan) if "Join" in line and "order_id" in line]
+    summed = [i for i, line in enumerate(plan) if "Aggregate" in line and "order_id" in line and "sum(" in line and "quantity" in line]
+    assert len(joins) == 1 and any(i > joins[0] for i in summed)
+    lines = commerce.attach_category(items, products).groupBy("order_id", "final_category").count()
+    assert lines.groupBy("order_id").count().agg(F.max("count")).first()[0] <= 8
 
 
 def test_hot_order_shrinks_before_the_basket_join(commerce_tables, rows):

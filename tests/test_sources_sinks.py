@@ -131,6 +131,26 @@ def test_deleting_batches_is_one_transaction():
     ]
 
 
+def test_statements_run_in_one_transaction_or_not_at_all():
+    connection = FakeConnection()
+    manager = SimpleNamespace(getConnection=lambda url, props: connection)
+    util = SimpleNamespace(Properties=lambda: FakeConnection())
+    spark = SimpleNamespace(_jvm=SimpleNamespace(java=SimpleNamespace(sql=SimpleNamespace(DriverManager=manager), util=util)))
+    statements = jdbc.replacement("t", "t_staging", "checkid", ["checkid", "v"])
+    jdbc.run_in_transaction(spark, jdbc.JdbcTarget("jdbc:x"), statements)
+    assert [c[0] for c in connection.log] == ["setAutoCommit", *["prepareStatement", "executeUpdate", "close"] * 2, "commit", "close"]
+    assert connection.log[4] == ("prepareStatement", "INSERT INTO t (checkid, v) SELECT checkid, v FROM t_staging")
+    connection.log.clear()
+
+    def fails(*_):
+        raise OSError("lost")
+
+    connection.executeUpdate = fails
+    with pytest.raises(OSError):
+        jdbc.run_in_transaction(spark, jdbc.JdbcTarget("jdbc:x"), statements)
+    assert [c[0] for c in connection.log][-2:] == ["rollback", "close"] and ("commit",) not in connection.log
+
+
 def test_replacing_batches_in_a_database_deletes_and_appends(spark, monkeypatch):
     done = []
     monkeypatch.setattr(jdbc, "delete_values", lambda _, target, table, column, values: done.append(("delete", table, column, sorted(values))))

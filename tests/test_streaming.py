@@ -272,3 +272,163 @@ def test_window_reports(spark, rows):
     assert serving.latest_rows(spark, "rt_windows", 2).count() == 2
     missing = serving.latest_rows(spark, "no_such_view")
     assert not serving.has_rows(missing)
+
+
+KEYS = ["window_start", "window_end", "category"]
+
+
+def damaged_sales(spark, folder, **kwargs):
+    lines = kafka.read_message_files(spark, str(folder))
+    good, bad = events.accepted_and_rejected(lines, events.ORDER_EVENT, "order_id", events.ORDER_FAULTS)
+    return runner.with_rejects(aggregates.category_window_sales(events.valid_order_events(good), **kwargs), bad)
+
+
+def test_every_message_is_accepted_or_rejected_with_a_reason(spark, rows, tmp_path):
+    lost = order("o9", "2025-01-01 10:00:00")
+    del lost["order_id"]
+    put(tmp_path, "a.jsonl", [
+        order("o1", "2025-01-01 10:00:00"), "{broken", "", "  ", "[1]", '{"order_id": "x"} tail', lost, order(None, "2025-01-01 10:00:00"),
+        order("o2", "when?"), order("o3", "2025-01-01 10:00:00", category=None), order("o4", "2025-01-01 10:00:00", amount="much"),
+    ])
+    good, bad = events.accepted_and_rejected(spark.read.text(str(tmp_path)), events.ORDER_EVENT, "order_id", events.ORDER_FAULTS)
+    assert [r["order_id"] for r in rows(good)] == ["o1"]
+    assert sorted(r["reason"] for r in rows(bad)) == sorted(
+        ["invalid json"] * 3 + ["missing order_id", "null order_id", "unreadable order_time", "null category", "wrong type pay_amount"]
+    )
+
+
+@pytest.mark.parametrize("mode", ["update", "complete", "append"])
+def test_rejects_are_a_second_output_of_the_same_batches(spark, box, mode):
+    folder, out, checkpoint = box
+    log = runner.snapshots(f"{out}/sales") if mode == "complete" else runner.change_log(f"{out}/sales")
+    writer = runner.two_outputs(log, f"{out}/rejects")
+    put(folder, "a.jsonl", [order("o1", "2025-01-01 10:00:10"), "{broken"])
+    drain(damaged_sales(spark, folder, slide=None), writer, checkpoint, mode)
+    put(folder, "b.jsonl", [order("o2", "2025-01-01 12:00:10"), "{worse", order("o3", "when?")])
+    drain(damaged_sales(spark, folder, slide=None), writer, checkpoint, mode)
+    drain(damaged_sales(spark, folder, slide=None), writer, checkpoint, mode)
+    bad = runner.rejected_messages(spark, f"{out}/rejects").collect()
+    assert sorted((r["value"][:6], r["reason"]) for r in bad if r["reason"] == "invalid json") == [("{broke", "invalid json"), ("{worse", "invalid json")]
+    assert sorted(r["reason"] for r in bad) == ["invalid json", "invalid json", "unreadable order_time"]
+    assert {r["stream"] for r in bad} == {runner.stream_id(spark, checkpoint)}
+    if mode == "complete":
+        assert runner.latest_snapshot(spark, f"{out}/sales").count() == 2
+    elif mode == "update":
+        assert runner.latest_rows(spark, f"{out}/sales", KEYS).count() == 2
+    else:  # only the first window is closed
+        assert [r["window_start"].hour for r in runner.closed_rows(spark, f"{out}/sales").collect()] == [10]
+
+
+def test_a_replayed_batch_stores_its_rejects_once(spark, tmp_path):
+    out = str(tmp_path)
+    result = spark.createDataFrame([("k", 1)], "key string, v int")
+    bad = spark.createDataFrame([("{x", "invalid json")], "value string, reason string")
+    save = runner.two_outputs(runner.change_log(f"{out}/log"), f"{out}/rejects")
+
+    def lost(*_):
+        raise OSError("lost between the two outputs")
+
+    with pytest.raises(OSError):
+        runner.two_outputs(lost, f"{out}/rejects")(runner.with_rejects(result, bad), 4, "s")
+    save(runner.with_rejects(result, bad), 4, "s")
+    save(runner.with_rejects(result, bad), 4, "s")
+    save(runner.with_rejects(result, bad.limit(0)), 5, "s")
+    assert [tuple(r) for r in runner.rejected_messages(spark, f"{out}/rejects").collect()] == [("{x", "invalid json", "s", 4)]
+    assert [tuple(r)[:2] for r in runner.latest_rows(spark, f"{out}/log", ["key"]).collect()] == [("k", 1)]
+
+
+def test_append_emits_closed_windows_once_and_drops_late_orders(spark, box):
+    folder, out, checkpoint = box
+    batches = [
+        [order("o1", "2025-01-01 10:00:10"), order("o2", "2025-01-01 10:00:40")],
+        [order("o3", "2025-01-01 10:00:50"), order("o4", "2025-01-01 11:00:00")],
+        [order("late", "2025-01-01 10:00:30"), order("o5", "2025-01-01 11:00:30"), order("o6", "2025-01-01 12:00:00")],
+        [order("late2", "2025-01-01 11:00:59"), order("o7", "2025-01-01 12:00:01")],
+    ]
+    emitted = []
+    for n, messages in enumerate(batches):
+        put(folder, f"{n}.jsonl", messages)
+        drain(sales_stream(spark, folder, slide=None), runner.closed_windows(out), checkpoint, "append")
+        emitted.append(sorted((r["window_start"].strftime("%H:%M"), r["order_count"]) for r in runner.closed_rows(spark, out).collect()))
+    assert emitted == [[], [("10:00", 3)], [("10:00", 3), ("11:00", 2)], [("10:00", 3), ("11:00", 2)]]
+
+
+class TwoTables:
+    """Stands in for a database table and its staging table; the transaction can be made to fail."""
+
+    def __init__(self, spark, rows, schema):
+        self.spark, self.schema, self.rows, self.staged, self.fails = spark, schema, rows, [], 0
+
+    def frame(self):
+        return self.spark.createDataFrame(self.rows, self.schema)
+
+    def stage(self, df, target, table, writers=None):
+        assert table == "t_staging"
+        self.staged = [tuple(r) for r in df.select(*[f.split()[0] for f in self.schema.split(", ")]).collect()]
+
+    def transaction(self, spark, target, statements):
+        assert statements[0] == "DELETE FROM t WHERE window_end IN (SELECT DISTINCT window_end FROM t_staging)"
+        assert statements[1].startswith("INSERT INTO t (") and statements[1].endswith(" FROM t_staging")
+        if self.fails:
+            self.fails -= 1
+            raise OSError("connection lost; nothing is committed")
+        ends = {r[1] for r in self.staged}
+        self.rows = [r for r in self.rows if r[1] not in ends] + self.staged
+
+
+def test_a_replay_after_a_failed_replacement_keeps_unchanged_categories(spark, monkeypatch):
+    at = lambda m: dt.datetime(2025, 1, 1, 10, m)
+    schema = "window_start timestamp, window_end timestamp, category string, order_count bigint, batch_id bigint, update_time timestamp"
+    old = [(at(0), at(1), "food", 2, 0, at(5)), (at(0), at(1), "toys", 7, 0, at(5)), (at(1), at(2), "food", 1, 0, at(5))]
+    tables = TwoTables(spark, list(old), schema)
+    monkeypatch.setattr(runner.jdbc, "overwrite", tables.stage)
+    monkeypatch.setattr(runner.jdbc, "run_in_transaction", tables.transaction)
+    monkeypatch.setattr(runner, "read_table", lambda *a, **k: tables.frame())
+    save = runner.table_changes(runner.jdbc.JdbcTarget("jdbc:x"), "t", KEYS)
+    changed = spark.createDataFrame([(at(0), at(1), "food", 3)], "window_start timestamp, window_end timestamp, category string, order_count bigint")
+    tables.fails = 1
+    with pytest.raises(OSError):
+        save(changed, 1, "s")
+    assert tables.rows == old
+    for _ in range(2):  # the replay, and a replay of what was committed
+        save(changed, 1, "s")
+        assert sorted((r[1].minute, r[2], r[3], r[4]) for r in tables.rows) == [(1, "food", 3, 1), (1, "toys", 7, 0), (2, "food", 1, 0)]
+    save(changed.limit(0), 2, "s")
+    assert len(tables.rows) == 3
+
+
+def totals_stream(spark, folder, **limits):
+    lines = kafka.read_message_files(spark, str(folder), **limits)
+    from quaymark.operators.merge import running_totals
+
+    return running_totals(events.decode(lines, events.PRICE_MESSAGE, "community"))
+
+
+def test_totals_in_stream_state_write_only_their_batch(spark, box, tmp_path):
+    folder, out, checkpoint = box
+    put(folder, "a.jsonl", [message(f"c{i}", i) for i in range(200)] + [message("", 1), "{broken"])
+    drain(totals_stream(spark, folder), runner.keyed_totals(out), checkpoint)
+    put(folder, "b.jsonl", [message("c7", 13, 2)])
+    drain(totals_stream(spark, folder), runner.keyed_totals(out), checkpoint)
+    drain(totals_stream(spark, folder), runner.keyed_totals(out), checkpoint)
+    # The second micro-batch, after a restart, wrote the one total that changed.
+    second = spark.read.parquet(f"{out}/place=1")
+    assert [(r["community"], r["number"], r["price_sum"]) for r in second.collect()] == [("c7", 2, 20)]
+    got = {r["community"]: (r["number"], r["averageprice"]) for r in runner.community_means(spark, out).collect()}
+    assert len(got) == 200 and got["c7"] == (2, 10) and got["c8"] == (1, 8)
+    # Another stream into the same totals adds to them.
+    other = tmp_path / "other"
+    put(other, "a.jsonl", [message("c7", 70), message("new", 1)])
+    drain(totals_stream(spark, other), runner.keyed_totals(out), f"{checkpoint}-2")
+    got = {r["community"]: (r["number"], r["averageprice"]) for r in runner.community_means(spark, out).collect()}
+    assert got["c7"] == (3, 30) and got["new"] == (1, 1) and len(got) == 201
+
+
+def test_a_rate_limit_makes_several_batches_of_one_run(spark, box):
+    folder, out, checkpoint = box
+    for n in range(5):
+        put(folder, f"{n}.jsonl", [message("x", n)])
+    query = runner.start(totals_stream(spark, folder, max_files=2), runner.keyed_totals(out, compact_every=2), checkpoint)
+    assert runner.await_end(query, timeout=120)
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [2, 2, 1]
+    assert [tuple(r) for r in runner.community_means(spark, out).collect()] == [("x", 5, 2)]
