@@ -169,6 +169,15 @@ def tag_baskets(items: DataFrame, column: str = "Tags") -> DataFrame:
     return listed.filter(F.size("items") > 1)
 
 
+def item_lists(pairs: DataFrame, basket: str, item: str, at_least: int = 1) -> DataFrame:
+    """The distinct items of each basket as an ``items`` array, for FP-Growth.
+
+    Repeats go before the shuffle, so a basket is bounded by the number of different items.
+    """
+    lists = pairs.filter(F.col(item).isNotNull()).groupBy(basket).agg(F.array_sort(F.collect_set(item)).alias("items"))
+    return lists.filter(F.size("items") >= at_least).select("items")
+
+
 def fit_frequent_items(
     baskets: DataFrame,
     min_support: float = 0.02,
@@ -188,3 +197,9 @@ def frequent_itemsets(model) -> DataFrame:
 
 def association_rules(model) -> DataFrame:
     return model.associationRules
+
+
+def rules_of(model, digits: int = 6) -> DataFrame:
+    """Association rules with their sides in order and rounded ratios."""
+    sides = [F.array_sort(c).alias(c) for c in ("antecedent", "consequent")]
+    return association_rules(model).select(*sides, *[F.round(c, digits).alias(c) for c in ("confidence", "lift", "support")])

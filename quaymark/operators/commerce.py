@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quaymark.functions import labels as L
 from quaymark.functions.expressions import exact_ratio, first_reached
-from quaymark.operators.ranking import sorted_report, top_per_group, with_global_ntile
+from quaymark.operators.ranking import sorted_report, top_per_group, with_tiles
+from quaymark.session import materialize
 
 
 def attach_category(order_items: DataFrame, products: DataFrame) -> DataFrame:
@@ -139,12 +140,11 @@ def user_value(valid: DataFrame, users: DataFrame) -> DataFrame:
     """Quintile scores for recency, frequency and amount, and the level of their sum.
 
     Equal values are ordered by user id, so scores are reproducible.  Orders
-    are scanned once: the first ranking (by last date, which sorts as
-    descending recency) stores the per-user table the later steps read.
+    are scanned once, into a stored table per user; the borders of all quintiles are
+    searched for there together (by last date, which sorts as descending recency).
     """
-    scored = user_activity(valid)
-    for name, column in (("r_score", "last_date"), ("f_score", "frequency"), ("m_score", "monetary")):
-        scored = with_global_ntile(scored, [F.asc(column), F.asc("user_id")], 5, name)
+    activity = materialize(user_activity(valid), "user-activity")
+    scored = with_tiles(activity, {"r_score": "last_date", "f_score": "frequency", "m_score": "monetary"}, "user_id", 5)
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     return (
         with_recency(scored)

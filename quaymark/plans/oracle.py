@@ -363,6 +363,24 @@ def oracles() -> dict[str, str]:
         WHERE p.items IN (a.items || ',' || c.items, c.items || ',' || a.items)
           AND p.freq::DOUBLE / a.freq >= 0.1""",
     )
+    itemsets = """lists AS (SELECT order_id, list(DISTINCT category) AS cats FROM items JOIN vo USING (order_id)
+          WHERE category IS NOT NULL GROUP BY 1),
+        n AS (SELECT count(*) AS n FROM lists),
+        names AS (SELECT DISTINCT unnest(cats) AS c FROM lists),
+        frequent AS (SELECT [c] AS s, (SELECT count(*) FROM lists WHERE list_contains(cats, c)) AS freq FROM names),
+        grown AS (
+          SELECT s, freq FROM frequent WHERE freq >= ceil(0.002 * (SELECT n FROM n))
+          UNION ALL
+          SELECT g.s || [c] AS s, count(*) AS freq FROM grown g JOIN names ON c > g.s[len(g.s)]
+            JOIN lists ON list_has_all(cats, g.s || [c]) GROUP BY g.s, c HAVING count(*) >= ceil(0.002 * (SELECT n FROM n)))"""
+    head = "WITH RECURSIVE " + ",\n".join([*COMMERCE, itemsets])
+    sql["order_itemsets"] = head + "\nSELECT array_to_string(s, ',') AS items, freq FROM grown"
+    sql["order_itemset_rules"] = head + """
+        SELECT array_to_string(a.s, ',') AS antecedent, c.s[1] AS consequent, round(z.freq::DOUBLE / a.freq, 6) AS confidence,
+          round((z.freq::DOUBLE / a.freq) / (c.freq::DOUBLE / n.n), 6) AS lift, round(z.freq::DOUBLE / n.n, 6) AS support
+        FROM grown z, grown a, grown c, n
+        WHERE len(c.s) = 1 AND len(a.s) = len(z.s) - 1 AND list_contains(z.s, c.s[1])
+          AND a.s = list_filter(z.s, lambda x: x <> c.s[1]) AND z.freq::DOUBLE / a.freq >= 0.05"""
     sql["developer_ranking"] = build([CAT, DEVS, ECO], "SELECT * FROM eco")
     sql["developer_listing"] = build(
         [CAT, DEVS, ECO], "SELECT * FROM eco ORDER BY game_count DESC, developer NULLS FIRST LIMIT 10"
@@ -510,6 +528,33 @@ def oracles() -> dict[str, str]:
         "SELECT * FROM counts ORDER BY count DESC, window_end DESC, genre LIMIT 10",
     )
 
+    # SQL over views
+    sql["sql_category_days"] = build(
+        [*COMMERCE, RANKED],
+        """SELECT category, count(*) AS days, count(*) FILTER (rk <= 1) AS days_best, sum(am)::DOUBLE / 100 AS amount_sum,
+        (SELECT count(DISTINCT nullif(c_mktsegment, 'FURNITURE')) FROM customer) AS member_levels FROM ranked GROUP BY 1""",
+    )
+    sql["sql_listing_aliases"] = build(
+        [LST, AREA, COMMUNITY, YEARS],
+        f"""SELECT 'area' AS alias, count(*) AS result_rows, count(DISTINCT checkid) AS batches, sum(house_count)::BIGINT AS listings FROM area
+        UNION ALL SELECT 'community', count(*), count(DISTINCT checkid), sum(house_count)::BIGINT FROM com
+        UNION ALL SELECT 'year', count(*), count(DISTINCT checkid), sum(house_count)::BIGINT FROM years
+        UNION ALL SELECT 'district', count(*), count(DISTINCT checkid), sum(house_count)::BIGINT
+          FROM (SELECT {_stats('district', 'std_price')} FROM lst WHERE pps > 0 GROUP BY 1, 2)""",
+    )
+    sql["sql_report_bundles"] = build(
+        [CAT, MARKET, PRICES, TAGS, DEVS, ECO],
+        """SELECT * FROM (VALUES ('market', 'market/trend', (SELECT count(*) FROM trend)), ('market', 'market/summary', 1),
+          ('pricing', 'pricing/data', (SELECT count(*) FROM buckets)),
+          ('genres', 'genres/tags', (SELECT least(count(*), 50) FROM tagd)), ('genres', 'genres/top', (SELECT least(count(*), 20) FROM tagd)),
+          ('developer', 'developer/data', (SELECT least(count(*), 30) FROM eco)), ('developer', 'developer/summary', 1),
+          ('overview', 'overview/overview', 1), ('overview', 'market/summary', 1), ('overview', 'developer/summary', 1))
+          v(topic, report, result_rows)""",
+    )
+    sql["sql_latest_windows"] = build(
+        [EV, WIN], "SELECT * FROM sales ORDER BY window_end DESC, window_start, category LIMIT 20"
+    )
+
     # sources and sinks
     sql["commerce_csv_roundtrip"] = """SELECT o_orderkey::VARCHAR AS order_id, o_custkey::VARCHAR AS user_id,
         strftime(o_orderdate, '%Y-%m-%d') AS stat_date, hour(o_orderdate)::BIGINT AS stat_hour,

@@ -16,9 +16,10 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from quaymark.config import JobConfig
 from quaymark.functions import labels as L
 from quaymark.operators import baskets, catalogue, cleaning, commerce, listings, merge
-from quaymark.plans import bindings as B, serving
+from quaymark.plans import bindings as B, jobs, serving
 from quaymark.session import materialize, scratch_path
 from quaymark.sinks import contracts, files as file_sinks
 from quaymark.sources import events, files, kafka, progress
@@ -305,6 +306,22 @@ def fp_rules(spark, sf):
     )
 
 
+def _order_categories(spark, sf):
+    """Frequent sets of the categories of one order, of any size."""
+    pairs = baskets.order_baskets(B.valid_orders(spark, sf), B.order_items(spark, sf), B.products(spark, sf))
+    return baskets.fit_frequent_items(baskets.item_lists(pairs, "order_id", "category"), 0.002, 0.05)
+
+
+@query
+def order_itemsets(spark, sf):
+    return baskets.frequent_itemsets(_order_categories(spark, sf))
+
+
+@query
+def order_itemset_rules(spark, sf):
+    return baskets.rules_of(_order_categories(spark, sf))
+
+
 @query
 def developer_ranking(spark, sf):
     return _ecosystem(spark, sf)
@@ -619,6 +636,81 @@ def stream_rate_limited(spark, sf):
     return runner.latest_snapshot(spark, path).drop("batch_id").withColumn("several_batches", F.lit(batches > 1))
 
 
+# --- SQL over registered views -----------------------------------------------
+def _stored(spark, results) -> str:
+    """A result folder as the batch jobs leave it."""
+    root = scratch_path(spark, "results")
+    for name, (store, df) in results.items():
+        store(JobConfig(output=root), name, df)
+    return root
+
+
+@query
+def sql_category_days(spark, sf):
+    """Days on which a category was ranked, and was best, from stored ranks: SQL text with bound values over views."""
+    root = _stored(spark, {"ads_category_sales_rank": (jobs.store, _ranked(spark, sf))})
+    files.register_views({"ranks": spark.read.parquet(f"{root}/ads_category_sales_rank"), "members": B.users(spark, sf)})
+    return serving.sql_report(
+        spark,
+        """SELECT category, count(*) AS days, count_if(category_rank <= :best) AS days_best, sum(amount_sum) AS amount_sum,
+                  (SELECT count(DISTINCT member_level) FROM members) AS member_levels
+           FROM ranks WHERE order_count >= :orders GROUP BY category""",
+        best=1,
+        orders=1,
+    )
+
+
+@query
+def sql_listing_aliases(spark, sf):
+    """The listing results under their public aliases, each as a view: rows, batches and listings counted in SQL."""
+    facts = materialize(B.listing_facts(spark, sf), "facts")
+    results = {
+        "area_price_analysis": listings.area_price,
+        "district_house_price_analysis": listings.district_price,
+        "house_year_analysis": listings.year_layout,
+        "community_price_analysis": listings.community_price,
+    }
+    registry = jobs.report_registry(spark, _stored(spark, {n: (jobs.store_batch, f(facts)) for n, f in results.items()}))
+    views = registry.register(*jobs.LISTING_ALIASES)
+    parts = [
+        serving.sql_report(
+            spark,
+            f"SELECT :alias AS alias, count(*) AS result_rows, count(DISTINCT checkid) AS batches, sum(house_count) AS listings FROM {view}",
+            alias=alias,
+        )
+        for alias, view in views.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def sql_report_bundles(spark, sf):
+    """Rows of every report of the catalogue topics, from stored results through the bundles."""
+    results = {
+        "analysis_market_trend": _market,
+        "analysis_pricing_review": _prices,
+        "analysis_genre_tags": _tags,
+        "analysis_developer_ecosystem": _ecosystem,
+        "catalogue_overview": lambda spark, sf: catalogue.overview(B.catalogue(spark, sf)),
+    }
+    registry = jobs.report_registry(spark, _stored(spark, {n: (jobs.store, f(spark, sf)) for n, f in results.items()}))
+    parts = []
+    for topic in ("market", "pricing", "genres", "developer", "overview"):
+        files.register_views({f"{topic}__{name.replace('/', '__')}": df for name, df in jobs.bundle(registry, topic).items()})
+        parts += [
+            serving.sql_report(spark, f"SELECT :topic AS topic, :report AS report, count(*) AS result_rows FROM {topic}__{name.replace('/', '__')}", topic=topic, report=name)
+            for name in jobs.bundle(registry, topic)
+        ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def sql_latest_windows(spark, sf):
+    """The last 20 window rows of a stream, read from a registered view by its sort column."""
+    files.register_views({"window_sales": _window_sales(spark, sf)})
+    return serving.latest_rows(spark, "window_sales", serving.bounded_limit("20", 10, 100), None, "window_end", "window_start", "category").drop("batch_id")
+
+
 # --- sources and sinks -------------------------------------------------------
 @query
 def commerce_csv_roundtrip(spark, sf):

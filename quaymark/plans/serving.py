@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from quaymark.functions import labels as L
 from quaymark.functions.expressions import enum_position, exact_avg, exact_ratio
 from quaymark.operators.ranking import bounded_limit, top_k
+from quaymark.sources.files import register_views
 
 
 # --- sales -------------------------------------------------------------------
@@ -148,11 +149,13 @@ def window_trend(sales: DataFrame, windows: int = 20) -> DataFrame:
     return top_k(totals, [F.desc("window_end")], windows).orderBy("window_end")
 
 
-def latest_rows(spark: SparkSession, view: str, n: int = 1, schema: str | None = None) -> DataFrame:
-    """The last ``n`` rows of a result view by window end; an empty frame if there is no such view."""
+def latest_rows(
+    spark: SparkSession, view: str, n: int = 1, schema: str | None = None, by: str = "window_end", *ties: str
+) -> DataFrame:
+    """The last ``n`` rows of a result view by a column, equals by ``ties``; an empty frame if there is no such view."""
     if not spark.catalog.tableExists(view):
-        return spark.createDataFrame([], schema or "window_end timestamp")
-    return top_k(spark.table(view), [F.desc("window_end")], n)
+        return spark.createDataFrame([], schema or f"{by} timestamp")
+    return top_k(spark.table(view), [F.desc(by), *[F.asc(c) for c in ties]], n)
 
 
 def top_genres(counts: DataFrame, k: int = 10) -> DataFrame:
@@ -259,3 +262,14 @@ class Registry:
 
     def bundle(self, *names: str) -> dict[str, DataFrame]:
         return {name: self.get(name) for name in names}
+
+    def register(self, *names: str) -> dict[str, str]:
+        """Make the named tables views of the session, a ``/`` in a name as ``_``; the view of each name."""
+        views = {name: name.replace("/", "_") for name in names}
+        register_views({views[name]: self.get(name) for name in names})
+        return views
+
+
+def sql_report(spark: SparkSession, text: str, **values: object) -> DataFrame:
+    """A report as SQL text over registered views; values are bound to its ``:name`` markers, never put into the text."""
+    return spark.sql(text, args=values)

@@ -1,4 +1,5 @@
 import random
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -75,3 +76,49 @@ def test_global_ntile_equals_ntile(spark, values):
 def test_global_position_of_nothing(spark):
     df = spark.createDataFrame([], "id bigint, v int")
     assert R.with_global_ntile(df, [F.asc("v")], 5, "t").collect() == []
+
+
+def tile_rows(count, seed):
+    rng = random.Random(seed)
+    values = [rng.choice([None, 1, 2, 2, 2, rng.randrange(1000)]) for _ in range(count)]
+    return [(i, f"u{i:05d}", v, None if v is None else v // 300, Decimal(rng.randrange(10**6)).scaleb(-2)) for i, v in enumerate(values)]
+
+
+@pytest.mark.parametrize("count,tiles,sample", [(0, 5, 16), (1, 5, 16), (3, 5, 16), (7, 5, 16), (2000, 5, 128), (2001, 4, 100_000)])
+def test_tiles_by_selection_equal_the_window(spark, count, tiles, sample):
+    df = spark.createDataFrame(tile_rows(count, count), "id long, name string, v int, few int, money decimal(10,2)")
+    for key in ("id", "name"):
+        names = {"tv": "v", "tf": "few", "tm": "money"}
+        got = R.with_tiles(df, names, key, tiles, sample)
+        for name, column in names.items():
+            got = got.withColumn(f"w_{name}", F.ntile(tiles).over(Window.orderBy(F.asc(column), F.asc(key))))
+        assert got.where(" or ".join(f"{n} <> w_{n}" for n in names)).count() == 0
+        assert got.count() == count
+
+
+def test_selection_narrows_its_brackets_and_sorts_nothing(spark, monkeypatch):
+    df = spark.range(0, 50_000, numPartitions=8).select("id", F.pmod(F.xxhash64("id"), F.lit(97)).alias("v"))
+    sizes = []
+    narrow = R._narrowed
+    monkeypatch.setattr(R, "_narrowed", lambda found, *rest: sizes.append(len(found)) or narrow(found, *rest))
+    tiled = R.with_tiles(df, {"t": "v"}, "id", 5, sample=600)
+    assert sizes and max(sizes) <= 600
+    plan = tiled._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    counts = [r["n"] for r in tiled.groupBy("t").agg(F.count("*").alias("n")).collect()]
+    assert counts == [10_000] * 5
+
+
+def test_a_bracket_that_missed_is_corrected(spark, monkeypatch):
+    df = spark.range(3000).select("id", (F.col("id") * 7 % 3000).alias("v"))
+    narrow, calls = R._narrowed, []
+
+    def wrong(found, *rest):
+        calls.append(1)
+        if len(calls) > 4:
+            return narrow(found, *rest)
+        return (found[0], found[1], 5) if len(calls) % 2 else (found[-2], found[-1], 5)
+
+    monkeypatch.setattr(R, "_narrowed", wrong)
+    found = R.select_ranks(df, {"v": [1, 1500, 3000]}, "id", 100)
+    assert found == {("v", r): (r - 1, (r - 1) * 2143 % 3000) for r in (1, 1500, 3000)} and len(calls) > 4
