@@ -11,12 +11,17 @@ A pair that is together in no leaf or last node is the method's only loss; the n
 branches follows from the threshold and ``DEPTH``, so that a pair at the threshold is lost
 with a probability of at most ``MISS`` (``miss``, over the tokens that such a pair shares).
 
-What is proposed is confirmed on full shingle sets.  Links to anchors (the smallest member
-of a leaf, the pivot of a large node) come first; other pairs are confirmed only if their
-ends are not yet in one component, which leaves the components as they would be with all
-links.  Sets that stay in a large node after ``DEPTH`` steps (they agree in so many tokens
-that they are near copies) are compared with the members of their node that belong to
-another component, block by block.
+What is proposed is confirmed on full shingle sets.  Pairs with anchors (for each member of a
+leaf the smallest that looks alike, for one of a large node its pivot) come first.  Other
+pairs matter only between components: the members of leaves with more pairs that look alike, and
+of large nodes left after ``DEPTH`` steps, are compared on full sets in rounds.  In a round
+each member outside its node's most frequent component looks for one link to another
+component; what is found joins components, and members without a link are done.  That
+leaves the components as they would be with all links, and the rows of a round are at most one
+for each member and block.
+
+A pair is looked at in leaves and with pivots only if ``_floor`` of its tokens agree, which
+loses a pair at the threshold with a probability of about 1.4e-5 (0.8) and 3.0e-5 (0.85) more.
 
 Defined results: null or wordless texts have an empty set and link with nothing; texts
 with fewer words than a shingle are one shingle; exact copies are linked through their
@@ -34,7 +39,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quaymark.llm.batches import groups, map_texts, slices
-from quaymark.llm.blocks import compare_blocks
 from quaymark.llm.components import connected_components
 from quaymark.llm.text import mix, shingle_sets
 from quaymark.session import materialize
@@ -45,6 +49,8 @@ LEAF = 32
 DEPTH = 5
 MISS = 1e-4
 ANCHOR_GROUP = 256
+#: Shingles of a block of sets that are compared with another block, about.
+ENTRIES = 1 << 19
 
 _SEEDS = np.random.default_rng(7).integers(1, 2**63, (2, TOKENS), dtype=np.uint64) | np.uint64(1)
 _NODE = np.uint64(0xA0761D6478BD642F)
@@ -133,12 +139,8 @@ def _roots(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"node": _child(start, tokens).view(np.int64), "rep": part["rep"]})
 
 
-def _pairs(a: np.ndarray, b: np.ndarray, anchor: np.ndarray | bool) -> pd.DataFrame:
-    low = a < b
-    return pd.DataFrame({"a": np.where(low, a, b), "b": np.where(low, b, a), "anchor": anchor})
-
-
 def _leaf_pairs(percent: int):
+    """For each member of a leaf a pair with the smallest that looks alike; then the members of all other pairs that do."""
     floor = _floor(percent)
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,11 +151,12 @@ def _leaf_pairs(percent: int):
             fits = 100 * np.minimum.outer(sizes, sizes) >= percent * np.maximum.outer(sizes, sizes)
             i, j = np.nonzero(np.triu((same >= floor) & fits, 1))
             if len(i):
-                first = np.concatenate([[True], np.zeros(len(i) - 1, bool)])
                 order = np.lexsort((i, j))
                 i, j = i[order], j[order]
-                first[1:] = j[1:] != j[:-1]
-                yield _pairs(reps[i], reps[j], first)
+                first = np.concatenate([[True], j[1:] != j[:-1]])
+                yield pd.DataFrame({"pair": True, "a": reps[i[first]], "b": reps[j[first]]})
+                more = np.unique(np.concatenate([i[~first], j[~first]]))
+                yield pd.DataFrame({"pair": False, "a": leaf["node"].iloc[0], "b": reps[more]})
 
     return run
 
@@ -169,37 +172,40 @@ def _grow(percent: int, branches: int):
             tokens, pivots = _unpack(part["tokens"]), _unpack(part["pivot_tokens"])
             n, m = part["n"].to_numpy(), part["pivot_n"].to_numpy()
             near = ((tokens == pivots).sum(1) >= floor) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (part["rep"] != part["pivot"]).to_numpy()
-            found = _pairs(part["rep"].to_numpy()[near], part["pivot"].to_numpy()[near], True)
-            yield pd.DataFrame({"pair": True, "a": found["a"], "b": found["b"]})
+            one, other = part["rep"].to_numpy()[near], part["pivot"].to_numpy()[near]
+            yield pd.DataFrame({"pair": True, "a": np.minimum(one, other), "b": np.maximum(one, other)})
             for child in _children(part["node"].to_numpy().view(np.uint64), tokens, branches):
                 yield pd.DataFrame({"pair": False, "a": child.view(np.int64), "b": part["rep"]})
 
     return run
 
 
-def candidates(reps: DataFrame, percent: int) -> tuple[list[DataFrame], DataFrame]:
-    """Tables of ``(a, b, anchor)``, and the ``(node, rep)`` rows still in large nodes after the last step."""
+def candidates(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``(a, b)`` with anchors, and ``(node, rep)`` of the nodes that may hold other pairs."""
     spark = reps.sparkSession
     frontier = materialize(reps.select("rep", "tokens").mapInPandas(_roots, "node long, rep long"), "roots")
-    proposed: list[DataFrame] = []
+    proposed = spark.createDataFrame([], "a long, b long")
+    suspects = spark.createDataFrame([], "node long, rep long")
     for step in range(DEPTH):
         sizes = frontier.groupBy("node").agg(F.count("*").alias("members"), F.min("rep").alias("pivot")).where("members > 1")
         nodes = materialize(frontier.join(sizes, "node"), "nodes")
         rows = nodes.join(reps, "rep")
         leaves = rows.where(F.col("members") <= LEAF).select("node", "rep", "n", "tokens")
         leaves = leaves.repartition("node").sortWithinPartitions("node")
-        proposed.append(materialize(leaves.mapInPandas(_leaf_pairs(percent), "a long, b long, anchor boolean"), "leaf_pairs"))
+        alike = materialize(leaves.mapInPandas(_leaf_pairs(percent), "pair boolean, a long, b long"), "leaf_pairs")
+        proposed = proposed.union(alike.where("pair").select("a", "b"))
+        suspects = suspects.union(alike.where("not pair").select(F.col("a").alias("node"), F.col("b").alias("rep")))
         pivots = reps.select(F.col("rep").alias("pivot"), F.col("n").alias("pivot_n"), F.col("tokens").alias("pivot_tokens"))
         large = rows.where(F.col("members") > LEAF)
         if nodes.where(F.col("members") > LEAF).isEmpty():
-            return proposed, spark.createDataFrame([], "node long, rep long")
+            return proposed, suspects
         pivot_of = sizes.where(F.col("members") > LEAF).select("node", "pivot").join(pivots, "pivot")
         large = large.drop("pivot", "members").join(pivot_of, "node")
         grown = materialize(large.mapInPandas(_grow(percent, 1 if step else branches_needed(percent)), "pair boolean, a long, b long"), "grown")
-        proposed.append(grown.where("pair").select("a", "b", F.lit(True).alias("anchor")))
+        proposed = proposed.union(grown.where("pair").select("a", "b"))
         frontier = grown.where("not pair").select(F.col("a").alias("node"), F.col("b").alias("rep"))
     sizes = frontier.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
-    return proposed, materialize(frontier.join(sizes.select("node"), "node"), "stuck")
+    return proposed, suspects.union(frontier.join(sizes.select("node"), "node"))
 
 
 def _confirm(words: int, percent: int):
@@ -239,21 +245,73 @@ def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, words: int, pe
     return materialize(rows.mapInPandas(_confirm(words, percent), "u long, v long"), "confirmed")
 
 
-def _stuck_pairs(percent: int):
-    floor = _floor(percent)
+def _one_link_each(words: int, percent: int):
+    """For each query of a block one row of another component that its full set links it with."""
 
-    def run(one: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
-        first, second = _unpack(one["tokens"]), _unpack(other["tokens"])
-        found = []
-        for k, row in enumerate(first):
-            near = np.flatnonzero(((second == row).sum(1) >= floor) & (other["component"] != one["component"].iloc[k]).to_numpy())
-            if len(near):
-                found.append(_pairs(np.full(len(near), one["rep"].iloc[k]), other["rep"].to_numpy()[near], False))
-        return pd.concat(found) if found else pd.DataFrame({"a": [], "b": [], "anchor": []})
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block in groups(batches, ["node", "q", "r"]):
+            asks = block["asks"].to_numpy()
+            if asks.all() or not asks.any():
+                continue
+            sets = shingle_sets(block["text"].tolist(), words)
+            label, rep = block["component"].to_numpy(), block["rep"].to_numpy()
+            rows = np.flatnonzero(~asks)
+            sizes = np.array([len(sets[k]) for k in rows])
+            known, place = np.unique(np.concatenate([sets[k] for k in rows]), return_inverse=True)
+            starts = np.cumsum(sizes) - sizes
+            found = []
+            for q in np.flatnonzero(asks):
+                own = sets[q]
+                at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                mark = np.zeros(len(known), np.int32)
+                mark[at[known[at] == own]] = 1
+                common = np.add.reduceat(mark[place], starts)
+                linked = np.flatnonzero((100 * common >= percent * (len(own) + sizes - common)) & (label[rows] != label[q]))
+                if len(linked):
+                    found.append((block["node"].iloc[0], rep[q], label[q], label[rows[linked[0]]]))
+            yield pd.DataFrame(found, columns=["node", "rep", "u", "v"], dtype="int64")
 
     return run
 
 
+def _dealt(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """``rows (node, rep, n)`` with a block of about ``ENTRIES`` shingles, and the number of blocks of each node."""
+    blocks = rows.groupBy("node").agg(F.ceil(F.sum("n") / ENTRIES).cast("int").alias(f"{name}s"))
+    return rows.join(blocks, "node").withColumn(name, F.pmod(F.xxhash64("rep"), F.col(f"{name}s")).cast("int")).drop(f"{name}s"), blocks
+
+
+def joined_components(suspects: DataFrame, single: DataFrame, components: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The components after all links inside the nodes of ``suspects`` are taken in, see the rounds above."""
+    label = F.coalesce("component", "rep").alias("component")
+    rows = suspects.distinct().join(components.withColumnRenamed("node", "rep"), "rep", "left").select("node", "rep", label)
+    rows = materialize(rows, "suspects")
+    counts = rows.groupBy("node", "component").agg(F.count("*").alias("members"))
+    homes = counts.groupBy("node").agg(F.max_by("component", F.struct("members", "component")).alias("home"), F.count("*").alias("kinds")).where("kinds > 1")
+    rows = materialize(rows.join(homes.select("node", "home"), "node").join(single.select("rep", "n"), "rep"), "mixed_nodes")
+    queries = rows.where("component <> home").select("node", "rep")
+    rows = rows.drop("home")
+    while not queries.isEmpty():
+        asking = rows.join(queries, ["node", "rep"])
+        asked, q_blocks = _dealt(asking, "q")
+        others, r_blocks = _dealt(rows.join(queries.select("node").distinct(), "node"), "r")
+        every = lambda number: F.explode(F.sequence(F.lit(0), F.col(number) - 1))
+        left = asked.join(r_blocks, "node").select("node", "rep", "component", "q", every("rs").alias("r"), F.lit(True).alias("asks"))
+        right = others.join(q_blocks, "node").select("node", "rep", "component", every("qs").alias("q"), "r", F.lit(False).alias("asks"))
+        routes = materialize(left.union(right), "block_routes")
+        needed = texts.join(routes.select("rep").distinct(), "rep", "left_semi")
+        blocks = routes.join(needed, "rep").repartition("node", "q", "r").sortWithinPartitions("node", "q", "r")
+        found = materialize(blocks.mapInPandas(_one_link_each(words, percent), "node long, rep long, u long, v long"), "bridges")
+        if found.isEmpty():
+            break
+        moved = materialize(connected_components(found.select("u", "v").distinct()), "moved")
+        new = moved.select(F.col("node").alias("component"), F.col("component").alias("new"))
+        relabelled = components.join(new, "component", "left").select("node", F.coalesce("new", "component").alias("component"))
+        components = materialize(relabelled.union(moved.join(components, "node", "left_anti").select("node", "component")), "components")
+        rows = materialize(rows.join(new, "component", "left").select("node", "rep", F.coalesce("new", "component").alias("component"), "n"), "mixed_nodes")
+        queries = found.select("node", "rep").distinct()
+    return components
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` of each row of ``docs (doc_id, text)``.
 
@@ -268,24 +326,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # Ids are meant to be unique; one with several texts stands for the first of its sets.
     single = reps.groupBy("rep").agg(F.min_by("tokens", F.struct("fp1", "fp2")).alias("tokens"), F.min_by("n", F.struct("fp1", "fp2")).alias("n"))
     single = materialize(single, "nodes_of_sets")
-    proposed, stuck = candidates(single, percent)
-    pairs = proposed[0]
-    for more in proposed[1:]:
-        pairs = pairs.union(more)
-    pairs = materialize(pairs.groupBy("a", "b").agg(F.max("anchor").alias("anchor")), "proposed")
+    pairs, suspects = candidates(single, percent)
     # The text of a set is that of its smallest document.
     texts = docs.join(single.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    links = confirmed(pairs.where("anchor").select("a", "b"), single, texts, words, percent)
+    links = confirmed(pairs, single, texts, words, percent)
     components = materialize(connected_components(links), "components")
-    for rest in (pairs.where("not anchor").select("a", "b"), None):
-        if rest is None:
-            rest = _stuck(stuck, single, components, percent)
-        if rest is None:
-            break
-        open_pairs = materialize(_apart(rest, components), "open_pairs")
-        if not open_pairs.isEmpty():
-            links = materialize(links.union(confirmed(open_pairs, single, texts, words, percent)), "links")
-            components = materialize(connected_components(links), "components")
+    components = joined_components(suspects, single, components, texts.withColumnRenamed("doc_id", "rep"), words, percent)
     named = reps.select("fp1", "fp2", "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("fp1", "fp2", F.coalesce("component", "rep").alias("component_id"))
     result = signed.drop("tokens").join(named, ["fp1", "fp2"], "left")
@@ -293,25 +339,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     return result.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id").isNull() | (component == F.col("doc_id"))).alias("kept"))
 
 
-def _apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
-    """The pairs whose ends are not in one component."""
-    one = components.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    other = components.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    return pairs.join(one, "a", "left").join(other, "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
-
-
-def _stuck(stuck: DataFrame, single: DataFrame, components: DataFrame, percent: int) -> DataFrame | None:
-    """Pairs of one large last node that lie in different components, or None if there are none."""
-    rows = stuck.join(components.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = rows.groupBy("node").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    if mixed.isEmpty():
-        return None
-    rows = materialize(rows.join(mixed, "node").join(single, "rep"), "stuck_rows")
-    queries = rows.where("component <> low").select("node", "rep", "component", "tokens")
-    found = compare_blocks(queries, rows.select("node", "rep", "component", "tokens"), ["node"], ["rep"], _stuck_pairs(percent), "a long, b long, anchor boolean", "stuck")
-    return materialize(found.select("a", "b").distinct(), "stuck_pairs")
-
-
 def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one document of each group.
 

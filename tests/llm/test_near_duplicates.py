@@ -1,3 +1,4 @@
+import functools
 import random
 
 import numpy as np
@@ -57,6 +58,37 @@ def test_large_group_of_near_copies_keeps_a_bridge(spark, monkeypatch):
     assert got == {i: c for i, (_, c, _) in brute(rows, 3, 85).items()}
 
 
+@functools.cache
+def brute_of(rows):
+    return brute(rows, 3, 85)
+
+
+@pytest.mark.parametrize("entries", [1 << 19, 4000])
+def test_two_large_groups_and_their_bridges(spark, monkeypatch, entries):
+    """2,000 near copies around two bases that are not alike, a few texts between them, and a chain in one leaf."""
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(60)]
+    other = base[:51] + [f"v{k}" for k in range(9)]  # 49 of 67 shingles: below the threshold
+    rows = []
+    for i in range(2000):
+        near = list(base if i % 2 else other)
+        if i > 1:
+            near[rng.randrange(2, 58)] = f"x{i}"
+        rows.append((i, " ".join(near)))
+    rows.append((5000, " ".join(base[:55] + other[55:])))
+    chain = [f"c{k}" for k in range(120)]
+    for k in range(12):
+        rows.append((6000 + k, " ".join(chain)))
+        chain[10 * k : 10 * k + 2] = [f"y{k}", f"z{k}"]
+    rounds = []
+    cut = chosen_path._dealt
+    monkeypatch.setattr(chosen_path, "_dealt", lambda r, name: rounds.append(name) or cut(r, name))
+    monkeypatch.setattr(chosen_path, "ENTRIES", entries)
+    got = {r[0]: r[2] for r in chosen_path.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
+    assert got == {i: c for i, (_, c, _) in brute_of(tuple(rows)).items()}
+    assert rounds and len(rounds) <= 12
+
+
 def test_keep_one(docs, no_docs):
     kept = chosen_path.keep_one_of_each(docs)
     assert kept.columns == docs.columns
