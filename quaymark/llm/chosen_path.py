@@ -46,7 +46,7 @@ from quaymark.session import materialize
 TOKENS = 64
 TREES = 12
 LEAF = 32
-DEPTH = 5
+DEPTH = 2
 MISS = 1e-4
 ANCHOR_GROUP = 256
 #: Shingles of a block of sets that are compared with another block, about.
