@@ -71,7 +71,7 @@ def test_pipeline_stages(spark, folder, docs, corpus, tmp_path):
     assert len(outputs["language"]) == len(corpus) - 4
     kept = chosen_path.near_duplicates(docs, 5, 80).where("kept").select("doc_id").distinct().collect()
     assert {r["doc_id"] for r in outputs["near_duplicates"]} == {r[0] for r in kept} - {80, 81, 82, 88}
-    assert [r["doc_id"] for r in outputs["secrets"]].sort(key=str) == [r["doc_id"] for r in outputs["near_duplicates"]].sort(key=str)
+    assert sorted((r["doc_id"] for r in outputs["secrets"]), key=str) == sorted((r["doc_id"] for r in outputs["near_duplicates"]), key=str)
     assert {r["doc_id"] for r in outputs["mixing"]} <= {r["doc_id"] for r in outputs["secrets"]}
     masked = {r["doc_id"]: r["text"] for r in outputs["secrets"]}
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
