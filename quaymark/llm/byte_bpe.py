@@ -177,11 +177,13 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], column: str = "ids") ->
 
     def run(batches):
         for batch in batches:
-            table, values = held.value, batch.column(column)
+            table, lists = held.value, batch.column(column)
+            ids, ends, there = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy(), lists.is_valid().to_pylist()
+            if len(ids) and not ids.min() >= 0:
+                raise ValueError("ids have to be numbers of tokens")
             for place in range(0, batch.num_rows, 256):
                 part = batch.slice(place, 256)
-                lists = values.slice(place, 256)
-                made = [b"".join(map(table.__getitem__, ids.values.to_pylist())) if ids.is_valid else b"" for ids in lists]
+                made = [b"".join(map(table.__getitem__, ids[ends[i] : ends[i + 1]].tolist())) if there[i] else b"" for i in range(place, place + part.num_rows)]
                 arrays = [*part.columns, pa.array(made, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=out.names)
 
