@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quaymark.llm.spans import as_text, count_kind, in_order, locate, mask, overlaps
+from quaymark.llm.spans import as_text, clear_of, count_kind, in_order, locate, mask
 from quaymark.session import materialize
 
 BASE_KINDS = ["assign", "access", "hex"]
@@ -63,7 +63,7 @@ def find(docs: DataFrame, kept: list[str]) -> DataFrame:
     base = F.concat(*[locate(text, k, BASE[k], VALID[k]) for k in BASE_KINDS])
     weak = F.concat(*[locate(text, k, WEAK[k], VALID[k]) for k in WEAK_KINDS])
     rows = docs.select(F.struct(*kept).alias("doc"), base.alias("base"), weak.alias("weak"))
-    free = F.filter("weak", lambda w: ~F.exists("base", lambda b: overlaps(w, b)))
+    free = clear_of(F.col("weak"), F.col("base"))
 
     def parts(spans):
         return F.transform(spans, lambda s: s.dropFields("found"))

@@ -26,7 +26,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quaymark.llm.spans import as_text, count_kind, in_order, locate, overlaps
+from quaymark.llm.spans import as_text, clear_of, count_kind, cut, in_order, let, locate, pieces_of
 from quaymark.session import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -84,10 +84,11 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, "1").when(no, "0").otherwise("x")
 
 
-def _votes(kind: str, span: Column, text: Column, base: bool) -> Column:
+def _votes(kind: str, span: Column, pieces: Column, base: bool) -> Column:
     """One character for each labeler: 1 for yes, 0 for no, x for no vote."""
     found, number = span["found"], digits(span["found"])
-    near = F.lower(F.concat(F.substring(text, F.greatest(span["start"] - AROUND, F.lit(0)) + 1, F.least(span["start"], F.lit(AROUND))), F.lit("|"), F.substring(text, span["end"] + 1, AROUND)))
+    before = F.least(span["start"], F.lit(AROUND))
+    near = F.lower(F.concat(cut(pieces, span["start"] - before, before), F.lit("|"), cut(pieces, span["end"], F.lit(AROUND))))
     none = F.lit(False)
     shape = {
         "email": F.regexp_like(found, F.lit(r"[A-Za-z]{2,}$")),
@@ -123,13 +124,19 @@ def find(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", text.alias("text"))
 
     def judged(kind: str, pattern: str, valid, base: bool) -> Column:
-        spans = locate(F.col("text"), kind, pattern, valid)
-        return F.transform(spans, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), _votes(kind, s, F.col("text"), base).alias("votes"), _features(s).alias("features")))
+        def vote(s: Column, pieces: Column) -> Column:
+            return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), _votes(kind, s, pieces, base).alias("votes"), _features(s).alias("features"))
+
+        def all_of(spans: Column) -> Column:
+            votes = let(pieces_of(F.col("text")), lambda pieces: F.transform(spans, lambda s: vote(s, pieces)))
+            return F.when(F.size(spans) > 0, votes).otherwise(F.array())
+
+        return let(locate(F.col("text"), kind, pattern, valid), all_of)
 
     base = F.concat(*[judged(k, BASE[k], VALID[k], True) for k in KINDS])
     wider = F.concat(*[judged(k, WIDER[k], None, False) for k in KINDS])
     found = rows.select("doc_id", base.alias("base"), wider.alias("wider"))
-    free = F.filter("wider", lambda w: ~F.exists("base", lambda b: overlaps(w, b)))
+    free = clear_of(F.col("wider"), F.col("base"))
     return found.select("doc_id", "base", free.alias("wider"))
 
 

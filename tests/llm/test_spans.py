@@ -113,3 +113,32 @@ def test_reliabilities_tell_good_labelers():
 def test_empty(texts):
     none = texts.limit(0)
     assert weak_pii.personal_data(none).count() == 0 and linked_secrets.secrets(none).count() == 0 and linked_secrets.mask_secrets(none).count() == 0
+
+
+def test_masks_and_places_of_many_matches(spark):
+    # Blocks of matches, pieces of text, and code points beyond the first plane on their borders.
+    parts = [f"{'😀' * (i % 5)} token=abcdef{i:04d}{'é' * (i % 90)}" for i in range(1_000)]
+    text = "".join(f"{p} " for p in parts)
+    frame = spark.createDataFrame([(1, text), (2, "token=abcdef12"), (3, "x" * 3_000 + " token=abcdef12 ")], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in linked_secrets.mask_secrets(frame).collect()}
+    pattern = r"token=[A-Za-z0-9]+"
+    assert got == {1: re.sub(pattern, "[assign]", text), 2: "[assign]", 3: "x" * 3_000 + " [assign] "}
+    found = linked_secrets.digest(linked_secrets.secrets(frame)).where("doc_id = 1").first()
+    assert found["spans"] == ",".join(expected(text, "secrets")) and found["n_assign"] == 1_000
+
+
+def test_clear_of_matches_comparing_all_pairs(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from quaymark.llm.spans import clear_of
+
+    pick = random.Random(5)
+    spans = lambda n: [(a, a + pick.randint(1, 9)) for a in (pick.randint(0, 400) for _ in range(n))]
+    rows = [(i, spans(pick.choice([0, 1, 5, 200])), spans(pick.choice([0, 1, 7, 150]))) for i in range(60)]
+    kind = "array<struct<start: int, end: int>>"
+    got = spark.createDataFrame(rows, f"i int, own {kind}, other {kind}").select("i", clear_of(F.col("own"), F.col("other")).alias("free")).collect()
+    for i, own, other in rows:
+        free = [s for s in own if not any(s[0] < b and a < s[1] for a, b in other)]
+        assert [tuple(s) for s in got[i]["free"]] == free
