@@ -31,16 +31,19 @@ def compare_blocks(
     function: Callable[[pd.DataFrame, pd.DataFrame], Iterator[pd.DataFrame] | pd.DataFrame],
     schema: str,
     label: str,
+    query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """``function(query block, row block)`` for every pair of blocks with the same ``keys``.
 
+    A key's queries are dealt into a block for every ``query_block`` of them, up to 16 while these stay small.
+
     Both sides are dealt into blocks of at most about ``MOST_ROWS`` rows by a hash of
     ``identity``.  A query block is repeated for each row block of its key and the other
     way round, so no group ever holds more than one block of either side, and what a
     function returns should be much smaller than the pairs it looks at.
     """
     queries, rows = materialize(queries, f"{label}_queries"), materialize(rows, f"{label}_rows")
-    left, left_counts = _cut(queries, keys, identity, QUERY_BLOCK, "q")
+    left, left_counts = _cut(queries, keys, identity, query_block, "q")
     right, right_counts = _cut(rows, keys, identity, ROW_BLOCK, "r")
     left = left.join(right_counts, keys).withColumn("_r", F.explode(F.sequence(F.lit(0), F.col("_rs") - 1))).drop("_rs")
     right = right.join(left_counts, keys).withColumn("_q", F.explode(F.sequence(F.lit(0), F.col("_qs") - 1))).drop("_qs")

@@ -36,7 +36,11 @@ def whole(x):
     return x is not None and all(c is not None and math.isfinite(c) for c in x)
 
 
-def test_top_k(spark, table, vectors):
+@pytest.mark.parametrize("small", [False, True])
+def test_top_k(spark, table, vectors, monkeypatch, small):
+    if small:  # a first search that sets a line for the second, and many tiles
+        for name, value in (("SAMPLE", 100), ("QUERY_TILE", 3), ("ROW_TILE", 30), ("QUERY_BLOCK", 5)):
+            monkeypatch.setattr(segment_search, name, value)
     got = {}
     for r in segment_search.top_k(table, table.where("vec_id % 20 = 0"), 20, 64).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
@@ -54,6 +58,20 @@ def test_top_k(spark, table, vectors):
     assert segment_search.top_k(table, table.where("vec_id = 500"), 20, 64).count() == 0
 
 
+def test_bounds_exclude_most_pairs_and_no_result():
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((3000, 64))
+    x = np.floor(64 * x / np.linalg.norm(x, axis=1)[:, None]).astype(np.int64)
+    side = segment_search.Side(x, segment_search.statistics(x.astype(float)))
+    some = segment_search._cut(side, slice(0, 200))
+    scores = some.whole @ x.T
+    least = np.sort(scores, axis=1)[:, -20].astype(float)
+    i, j = segment_search.candidates(some, side, least)
+    assert len(i) < 0.1 * scores.size
+    assert (segment_search.products(some, side, i, j) == scores[i, j]).all()
+    assert set(zip(*np.nonzero(scores >= least[:, None]))) <= set(zip(i, j))
+
+
 def brute(vectors, threshold):
     rows = [(i, np.array(x, np.float32).astype(float), label) for i, x, label in vectors if i is not None and label is not None and whole(x) and any(x)]
     ids = sorted({i for i, _, _ in vectors if i is not None})
