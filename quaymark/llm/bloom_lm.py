@@ -10,17 +10,16 @@ to its level's end and all others down, so that the model never gives out more t
 
 The filter has about ten bits an entry at every size and holds all words and pairs.  It is
 split by segments of the hash: as many segments as ``MOST_BITS`` bits hold are sent to every
-task.  Keys of the other segments are packed by task and segment, meet the segment's block of
-the filter in a shuffle, and their levels go back to the packed tokens of the task's texts.
-Which segments are sent changes the work only, not a score.
+task.  Keys of the other segments are asked for: their levels come back from the segment's
+block of the filter.  Which segments are sent changes the work only, not a score.
 
 The base score needs exact counts of every word.  Words with more than a millionth of all
-training tokens, at most a million by definition, are sent to every task.  For the others,
-each task packs (word, document, count) by segments of the word hash; a segment meets the
-segment's exact counts, and sums per document come back.  No text is shuffled, and a segment
-holds no frequent word.
+training tokens, at most a million by definition, are sent to every task; the others are
+asked for.  A piece, some megabytes of text, sends each distinct key that it lacks once to the
+key's segment, packed; the answers meet the piece's packed tokens.  Both are shuffled only,
+not written besides, and pieces are named by their place and tokens, so that a task run again after a loss sends the same.
 
-Counts are collected the same way: a task counts some megabytes of text, sorts its hashes
+Counts are collected alike: a task counts some megabytes of text, sorts its hashes
 and packs them by segments, so a frequent word is one entry a task.  The number of segments
 grows with the text.
 
@@ -35,7 +34,7 @@ with no training text every probability is the base formula's, 1.
 from __future__ import annotations
 
 import math
-import uuid
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -43,7 +42,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from quaymark.llm.batches import slices
@@ -91,14 +90,16 @@ class Model:
 
 
 def _pack(values: np.ndarray) -> bytes:
-    """The smallest unsigned type that holds the values, and the values."""
-    most = int(values.max()) if len(values) else 0
-    width = next(w for w in (1, 2, 4, 8) if most < 1 << (8 * w))
-    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+    """The number of bytes that the largest value needs, and so many bytes of each value."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    return bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
 def _unpack(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype(np.uint64)
+    raw = np.frombuffer(packed, np.uint8, offset=1).reshape(-1, packed[0])
+    whole = np.zeros((len(raw), 8), np.uint8)
+    whole[:, : packed[0]] = raw
+    return whole.view("<u8").ravel()
 
 
 def _pack_sorted(keys: np.ndarray) -> bytes:
@@ -187,23 +188,29 @@ def _positions(keys: np.ndarray, level: int, which: int, segments: int, block: i
 
 
 def _build(segments: int, block: int):
-    """The filter block of one segment, from its words and pairs."""
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        segment = int(part["segment"].iloc[0])
-        made = np.zeros(block, bool)
-        for kind, packed, counts in zip(part["kind"], part["keys"], part["counts"]):
-            keys, counts = _unpack_sorted(packed), _unpack(counts)
-            levels = counts.astype(np.int64) if kind == "pair" else _levels(counts)
-            for level in range(1, int(levels.max(initial=0)) + 1):
-                keys, levels = keys[levels >= level], levels[levels >= level]
-                for which in range(HASHES):
-                    made[_positions(keys, level, which, segments, block) - segment * block] = True
-        return pd.DataFrame({"segment": [segment], "block": [np.packbits(made, bitorder="little").tobytes()]})
+    """The filter block that each row of counts, words or pairs of a segment, sets."""
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            for segment, kind, packed, counts in zip(part["segment"], part["kind"], part["keys"], part["counts"]):
+                made = np.zeros(block, bool)
+                keys, counts = _unpack_sorted(packed), _unpack(counts)
+                levels = counts.astype(np.int64) if kind == "pair" else _levels(counts)
+                for level in range(1, int(levels.max(initial=0)) + 1):
+                    keys, levels = keys[levels >= level], levels[levels >= level]
+                    for which in range(HASHES):
+                        made[_positions(keys, level, which, segments, block) - segment * block] = True
+                yield pd.DataFrame({"segment": [segment], "block": [np.packbits(made, bitorder="little").tobytes()]})
 
     return run
 
 
+def _united(part: pd.DataFrame) -> pd.DataFrame:
+    """A segment's block from those of its words and its pairs."""
+    bits = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in part["block"]])
+    return pd.DataFrame({"segment": part["segment"].iloc[:1], "block": [bits.tobytes()]})
+
+
 def learn(docs: DataFrame) -> Model:
     """Counts and filter from the texts of ``docs``."""
     texts = docs.select(F.col("text").cast("string").alias("text"))
@@ -218,7 +225,8 @@ def learn(docs: DataFrame) -> Model:
     entries = sum(level * n for level, n in by_level.items())
     block = (1 << math.ceil(math.log2(max(entries * BITS_PER_ENTRY, segments * 64)))) // segments
     held = min(segments, MOST_BITS // block)
-    built = counts.select("kind", "segment", "keys", "counts").groupBy("segment").applyInPandas(_build(segments, block), "segment int, block binary")
+    parts = counts.select("kind", "segment", "keys", "counts").mapInPandas(_build(segments, block), "segment int, block binary")
+    built = parts.groupBy("segment").applyInPandas(_united, "segment int, block binary")
     if held < segments:
         built = materialize(built, "lm_filter")
     size = block // 8
@@ -280,143 +288,151 @@ def _log_probabilities(tokens: np.ndarray, before: np.ndarray, model: Filter, pr
     return np.log10((joint + GAMMA * single) / (times + GAMMA))
 
 
-_SCORED = pa.schema([("packet", pa.bool_()), ("batch", pa.string()), ("place", pa.int32()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("partial", pa.float64()), ("score", pa.float64()), ("segment", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("times", pa.binary()), ("words", pa.binary()), ("pairs", pa.binary())])
-_SCORED_DDL = "packet boolean, batch string, place int, doc_id long, n_tokens long, known long, partial double, score double, segment int, keys binary, docs binary, times binary, words binary, pairs binary"
+_ASKED = pa.schema([("batch", pa.string()), ("segment", pa.int32()), ("words", pa.binary()), ("pairs", pa.binary())])
+_TEXTS = pa.schema([("batch", pa.string()), ("ids", pa.binary()), ("missing", pa.binary()), ("words", pa.binary()), ("places", pa.binary()), ("sizes", pa.binary())])
 
 
-def _rows(**columns) -> pa.RecordBatch:
-    size = len(next(iter(columns.values())))
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in _SCORED], schema=_SCORED)
+def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Name, rows, tokens and offsets of a few megabytes of text at a time; the same rows get the same name again."""
+    number, task = 0, TaskContext.get().partitionId()
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)) // SCORE_CHARS
+        bounds = np.flatnonzero(np.diff(sizes, prepend=-1)).tolist() + [batch.num_rows]
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            part = batch.slice(a, b - a)
+            tokens, offsets = _tokens(part.column("text").to_pylist())
+            yield f"{task}-{number}-{zlib.crc32(tokens):x}", part, tokens, offsets
+            number += 1
 
 
-def _asked(name: str, tokens: np.ndarray, offsets: np.ndarray, model: Filter) -> Iterator[pa.RecordBatch]:
-    """The packed tokens of a batch, without a segment, and its distinct keys by the segments that were not sent."""
-    words, where = np.unique(tokens, return_inverse=True)
-    pairs = np.unique(_pair_keys(_contexts(tokens, offsets), tokens))
-    yield _rows(packet=[True], batch=[name], words=[_pack_sorted(words)], docs=[_pack(where)], times=[_pack(np.diff(offsets))])
-    asked: dict[int, list] = {}
-    for kind, keys in enumerate((words, pairs)):
-        for s, at in _cuts(keys, model.segments):
-            if s >= model.held:
-                asked.setdefault(s, [None, None])[kind] = _pack_sorted(keys[at])
-    yield _rows(packet=[True] * len(asked), batch=[name] * len(asked), segment=list(asked), words=[k[0] for k in asked.values()], pairs=[k[1] for k in asked.values()])
+def _frequent(words: np.ndarray, model: Filter) -> tuple[np.ndarray, np.ndarray]:
+    """Which words are frequent, and the counts of those."""
+    at = np.minimum(np.searchsorted(model.frequent, words), max(len(model.frequent) - 1, 0))
+    hit = model.frequent[at] == words if len(model.frequent) else np.zeros(len(words), bool)
+    return hit, model.frequent_counts[at[hit]]
+
+
+def _asks(held: Broadcast):
+    """The keys a piece has to ask for, by segment: words that are not frequent, and all keys of segments that were not sent."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Filter = held.value
+        for name, _, tokens, offsets in _pieces(batches):
+            words = np.unique(tokens)
+            words = words[~_frequent(words, model)[0] | (_segment_of(words, model.segments) >= model.held)]
+            asked: dict[int, list] = {s: [_pack_sorted(words[at]), None] for s, at in _cuts(words, model.segments)}
+            if model.held < model.segments:
+                pairs = np.unique(_pair_keys(_contexts(tokens, offsets), tokens))
+                pairs = pairs[_segment_of(pairs, model.segments) >= model.held]
+                for s, at in _cuts(pairs, model.segments):
+                    asked.setdefault(s, [None, None])[1] = _pack_sorted(pairs[at])
+            columns = [[name] * len(asked), list(asked), [k[0] for k in asked.values()], [k[1] for k in asked.values()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ASKED)], schema=_ASKED)
+
+    return run
+
+
+def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ids and packed tokens of each piece."""
+    for name, part, tokens, offsets in _pieces(batches):
+        words, places = np.unique(tokens, return_inverse=True)
+        ids = part.column("doc_id")
+        known, missing = pc.fill_null(ids, 0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)
+        values = [name, known.astype("<i8").tobytes(), missing.tobytes(), _pack_sorted(words), _pack(places), _pack(np.diff(offsets))]
+        yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _TEXTS)], schema=_TEXTS)
 
 
-def _answer(segments: int, block: int):
-    """Levels of the keys that batches ask of one segment."""
+def _answer(segments: int, block: int, held: int):
+    """Counts of the words and, for a segment that was not sent, levels of the keys that pieces ask of it."""
 
-    def run(blocks: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+    def run(own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        counted, blocks = own[own["keys"].notna()], own[own["block"].notna()]
+        keys = np.concatenate([np.zeros(0, np.uint64), *map(_unpack_sorted, counted["keys"])])
+        amounts = np.concatenate([np.zeros(0, np.uint64), *map(_unpack, counted["counts"])])
         bits = np.frombuffer(blocks["block"].iloc[0], np.uint8) if len(blocks) else np.zeros(block // 8, np.uint8)
 
-        def levels(packed: bytes | None) -> bytes | None:
-            return None if packed is None else _levels_in(bits, segment, _unpack_sorted(packed), segments, block).astype(np.uint8).tobytes()
+        def levels(wanted: np.ndarray) -> bytes:
+            return _levels_in(bits, segment, wanted, segments, block).astype(np.uint8).tobytes()
 
         rows = []
         for batch, segment, words, pairs in zip(asked["batch"], asked["segment"], asked["words"], asked["pairs"]):
-            rows.append((batch, segment, levels(words), levels(pairs)))
-        return pd.DataFrame(rows, columns=["batch", "segment", "words", "pairs"])
+            far, counts, word_levels = segment >= held, None, None
+            if words is not None:
+                words = _unpack_sorted(words)
+                counts = np.zeros(len(words), np.uint64)
+                at = np.minimum(np.searchsorted(keys, words), max(len(keys) - 1, 0))
+                if len(keys):
+                    counts = np.where(keys[at] == words, amounts[at], counts)
+                counts, word_levels = _pack(counts), levels(words) if far else None
+            rows.append((batch, segment, counts, word_levels, None if pairs is None else levels(_unpack_sorted(pairs))))
+        return pd.DataFrame(rows, columns=["batch", "segment", "counts", "words", "pairs"])
 
     return run
 
 
 def _combine(sent: Broadcast):
-    """Scores of a batch's texts from its tokens and the levels of their keys."""
+    """Scores of a piece's texts from its tokens and the answers for its keys."""
 
     def run(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         model: Filter = sent.value
+        if len(texts) != 1:
+            raise ValueError("the documents were not read alike twice; write them first (steady=False)")
+        # Segments are the upper bits of the keys, so answers in their order are in the order of the keys.
         row, answers = texts.iloc[0], answers.sort_values("segment")
         words = _unpack_sorted(row["words"])
-        tokens = words[_unpack(row["docs"]).astype(np.int64)]
-        sizes = _unpack(row["times"]).astype(np.int64)
-        offsets = np.concatenate([[0], np.cumsum(sizes)])
-        before = _contexts(tokens, offsets)
-        keys, levels = [words, np.unique(_pair_keys(before, tokens))], []
-        for own, column in zip(keys, ("words", "pairs")):
-            # Segments are the upper bits, so the sorted keys that were not sent are the last ones.
-            near = int(np.searchsorted(_segment_of(own, model.segments), model.held))
-            far = np.frombuffer(b"".join(answers[column].dropna()), np.uint8).astype(np.int64)
-            levels.append(np.concatenate([_probe(own[:near], model), far]))
-        known, found = np.concatenate(keys), np.concatenate(levels)
+        where, sizes = _unpack(row["places"]).astype(np.int64), _unpack(row["sizes"]).astype(np.int64)
+        tokens, doc = words[where], np.repeat(np.arange(len(sizes)), sizes)
+        before = _contexts(tokens, np.concatenate([[0], np.cumsum(sizes)]))
+        pairs = np.unique(_pair_keys(before, tokens))
+        hit, often = _frequent(words, model)
+        asked = ~hit | (_segment_of(words, model.segments) >= model.held)
+        counts = np.concatenate([np.zeros(0, np.uint64), *map(_unpack, answers["counts"].dropna())])
+        levels = [np.frombuffer(b"".join(answers[c].dropna()), np.uint8).astype(np.int64) for c in ("words", "pairs")]
+        near = [int(np.searchsorted(_segment_of(keys, model.segments), model.held)) for keys in (words, pairs)]
+        if [len(counts), *map(len, levels)] != [asked.sum(), len(words) - near[0], len(pairs) - near[1]]:
+            raise ValueError("the documents were not read alike twice; write them first (steady=False)")
+        amounts = np.zeros(len(words))
+        amounts[hit] = often
+        amounts[asked] = counts
+        known = np.concatenate([words, pairs])
+        found = np.concatenate([part for keys, n, far in zip((words, pairs), near, levels) for part in (_probe(keys[:n], model), far)])
         order = np.argsort(known)
         known, found = known[order], found[order]
         logs = _log_probabilities(tokens, before, model, lambda k, _: found[np.searchsorted(known, k)])
-        score = np.bincount(np.repeat(np.arange(len(sizes)), sizes), logs, len(sizes))
-        return pd.DataFrame({"batch": row["batch"], "place": np.arange(len(sizes)), "far": score})
+        total = math.log10(model.tokens + 0.1 * (model.words + 1))
+        ids = pd.arrays.IntegerArray(np.frombuffer(row["ids"], "<i8").copy(), np.frombuffer(row["missing"], bool).copy())
+        return pd.DataFrame(
+            {
+                "doc_id": ids,
+                "n_tokens": sizes,
+                "n_known": np.bincount(doc, (amounts > 0)[where], len(sizes)).astype(np.int64),
+                "train_tokens": model.tokens,
+                "base_score": np.bincount(doc, np.log10(amounts + 0.1)[where], len(sizes)) - sizes * total,
+                "score": np.bincount(doc, logs, len(sizes)),
+            }
+        )
 
     return run
 
 
-def _score(held: Broadcast):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Filter = held.value
-        for batch in batches:
-            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)) // SCORE_CHARS
-            bounds = np.flatnonzero(np.diff(sizes, prepend=-1)).tolist() + [batch.num_rows]
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                part = batch.slice(a, b - a)
-                name = uuid.uuid4().hex
-                tokens, offsets = _tokens(part.column("text").to_pylist())
-                doc = np.repeat(np.arange(b - a), np.diff(offsets))
-                if model.held == model.segments:
-                    score = np.bincount(doc, _log_probabilities(tokens, _contexts(tokens, offsets), model), b - a)
-                else:
-                    score = np.zeros(b - a)
-                    yield from _asked(name, tokens, offsets, model)
-                at = np.minimum(np.searchsorted(model.frequent, tokens), max(len(model.frequent) - 1, 0))
-                hit = model.frequent[at] == tokens if len(model.frequent) else np.zeros(len(tokens), bool)
-                logs = np.log10(model.frequent_counts[at[hit]] + 0.1) if hit.any() else np.zeros(0)
-                partial = np.bincount(doc[hit], logs, b - a)
-                known = np.bincount(doc[hit], minlength=b - a)
-                yield _rows(packet=[False] * (b - a), batch=[name] * (b - a), place=np.arange(b - a), doc_id=part.column("doc_id"), n_tokens=np.diff(offsets), known=known, partial=partial, score=score)
-                rare, owner = tokens[~hit], doc[~hit]
-                if not len(rare):
-                    continue
-                order = np.lexsort((owner, rare))
-                rare, owner = rare[order], owner[order]
-                first = np.flatnonzero(np.concatenate([[True], (rare[1:] != rare[:-1]) | (owner[1:] != owner[:-1])]))
-                times = np.diff(np.append(first, len(rare)))
-                rare, owner = rare[first], owner[first]
-                cuts = list(_cuts(rare, model.segments))
-                yield _rows(packet=[True] * len(cuts), batch=[name] * len(cuts), segment=[s for s, _ in cuts], keys=[_pack_sorted(rare[c]) for _, c in cuts], docs=[_pack(owner[c]) for _, c in cuts], times=[_pack(times[c]) for _, c in cuts])
-
-    return run
-
+def score(docs: DataFrame, model: Model, steady: bool = False) -> DataFrame:
+    """``(doc_id, n_tokens, n_known, train_tokens, base_score, score)`` of each row of ``docs``.
 
-def _look_up(part: pd.DataFrame) -> pd.DataFrame:
-    """Sums over the rare words of one segment, for each document of each batch."""
-    counts = part[part["batch"].isna()]
-    keys = np.concatenate([_unpack_sorted(k) for k in counts["keys"]]) if len(counts) else np.zeros(0, np.uint64)
-    amounts = np.concatenate([_unpack(c) for c in counts["times"]]) if len(counts) else np.zeros(0, np.uint64)
-    found = []
-    for row in part[~part["batch"].isna()].itertuples():
-        words, docs, times = _unpack_sorted(row.keys), _unpack(row.docs).astype(np.int64), _unpack(row.times).astype(float)
-        at = np.minimum(np.searchsorted(keys, words), max(len(keys) - 1, 0))
-        hit = keys[at] == words if len(keys) else np.zeros(len(words), bool)
-        c = np.where(hit, amounts[at] if len(keys) else 0, 0).astype(float)
-        sums = np.bincount(docs, times * np.log10(c + 0.1))
-        known = np.bincount(docs, times * hit)
-        some = np.unique(docs)
-        found.append(pd.DataFrame({"batch": row.batch, "place": some, "rare": sums[some], "rare_known": known[some].astype(np.int64)}))
-    return pd.concat(found) if found else pd.DataFrame()
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``(doc_id, n_tokens, n_known, train_tokens, base_score, score)`` of each row of ``docs``."""
+    The texts are read twice, for the keys they ask for and for their tokens.  ``steady`` says that
+    ``docs`` gives the same rows in the same order each time, as a table does; otherwise it is
+    written first.  Should the two readings differ all the same, the job fails.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = materialize(rows.mapInArrow(_score(model.filter), _SCORED_DDL), "lm_scored")
-    packets = scored.where("packet and keys is not null").select("segment", "batch", "keys", "docs", "times")
-    exact = model.counts.select("segment", F.lit(None).cast("string").alias("batch"), "keys", F.lit(None).cast("binary").alias("docs"), F.col("counts").alias("times"))
-    sums = packets.union(exact).groupBy("segment").applyInPandas(_look_up, "batch string, place int, rare double, rare_known long")
-    sums = sums.withColumn("far", F.lit(0.0))
+    if not steady:
+        rows = materialize(rows, "lm_texts")
     sent = model.filter.value
+    nothing = F.lit(None).cast("binary")
+    own = model.counts.select("segment", "keys", "counts", nothing.alias("block"))
     if sent.held < sent.segments:
-        asked = scored.where("packet and keys is null and segment is not null").select("segment", "batch", "words", "pairs")
-        answers = model.blocks.groupBy("segment").cogroup(asked.groupBy("segment")).applyInPandas(_answer(sent.segments, sent.block), "batch string, segment int, words binary, pairs binary")
-        texts = scored.where("packet and segment is null").select("batch", "words", "docs", "times")
-        far = texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(_combine(model.filter), "batch string, place int, far double")
-        sums = sums.union(far.select("batch", "place", F.lit(0.0), F.lit(0).cast("long"), "far"))
-    sums = sums.groupBy("batch", "place").agg(F.sum("rare").alias("rare"), F.sum("rare_known").alias("rare_known"), F.sum("far").alias("far"))
-    joined = scored.where("not packet").join(sums, ["batch", "place"], "left")
-    total = math.log10(model.tokens + 0.1 * (model.words + 1))
-    base = F.col("partial") + F.coalesce("rare", F.lit(0.0)) - F.col("n_tokens") * total
-    return joined.select("doc_id", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("score") + F.coalesce("far", F.lit(0.0))).alias("score"))
+        own = own.union(model.blocks.select("segment", nothing, nothing, "block"))
+    asked = rows.mapInArrow(_asks(model.filter), "batch string, segment int, words binary, pairs binary")
+    answered = own.groupBy("segment").cogroup(asked.groupBy("segment"))
+    answers = answered.applyInPandas(_answer(sent.segments, sent.block, sent.held), "batch string, segment int, counts binary, words binary, pairs binary")
+    texts = rows.mapInArrow(_texts, "batch string, ids binary, missing binary, words binary, places binary, sizes binary")
+    schema = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(_combine(model.filter), schema)

@@ -122,7 +122,7 @@ def op10_bloom_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of every text under a model learnt from nine tenths of the documents."""
     docs = _documents(spark, sf_dir)
     model = bloom_lm.learn(docs.where(_remainder(10) != 0))
-    scored = bloom_lm.score(docs, model)
+    scored = bloom_lm.score(docs, model, steady=True)
     return scored.withColumn("held_out", F.coalesce(_remainder(10) == 0, F.lit(False)))
 
 

@@ -98,3 +98,37 @@ def test_scores_do_not_depend_on_what_is_sent(docs, monkeypatch, most):
     got = scores(split)
     assert [r[:4] for r in got] == [r[:4] for r in expected]
     assert [r[5] for r in got] == pytest.approx([r[5] for r in expected], abs=1e-6)
+
+
+@pytest.mark.parametrize("most", [1 << 40, 1])
+def test_score_is_that_of_the_quantised_model(docs, corpus, monkeypatch, most):
+    """With so many bits that the filter gives no false answer."""
+    monkeypatch.setattr(bloom_lm, "BITS_PER_ENTRY", 400)
+    monkeypatch.setattr(bloom_lm, "MOST_BITS", most)
+    lines = [tokens(r[1]) for r in corpus if r[0] is not None and r[0] % 10]
+    words = Counter(t for line in lines for t in line)
+    pairs = Counter(pair for line in lines for pair in zip(["start", *line], line))
+    n, v = sum(words.values()), len(words)
+
+    def level(count):
+        return 1 + math.floor(math.log(count) / math.log(1.5) + 1e-9) if count else 0
+
+    def down(at):
+        return math.ceil(1.5 ** (at - 1) - 1e-9) if at else 0
+
+    def up(at):
+        return math.ceil(1.5**at - 1e-9) if at else 0
+
+    def logs(line):
+        for before, word in zip(["start", *line], line):
+            own, context = level(words[word]), 99 if before == "start" else level(words[before])
+            joint = down(min(level(pairs[before, word]), own, context))
+            times = up(level(words[None])) if before == "start" else up(context)
+            yield math.log10((joint + 10 * (down(own) + 0.1) / (n + 0.1 * (v + 1))) / (times + 10))
+
+    model = bloom_lm.learn(docs.where("doc_id % 10 <> 0"))
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    got = sorted(((r["doc_id"], r["score"]) for r in bloom_lm.score(docs, model).collect()), key=key)
+    expected = sorted(((r[0], sum(logs(tokens(r[1])))) for r in corpus), key=key)
+    assert [i for i, _ in got] == [i for i, _ in expected]
+    assert [s for _, s in got] == pytest.approx([s for _, s in expected], abs=1e-6)
