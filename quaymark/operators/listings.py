@@ -92,6 +92,42 @@ def _whole_mean(total: Column, count: Column) -> Column:
     return F.when(whole < 0, F.ceil(whole)).otherwise(F.floor(whole)).cast("bigint")
 
 
+#: Nearest values a sketch keeps, and the rank error that its quantiles stay within (about thrice the expected one).
+SKETCH_SIZE = 400
+RANK_ERROR = 0.02
+
+
+def price_sketches(listings: DataFrame, keys: Sequence[str] = ("district",), batch: str = "checkid", size: int = SKETCH_SIZE) -> DataFrame:
+    """A quantile sketch of the unit prices per key and batch, some kilobytes however many listings there are.
+
+    Stored by batch, the sketches of old batches answer for their listings; only a new batch is read.
+    Listings without a price, or of no positive area or price, are left out.
+    """
+    prices = F.kll_sketch_agg_bigint(F.col("price_per_sqm").cast("bigint"), F.lit(size))
+    return _usable(listings).groupBy(*keys, batch).agg(prices.alias("price_sketch"))
+
+
+def merged_quantiles(sketches: DataFrame, keys: Sequence[str] = ("district",), probabilities: Sequence[float] = (0.5,), size: int = SKETCH_SIZE) -> DataFrame:
+    """Count of listings and price quantiles per key over all batches, from their sketches alone.
+
+    The quantiles are prices that occur, in the order of ``probabilities``; their ranks are within
+    ``RANK_ERROR`` of the ones asked for, at the size that is the default.
+    """
+    merged = sketches.groupBy(*keys).agg(F.kll_merge_agg_bigint("price_sketch", F.lit(size)).alias("_s"))
+    asked = F.array(*[F.lit(float(p)) for p in probabilities])
+    return merged.select(*keys, F.kll_sketch_get_n_bigint("_s").alias("house_count"), F.kll_sketch_get_quantile_bigint("_s", asked).alias("price_quantiles"))
+
+
+def price_ranks(listings: DataFrame, prices: DataFrame, keys: Sequence[str] = ("district",), price: str = "price") -> DataFrame:
+    """``prices`` with the exact shares of its key's listings that are cheaper, and that are not dearer."""
+    counted = _usable(listings).groupBy(*keys, F.col("price_per_sqm").cast("bigint").alias("_p")).agg(F.count("*").alias("_n"))
+    below, upto = (F.sum(F.when(c, F.col("_n")).otherwise(0)) for c in (F.col("_p") < F.col(price), F.col("_p") <= F.col(price)))
+    shares = counted.join(prices, list(keys)).groupBy(*keys, price).agg(
+        (below / F.sum("_n")).alias("share_below"), (upto / F.sum("_n")).alias("share_upto")
+    )
+    return prices.join(shares, [*keys, price])
+
+
 def area_price(listings: DataFrame, accuracy: int | None = None) -> DataFrame:
     """Price statistics per area range and batch.
 

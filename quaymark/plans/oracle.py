@@ -448,6 +448,11 @@ def oracles() -> dict[str, str]:
     )
     sql["community_price"] = build([LST, COMMUNITY], "SELECT * FROM com")
     sql["batch_replace_roundtrip"] = sql["community_price"]
+    sql["district_merged_medians"] = build(
+        [LST],
+        """SELECT district, quartile, count(*) AS house_count, true AS within_error
+        FROM lst, (VALUES (1::BIGINT), (2), (3)) AS q(quartile) WHERE pps > 0 GROUP BY 1, 2""",
+    )
     sql["community_top20"] = build(
         [LST, COMMUNITY],
         "SELECT * FROM com ORDER BY avg_price_per_sqm DESC, district, community, checkid LIMIT 20",

@@ -804,6 +804,23 @@ def batch_replace_roundtrip(spark, sf):
     return spark.read.parquet(path).select(*result.columns)
 
 
+@query
+def district_merged_medians(spark, sf):
+    """Price quartiles per district from sketches stored by batch, batch 1 written again: exact counts, ranks within the error."""
+    facts = materialize(B.listing_facts(spark, sf).filter("district <> ''"), "facts")
+    path = scratch_path(spark, "price-sketches")
+    for batch in (1, 2, 3, 1):
+        file_sinks.replace_batches(listings.price_sketches(facts.filter(F.col("checkid") == batch)), path)
+    asked = [0.25, 0.5, 0.75]
+    merged = listings.merged_quantiles(spark.read.parquet(path), probabilities=asked)
+    wanted = F.element_at(F.array(*map(F.lit, asked)), F.col("quartile"))
+    found = merged.select("district", "house_count", F.posexplode("price_quantiles").alias("quartile", "price")).withColumn("quartile", F.col("quartile") + 1)
+    ranked = materialize(found, "quartiles")
+    ranks = listings.price_ranks(facts, ranked.select("district", "price").distinct())
+    near = (F.col("share_below") <= wanted + listings.RANK_ERROR) & (F.col("share_upto") >= wanted - listings.RANK_ERROR)
+    return ranked.join(ranks, ["district", "price"]).select("district", F.col("quartile").cast("bigint").alias("quartile"), "house_count", near.alias("within_error"))
+
+
 @query
 def contract_trend(spark, sf):
     """Sales trend conformed to its result-table contract, key checked."""

@@ -72,6 +72,31 @@ def test_statistics_equal_brute_force(spark, rows, accuracy):
         assert r["price_stddev"] == int(statistics.stdev(prices)) and r["avg_area"] == 10
 
 
+def test_sketches_of_batches_merge(spark, rows):
+    random.seed(4)
+    # A hot district, batches of unlike prices, a district of one listing, listings without a price.
+    data = [("a" if i % 9 else "b", 1 + i % 3, random.randrange(1, 9000) * (1 + i % 3), 10) for i in range(6000)]
+    data += [("c", 2, 77, 10), ("c", 2, None, 10), ("d", 1, None, 10), ("d", 1, 5, 0)]
+    df = spark.createDataFrame(data, "district string, checkid int, price_per_sqm int, area int")
+    asked = [0.0, 0.25, 0.5, 0.9, 1.0]
+    sketches = Ls.price_sketches(df)
+    # Beyond one listing's sketch, its size is bounded.
+    assert all(len(r["price_sketch"]) < 20_000 for r in rows(sketches))
+    got = {r["district"]: r for r in rows(Ls.merged_quantiles(sketches, probabilities=asked))}
+    assert set(got) == {"a", "b", "c"} and got["c"]["price_quantiles"] == [77] * 5
+    for k, r in got.items():
+        prices = sorted(p for d, _, p, area in data if d == k and p and area)
+        assert r["house_count"] == len(prices)
+        for share, price in zip(asked, r["price_quantiles"]):
+            below, upto = (sum(f) / len(prices) for f in ([p < price for p in prices], [p <= price for p in prices]))
+            assert below - Ls.RANK_ERROR <= share <= upto + Ls.RANK_ERROR
+    ranks = Ls.price_ranks(df, spark.createDataFrame([("a", 9000), ("c", 77)], "district string, price long"))
+    ranks = {r["district"]: (r["share_below"], r["share_upto"]) for r in rows(ranks)}
+    prices = [p for d, _, p, _ in data if d == "a"]
+    assert ranks["c"] == (0, 1) and ranks["a"] == pytest.approx((sum(p < 9000 for p in prices) / len(prices), sum(p <= 9000 for p in prices) / len(prices)))
+    assert rows(Ls.merged_quantiles(Ls.price_sketches(df.limit(0)))) == []
+
+
 def test_negative_ages_truncate_towards_zero(spark, rows):
     df = spark.createDataFrame([(1, 5, -1), (1, 5, -2)], "k int, price_per_sqm int, house_age int").withColumn("area", F.lit(1))
     assert rows(Ls.price_statistics(df, ["k"]))[0]["avg_house_age"] == -1
