@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from quaymark.session import materialize
 
@@ -194,13 +194,29 @@ def violations(df: DataFrame, contract: Contract) -> DataFrame:
     return keyed.filter("row_count > 1 or has_null").withColumn("reason", reason).drop("has_null")
 
 
-def checked(df: DataFrame, contract: Contract) -> DataFrame:
-    """``conform``, raising when a key repeats or a required value is missing.
+def checked(df: DataFrame, contract: Contract, counts: dict[str, int] | None = None) -> DataFrame:
+    """``df`` in contract order and types, raising when a value does not fit, a required one is missing, or a key repeats.
 
-    The result is written out first, so checking does not compute it again.
+    The result is written once.  Rows, misfits and nulls are counted by that write itself
+    (they go to ``counts`` if given); only the keys are read again, to find repeated ones.
     """
-    fitted = materialize(conform(df, contract), "contract")
-    bad = violations(fitted, contract).first()
-    if bad is not None:
-        raise ValueError(f"contract violated: {bad.asDict()}")
-    return fitted
+    fitted = {c: F.col(c).try_cast(t) for c, t in contract.columns.items()}
+    required = [c for c in contract.columns if c not in contract.nullable]
+    measures = {"rows": F.count(F.lit(1))}
+    measures |= {f"misfits {c}": F.count_if(F.col(c).isNotNull() & fitted[c].isNull()) for c in contract.columns}
+    measures |= {f"nulls {c}": F.count_if(F.col(c).isNull()) for c in required}
+    seen = Observation()
+    observed = df.observe(seen, *[measure.alias(name) for name, measure in measures.items()])
+    stored = materialize(observed.select(*[fitted[c].alias(c) for c in contract.columns]), "contract")
+    found = {name: seen.get.get(name) or 0 for name in measures}
+    if counts is not None:
+        counts.update(found)
+    bad = {name: n for name, n in found.items() if n and name != "rows"}
+    if any(name.startswith("misfits") for name in bad):
+        raise ValueError(f"contract violated: values that do not fit their column: {bad}")
+    if bad:
+        raise ValueError(f"contract violated: null in a required column: {bad}, as in {violations(stored, contract).first().asDict()}")
+    repeated = stored.groupBy(*contract.key).agg(F.count("*").alias("row_count")).filter("row_count > 1").first()
+    if repeated is not None:
+        raise ValueError(f"contract violated: duplicate key {repeated.asDict()}")
+    return stored

@@ -195,6 +195,19 @@ def test_contract(spark):
         contracts.checked(spark.createDataFrame([(None, 1.0)], "k int, v double"), contract)
 
 
+def test_contract_counts_while_writing(spark):
+    contract = contracts.Contract({"k": "int", "v": "decimal(4,2)", "w": "int"}, ("k",), nullable=("v",))
+    counts = {}
+    good = spark.createDataFrame([(n, None if n % 2 else 1.5, "7") for n in range(50)], "k bigint, v double, w string").repartition(5)
+    assert contracts.checked(good, contract, counts).count() == counts["rows"] == 50
+    assert {n for name, n in counts.items() if name != "rows"} == {0}
+    assert contracts.checked(good.limit(0), contract, counts).count() == counts["rows"] == 0
+    for row, name in (((1 << 40, 1.0, "7"), "misfits k"), ((1, 123.0, "7"), "misfits v"), ((1, 1.0, "x"), "misfits w")):
+        with pytest.raises(ValueError, match=f"do not fit.*{name}"):
+            contracts.checked(good.union(spark.createDataFrame([row], good.schema)), contract, counts)
+        assert counts["rows"] == 51 and counts[name] == 1
+
+
 def test_config():
     got = C.parse(["commerce", "--input", "x", "--top-n", "3", "--min-support", "0.1", "--dry-run"])
     assert (got.job, got.input, got.top_n, got.min_support, got.dry_run) == ("commerce", "x", 3, 0.1, True)
