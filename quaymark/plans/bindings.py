@@ -5,14 +5,19 @@ Every function reads whole tables; each column is derived from stored ones.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quaymark.functions import labels as L
 from quaymark.functions.expressions import MONEY
 from quaymark.operators import cleaning
+from quaymark.sinks import storage
 
 EVENT_STATUSES = ("purchase", "signup")
 ORDER_STATUSES = ("F", "O")
+#: Bytes of the events table for each file of an arriving slice.
+ARRIVING_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -229,6 +234,17 @@ def event_slices(spark: SparkSession, sf_dir: str, parts: int = 3) -> list[DataF
     return [rows.filter(F.coalesce(place, F.lit(0)) == n) for n in range(parts)]
 
 
+def arrive(part: DataFrame, folder: str, sf_dir: str) -> None:
+    """Append events to ``folder`` in files of equal shares, one for each core at least.
+
+    A stream reads a row group in one task.  Events of one time span lie side by side in their
+    table, so without dealing a slice would be read by the few tasks that hold its row groups.
+    """
+    spark = part.sparkSession
+    files = max(spark.sparkContext.defaultParallelism, math.ceil(storage.size(spark, f"{sf_dir}/events.parquet") / ARRIVING_BYTES))
+    part.repartition(files, *part.columns).write.mode("append").parquet(folder)
+
+
 def event_stream(spark: SparkSession, folder: str, schema, max_files: int | None = None) -> DataFrame:
     """The events stored in ``folder`` as an unbounded frame with a zoned event time; at most so many files a micro-batch."""
     reader = spark.readStream.schema(schema)

@@ -457,7 +457,7 @@ def _drain_in_slices(spark, sf, build, writer, mode="update"):
     """
     folder, checkpoint = scratch_path(spark, "arriving"), scratch_path(spark, "checkpoint")
     for part in B.event_slices(spark, sf):
-        part.write.mode("append").parquet(folder)
+        B.arrive(part, folder, sf)
         frame = build(B.event_stream(spark, folder, part.schema))
         runner.await_end(runner.start(frame, writer, checkpoint, mode=mode))
 
@@ -592,7 +592,7 @@ def _drain_with_late_rows(spark, sf, build, writer, mode):
     late = F.col("event_id") % 10 == 3
     arriving = [parts[0].filter(~late), *parts[1:-1], parts[-1].unionByName(parts[0].filter(late))] if len(parts) > 1 else parts
     for part in arriving:
-        part.write.mode("append").parquet(folder)
+        B.arrive(part, folder, sf)
         frame = build(B.event_stream(spark, folder, part.schema))
         runner.await_end(runner.start(frame, writer, checkpoint, mode=mode))
 

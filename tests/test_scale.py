@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quaymark.operators import baskets, catalogue, commerce, listings
+from quaymark.plans import queries
 
 SKEW = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -122,3 +123,18 @@ def test_no_cross_join_anywhere(spark):
     for name in ("sales_summary", "price_bucket_review", "developer_hhi", "area_price", "category_pair_rules", "rfm_levels"):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "Cartesian" not in plan and "NestedLoop" not in plan, name
+
+
+@pytest.mark.parametrize("drain", ["_drain_in_slices", "_drain_with_late_rows"])
+def test_slices_of_a_stream_are_read_by_every_core(spark, tmp_path, drain):
+    """The events lie in one row group; each micro-batch still has a file for each core."""
+    spark.range(0, 3000, numPartitions=1).selectExpr("id as event_id", "timestamp_seconds(1700000000 + id) as ts").write.parquet(str(tmp_path / "events.parquet"))
+    files = []
+
+    def count(batch, batch_id, stream=""):
+        files.append([r["n"] for r in batch.groupBy("file").agg(F.count("*").alias("n")).collect()])
+
+    getattr(queries, drain)(spark, str(tmp_path), lambda rows: rows.select(F.input_file_name().alias("file")), count, "append")
+    shares = [s for s in files if s]
+    assert sum(map(sum, shares)) == 3000
+    assert all(len(s) >= 4 and max(s) < 2 * sum(s) / len(s) for s in shares)
