@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quaymark.functions.expressions import exact_ratio, list_items
 from quaymark.operators.commerce import attach_category
-from quaymark.session import materialize
+from quaymark.session import materialize, small_tasks
 
 
 def order_baskets(valid: DataFrame, order_items: DataFrame, products: DataFrame) -> DataFrame:
@@ -63,6 +63,23 @@ def _pair_counts(sets: DataFrame) -> DataFrame:
     )
 
 
+def _several(pairs: DataFrame, basket: str, item: str) -> DataFrame:
+    """The distinct pairs of baskets with two items and more; ``_first`` marks one row of each basket.
+
+    Written once, from tasks whose share of the pairs does not grow with the input.
+    """
+    whole = Window.partitionBy(basket)
+    sized = pairs.filter(F.col(basket).isNotNull()).distinct().select(
+        basket,
+        item,
+        F.count("*").over(whole).alias("_size"),
+        F.coalesce(F.col(item) == F.min(item).over(whole), F.lit(False)).alias("_first"),
+    )
+    spark = pairs.sparkSession
+    with small_tasks(spark, pairs):
+        return materialize(sized.filter("_size >= 2").drop("_size"), "baskets")
+
+
 def pair_rules(
     pairs: DataFrame,
     min_support: float = 0.005,
@@ -81,13 +98,11 @@ def pair_rules(
     baskets that become equal are counted as one set.
     ``require_baskets`` raises when no basket has two items.
     """
-    pairs = pairs.select(basket, item).distinct()
-    several = pairs.groupBy(basket).agg(F.count("*").alias("_size")).filter("_size >= 2").select(basket)
-    pairs = materialize(pairs.join(several, basket), "baskets")
+    pairs = _several(pairs.select(basket, item), basket, item)
     if require_baskets and pairs.isEmpty():
         raise ValueError("no basket holds two different items")
     threshold = F.lit(str(min_support)).cast("decimal(12,6)")
-    total = pairs.agg(F.countDistinct(basket).alias("n")).scalar()
+    total = pairs.agg(F.count_if("_first").alias("n")).scalar()
     singles = pairs.groupBy(F.col(item).alias("item")).agg(F.count("*").alias("n")).withColumn("total", total)
     frequent = materialize(singles.filter(exact_ratio(F.col("n"), F.col("total"), 6) >= threshold), "items")
     pruned = pairs.join(frequent.select(F.col("item").alias(item)), item)

@@ -11,6 +11,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +67,33 @@ def size_shuffles(spark: SparkSession, *paths: str, target_bytes: int = 128 << 2
     return wanted
 
 
+@contextmanager
+def small_tasks(spark: SparkSession, inputs: DataFrame, task_bytes: int = 8 << 20) -> Iterator[None]:
+    """Within the block, what is run over ``inputs`` is dealt in tasks of about ``task_bytes`` of their files.
+
+    A task that aggregates or sorts keeps its share of the rows in memory.  With these settings the
+    number of tasks grows with the input and the share of one task does not; they are put back afterwards.
+    """
+    from quaymark.sinks.storage import size
+
+    total = sum(size(spark, path) for path in inputs.inputFiles())
+    shuffles = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / task_bytes))
+    wanted = {
+        "spark.sql.shuffle.partitions": str(shuffles),
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -1,10 +1,14 @@
 """Plan shapes that keep hot keys and large inputs spread out."""
 
+import glob
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
 from quaymark.operators import baskets, catalogue, commerce, listings
 from quaymark.plans import queries
+from quaymark.session import shared_dir, small_tasks
 
 SKEW = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -125,6 +129,42 @@ def test_no_cross_join_anywhere(spark):
         assert "Cartesian" not in plan and "NestedLoop" not in plan, name
 
 
+def _tasks_of(spark, label: str) -> int:
+    """Part files of the tables written under a label."""
+    app = spark.sparkContext.applicationId
+    return len(glob.glob(f"{shared_dir(spark)}/quaymark/{app}/{label}-*/part-*"))
+
+
+def test_small_tasks_grow_in_number_with_the_files_and_put_settings_back(spark, tmp_path):
+    path = str(tmp_path / "pairs")
+    spark.range(100_000).select((F.col("id") % 50_000).alias("order_id"), F.xxhash64("id").alias("category")).write.parquet(path)
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst"]
+    before = [spark.conf.get(k) for k in keys]
+    with pytest.raises(KeyError), small_tasks(spark, spark.read.parquet(path), 64 << 10):
+        assert int(spark.conf.get(keys[0])) > 8
+        raise KeyError
+    assert [spark.conf.get(k) for k in keys] == before
+
+
+def test_baskets_of_pair_rules_are_made_in_small_tasks(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "pairs")
+    pairs = spark.range(1_600_000).select((F.col("id") % 800_000).alias("order_id"), (F.xxhash64("id") % 1000).alias("category"))
+    pairs.write.parquet(path)
+    monkeypatch.setattr(baskets, "small_tasks", partial(small_tasks, task_bytes=1 << 20))
+    old = _tasks_of(spark, "baskets")
+    baskets.pair_rules(spark.read.parquet(path))
+    assert _tasks_of(spark, "baskets") - old >= 6  # four shuffle partitions are set
+
+
+def test_a_null_basket_is_no_basket(spark):
+    schema = "order_id string, category string"
+    pairs = [("o", "a"), ("o", "b"), (None, "a"), (None, "b"), ("p", None), ("p", "a"), ("q", "a")]
+    got = baskets.pair_rules(spark.createDataFrame(pairs, schema), 0.0, 0.0).collect()
+    assert {(r["antecedent"], r["consequent"], r["pair_order_count"], r["antecedent_order_count"], r["total_basket_count"]) for r in got} == {
+        ("a", "b", 1, 2, 2), ("b", "a", 1, 1, 2)
+    }
+
+
 @pytest.mark.parametrize("drain", ["_drain_in_slices", "_drain_with_late_rows"])
 def test_slices_of_a_stream_are_read_by_every_core(spark, tmp_path, drain):
     """The events lie in one row group; each micro-batch still has a file for each core."""
