@@ -20,7 +20,7 @@ from quaymark.config import JobConfig
 from quaymark.functions import labels as L
 from quaymark.operators import baskets, catalogue, cleaning, commerce, listings, merge
 from quaymark.plans import bindings as B, jobs, serving
-from quaymark.session import materialize, scratch_path
+from quaymark.session import materialize, scratch_path, small_tasks
 from quaymark.sinks import contracts, files as file_sinks
 from quaymark.sources import events, files, kafka, progress
 from quaymark.streaming import aggregates, runner
@@ -829,7 +829,8 @@ def contract_trend(spark, sf):
 
 @query
 def result_table_counts(spark, sf):
-    return serving.table_counts(
+    """Rows of each result table, counted in tasks whose share of the input does not grow with it."""
+    counts = serving.table_counts(
         {
             "ads_sales_time_trend": _trend(spark, sf),
             "ads_category_sales_rank": _ranked(spark, sf),
@@ -837,3 +838,5 @@ def result_table_counts(spark, sf):
             "ads_category_association_rules": _rules(spark, sf),
         }
     )
+    with small_tasks(spark, counts):
+        return materialize(counts, "table-counts")
