@@ -229,12 +229,11 @@ def _confirm(words: int, percent: int):
 
 
 def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets reach the threshold, as ``(u, v)``.
+    """The distinct ``pairs`` ``(a, b)`` whose full sets reach the threshold, as ``(u, v)``.
 
     The members paired with one anchor are dealt into groups of about ``ANCHOR_GROUP``, each
     with its own copy of the anchor, so an anchor of very many members is no hot group.
     """
-    pairs = materialize(pairs.distinct(), "pairs")
     groups_of = pairs.groupBy("a").agg(F.ceil(F.count("*") / ANCHOR_GROUP).cast("int").alias("parts"))
     member = pairs.join(groups_of, "a").select(F.col("b").alias("rep"), F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"), F.lit(1).alias("role"))
     anchor = groups_of.select(F.col("a").alias("rep"), F.col("a").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"))
@@ -327,8 +326,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     single = reps.groupBy("rep").agg(F.min_by("tokens", F.struct("fp1", "fp2")).alias("tokens"), F.min_by("n", F.struct("fp1", "fp2")).alias("n"))
     single = materialize(single, "nodes_of_sets")
     pairs, suspects = candidates(single, percent)
-    # The text of a set is that of its smallest document.
-    texts = docs.join(single.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    # The text of a set is that of its smallest document.  Whole texts are shuffled once, for those that
+    # are compared in full at all; every later join reads these only.
+    pairs = materialize(pairs.distinct(), "pairs")
+    compared = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(suspects.select("rep")).distinct()
+    texts = materialize(docs.join(compared, "doc_id", "left_semi"), "texts")
     links = confirmed(pairs, single, texts, words, percent)
     components = materialize(connected_components(links), "components")
     components = joined_components(suspects, single, components, texts.withColumnRenamed("doc_id", "rep"), words, percent)

@@ -14,7 +14,8 @@ import numpy as np
 
 LOWER = bytes(range(256)).lower()
 SEPARATORS = b" \t\n\r\x0b\x0c"
-PIECE = 2 << 20
+#: Bytes hashed at once; a task holds about a hundred times as much for it.
+PIECE = 256 << 10
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[list(SEPARATORS)] = True

@@ -114,3 +114,19 @@ def test_pairs_at_the_threshold_share_a_last_node(percent):
             together |= ends[0] == ends[1]
     # By `miss`, one branch loses about 970 and 240 of them.
     assert (~together).sum() <= 10
+
+
+def test_only_texts_that_are_compared_in_full_are_kept_for_the_rounds(spark, monkeypatch):
+    """Whole texts go through one join; the joins after it read a table of the compared ones."""
+    kept = {}
+
+    def record(df, label, write=chosen_path.materialize):
+        kept[label] = write(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(chosen_path, "materialize", record)
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(0, text), (1, text + " end"), (2, text + " end")] + [(i, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(3, 60)]
+    got = {r["doc_id"]: r["component_id"] for r in chosen_path.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()}
+    assert got == {i: 0 if i < 3 else i for i in range(60)}
+    assert sorted(r["doc_id"] for r in kept["texts"].collect()) == [0, 1]

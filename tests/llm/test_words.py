@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -29,6 +31,16 @@ def test_pieces_do_not_change_hashes(monkeypatch, corpus):
         assert np.array_equal(a, b)
 
 
+def test_hashing_holds_little_beside_its_texts():
+    texts = ["some words of no great length " * 4000] * 32  # 3.8 MB
+    T.word_hashes(texts[:1])
+    tracemalloc.start()
+    T.word_hashes(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+
+
 def test_shingle_sets(corpus):
     texts = [r[1] for r in corpus]
     for size in (3, 5):
