@@ -1,12 +1,13 @@
 """Byte-level BPE encoding and decoding by replaying merges over the words of a corpus.
 
-Encoding.  A task takes its texts a few megabytes at a time, splits them into words with the
-vocabulary's pattern, and encodes each distinct word once.  All new words of a chunk lie in
-one chain of byte tokens; an inverted index names, for each merge rank, the places whose
+Encoding.  A task takes its texts ``PIECE`` bytes at a time (a longer text a bounded number of
+words at a time), splits them into words with the vocabulary's pattern, and encodes each
+distinct word once.  About ``CHAIN`` bytes of new words lie in one chain of byte tokens, which
+takes some 200 times as much memory; an inverted index names, for each merge rank, the places whose
 token pair merges at that rank.  The lowest rank is taken first, its places from left to
 right, and a merge looks only at the two pairs it touches; a new pair of a lower rank is
-done before anything else.  Encoded words are kept for the task's next chunks, up to
-``REMEMBERED`` of them.  Nothing is shuffled: a word that two tasks meet is encoded twice,
+done before anything else.  Encoded words are kept for the task's next pieces, up to about
+``REMEMBERED`` of them and ``REMEMBERED_CHARACTERS`` in all.  Nothing is shuffled: a word that two tasks meet is encoded twice,
 which costs less than moving every occurrence.
 
 Defined results: null and empty texts have no tokens; special tokens are ordinary text; a
@@ -20,7 +21,9 @@ from __future__ import annotations
 import base64
 import heapq
 import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,12 @@ from pyspark.sql import DataFrame
 
 from quaymark.llm.batches import map_texts
 
+#: Bytes of text split at once.
+PIECE = 512 << 10
+#: Bytes of new words merged at once; a longer word lies in a chain of its own.
+CHAIN = 128 << 10
 REMEMBERED = 300_000
+REMEMBERED_CHARACTERS = 8 << 20
 MOST_VOCABULARY = 1 << 20
 
 
@@ -146,24 +154,52 @@ def _merged(data: np.ndarray, ends: np.ndarray, merges: Merges) -> np.ndarray:
     return np.array(token, np.int64)
 
 
+def _chains(words: list[str]) -> Iterator[tuple[list[str], list[bytes]]]:
+    """The words with their bytes, about ``CHAIN`` bytes at a time."""
+    some, packed, size = [], [], 0
+    for word in words:
+        data = word.encode("utf-8")
+        if some and size + len(data) > CHAIN:
+            yield some, packed
+            some, packed, size = [], [], 0
+        some.append(word)
+        packed.append(data)
+        size += len(data)
+    if some:
+        yield some, packed
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, column: str = "text") -> DataFrame:
     """``docs`` with ``ids array<int>`` in place of ``column``."""
     held = docs.sparkSession.sparkContext.broadcast(merges_of(ranks))
     split = regex.compile(pattern)
     known: dict[str, bytes] = {}
+    known_characters = 0
 
-    def run(texts: list[str | None]) -> dict:
-        words = [split.findall(text) if text else [] for text in texts]
-        if len(known) > REMEMBERED:
+    def pack(lines: list[list[str]]) -> list[bytes]:
+        nonlocal known_characters
+        if len(known) > REMEMBERED or known_characters > REMEMBERED_CHARACTERS:
             known.clear()
-        new = list(set().union(*words).difference(known))
-        known.update(zip(new, replay([w.encode("utf-8") for w in new], held.value)))
-        packed = [b"".join(map(known.__getitem__, line)) for line in words]
+            known_characters = 0
+        for new, data in _chains(list(set().union(*lines).difference(known))):
+            known.update(zip(new, replay(data, held.value)))
+            known_characters += sum(map(len, new))
+        return [b"".join(map(known.__getitem__, line)) for line in lines]
+
+    def pack_long(text: str) -> bytes:
+        found = (match.group() for match in split.finditer(text))
+        return b"".join(pack([line])[0] for line in iter(lambda: list(islice(found, PIECE // 4)), []))
+
+    def run(texts: list[str | None]) -> dict:
+        if len(texts) == 1 and len(texts[0] or "") > PIECE:
+            packed = [pack_long(texts[0])]
+        else:
+            packed = pack([split.findall(text) if text else [] for text in texts])
         offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
         return {"ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))}
 
     others = [c for c in docs.columns if c != "ids"]
-    return map_texts(docs.select(*others), run, "ids array<int>", column)
+    return map_texts(docs.select(*others), run, "ids array<int>", column, PIECE)
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], column: str = "ids") -> DataFrame:

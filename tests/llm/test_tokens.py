@@ -1,5 +1,8 @@
+import tracemalloc
+
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -51,3 +54,23 @@ def test_too_large_a_vocabulary(tmp_path, monkeypatch):
 def test_null_ids_decode_to_nothing(spark, ranks):
     frame = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert [bytes(r["decoded"]) for r in byte_bpe.decode(frame, ranks).collect()] == [b"", b""]
+
+
+def test_memory_is_bounded_by_a_piece_of_text(docs, ranks, library, monkeypatch):
+    rng = np.random.default_rng(3)
+    words = ["".join(w) for w in rng.choice(list("abcdefghijklmnop"), (200_000, 9))]
+    # Texts of a usual size, then one that is longer than a piece.
+    texts = [" ".join(words[i : i + 100]) for i in range(0, 100_000, 100)] + [" ".join(words[100_000:]), "", None]
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+    run = byte_bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    tracemalloc.start()
+    try:
+        made = list(run([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # A long text's words and their ids stay known; what a piece takes for its merges does not add up.
+    assert peak < 150 << 20
+    ids = [line for part in made for line in part.column("ids").to_pylist()]
+    assert ids == [library.encode_ordinary(text or "") for text in texts]
