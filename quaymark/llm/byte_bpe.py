@@ -3,7 +3,7 @@
 Encoding.  A task takes its texts ``PIECE`` bytes at a time (a longer text a bounded number of
 words at a time), splits them into words with the vocabulary's pattern, and encodes each
 distinct word once.  About ``CHAIN`` bytes of new words lie in one chain of byte tokens, which
-takes some 200 times as much memory; an inverted index names, for each merge rank, the places whose
+takes about 170 times as much memory; an inverted index names, for each merge rank, the places whose
 token pair merges at that rank.  The lowest rank is taken first, its places from left to
 right, and a merge looks only at the two pairs it touches; a new pair of a lower rank is
 done before anything else.  Encoded words are kept for the task's next pieces, up to about
