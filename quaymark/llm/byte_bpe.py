@@ -30,7 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from quaymark.llm.batches import map_texts
+from quaymark.llm.batches import bound_batches, map_texts
 
 #: Bytes of text split at once.
 PIECE = 512 << 10
@@ -171,6 +171,7 @@ def _chains(words: list[str]) -> Iterator[tuple[list[str], list[bytes]]]:
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, column: str = "text") -> DataFrame:
     """``docs`` with ``ids array<int>`` in place of ``column``."""
+    bound_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(merges_of(ranks))
     split = regex.compile(pattern)
     known: dict[str, bytes] = {}

@@ -38,7 +38,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from quaymark.llm.batches import groups, map_texts, slices
+from quaymark.llm.batches import bound_batches, groups, map_texts, slices
 from quaymark.llm.components import connected_components
 from quaymark.llm.text import mix, shingle_sets
 from quaymark.session import materialize
@@ -182,10 +182,10 @@ def _grow(percent: int, branches: int):
 
 def candidates(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Pairs ``(a, b)`` with anchors, and ``(node, rep)`` of the nodes that may hold other pairs."""
-    spark = reps.sparkSession
     frontier = materialize(reps.select("rep", "tokens").mapInPandas(_roots, "node long, rep long"), "roots")
-    proposed = spark.createDataFrame([], "a long, b long")
-    suspects = spark.createDataFrame([], "node long, rep long")
+    # No rows, as a plan of Spark's own: a frame made of a Python list starts Python workers of another kind on each executor.
+    proposed = reps.where(F.lit(False)).select(F.col("rep").alias("a"), F.col("rep").alias("b"))
+    suspects = proposed.select(F.col("a").alias("node"), F.col("b").alias("rep"))
     for step in range(DEPTH):
         sizes = frontier.groupBy("node").agg(F.count("*").alias("members"), F.min("rep").alias("pivot")).where("members > 1")
         nodes = materialize(frontier.join(sizes, "node"), "nodes")
@@ -318,6 +318,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     is at least ``percent`` in a hundred; a component's id is its smallest doc_id.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    bound_batches(docs.sparkSession)
     signed = materialize(signatures(docs, words), "signatures")
     linked = signed.where("n_shingles > 0 and doc_id is not null")
     reps = linked.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.min_by("tokens", "doc_id").alias("tokens"), F.min("n_shingles").alias("n"))

@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from quaymark.llm.batches import map_texts
+from quaymark.llm.batches import bound_batches, map_texts
 from quaymark.llm.text import mix
 from quaymark.session import materialize
 
@@ -147,6 +147,7 @@ def fit(docs: DataFrame, label: str = "lang") -> Model:
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (the cosine) and ``rejected``; the text stays."""
+    bound_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(texts: list[str | None]) -> dict:

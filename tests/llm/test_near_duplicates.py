@@ -130,3 +130,12 @@ def test_only_texts_that_are_compared_in_full_are_kept_for_the_rounds(spark, mon
     got = {r["doc_id"]: r["component_id"] for r in chosen_path.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()}
     assert got == {i: 0 if i < 3 else i for i in range(60)}
     assert sorted(r["doc_id"] for r in kept["texts"].collect()) == [0, 1]
+
+
+def test_tables_without_rows_start_no_python_workers_of_another_kind(spark):
+    reps = spark.range(3).selectExpr("id AS rep", "CAST(repeat('abcd', 64) AS BINARY) AS tokens", "5L AS n")
+    pairs, suspects = chosen_path.candidates(reps, 80)
+    for frame in (pairs, suspects):
+        assert "ExistingRDD" not in frame._jdf.queryExecution().toString()
+        assert frame.dtypes[0][1] == frame.dtypes[1][1] == "bigint"
+    assert {(r["a"], r["b"]) for r in pairs.collect()} == {(0, 1), (0, 2)}

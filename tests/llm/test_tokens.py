@@ -5,6 +5,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from quaymark.llm import byte_bpe
 
@@ -74,3 +75,34 @@ def test_memory_is_bounded_by_a_piece_of_text(docs, ranks, library, monkeypatch)
     assert peak < 150 << 20
     ids = [line for part in made for line in part.column("ids").to_pylist()]
     assert ids == [library.encode_ordinary(text or "") for text in texts]
+
+
+@pytest.mark.parametrize("operator", ["encode", "near_duplicates", "predict"])
+def test_texts_reach_python_in_small_batches(spark, ranks, operator):
+    """2,000 texts of 10,000 characters in one partition come in batches of about 2 MB, not of 20 MB."""
+    from quaymark.llm import batches, chosen_path, nearest_centroid
+
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    some = spark.createDataFrame([(1, "one two three", "en")], "doc_id long, text string, lang string")
+
+    def sizes(parts):
+        for part in parts:
+            yield pa.RecordBatch.from_arrays([pa.array([part.nbytes])], names=["bytes"])
+
+    try:
+        spark.conf.set(setting, "64m")
+        if operator == "encode":
+            byte_bpe.encode(some, ranks, public_tokenizers.PATTERN)
+        elif operator == "near_duplicates":
+            chosen_path.near_duplicates(some)
+        else:
+            nearest_centroid.predict(some, nearest_centroid.fit(some))
+        wide = spark.range(0, 2000, 1, 1).select("id", F.repeat(F.lit("0123456789"), 1000).alias("text"))
+        got = [r[0] for r in wide.mapInArrow(sizes, "bytes long").collect()]
+        assert sum(got) >= 20_000_000 and max(got) <= 1.1 * batches.BATCH
+        spark.conf.set(setting, "1m")
+        batches.bound_batches(spark)
+        assert spark.conf.get(setting) == "1m"
+    finally:
+        spark.conf.set(setting, before)
