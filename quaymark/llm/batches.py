@@ -18,15 +18,15 @@ _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _UNITS = {"": 0, "k": 10, "m": 20, "g": 30, "t": 40, "p": 50}
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """From now on this session sends about ``BATCH`` bytes of rows to a Python worker at once; a smaller setting stays.
+def bound_batches(spark: SparkSession, most: int = BATCH) -> None:
+    """From now on this session sends about ``most`` bytes of rows to a Python worker at once; a smaller setting stays.
 
     Spark's own bounds are 10,000 rows and 64 MB.  A batch of whole texts is held by the JVM outside its
     heap, twice while it grows, and by the worker as bytes and as strings, of which the worker keeps much.
     """
     number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", spark.conf.get(_BATCH_SETTING).strip().lower()).groups()
-    if int(number) << _UNITS[unit] > BATCH:
-        spark.conf.set(_BATCH_SETTING, str(BATCH))
+    if int(number) << _UNITS[unit] > most:
+        spark.conf.set(_BATCH_SETTING, str(most))
 
 
 def slices(batches: Iterable[pd.DataFrame], column: str, limit: int = 4 << 20) -> Iterator[pd.DataFrame]:

@@ -94,6 +94,18 @@ def small_tasks(spark: SparkSession, inputs: DataFrame, task_bytes: int = 8 << 2
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within the block, a job's shuffle files go when it ends, not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
